@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempora.functions.rounding import output_round
 from tempora.plans import features as FT
 from tempora.plans.grid_spec import GridSpec
 from tempora.sources import tables as S
@@ -25,7 +26,7 @@ def normalize(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             cols.append(c.cast("long").alias(f.name))
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            cols.append(F.round(c.cast("double"), digits).alias(f.name))
+            cols.append(output_round(c.cast("double"), digits).alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)

@@ -9,6 +9,7 @@ column is cast to the same type and rounding as the Spark side
 from __future__ import annotations
 
 from tempora.functions.calendar import EASTER_OFFSETS, FIXED_HOLIDAYS
+from tempora.functions.rounding import output_round_sql
 from tempora.operators.windows import nearest_index
 from tempora.plans import features as FT
 
@@ -17,7 +18,7 @@ DAY_US = 86_400_000_000
 
 
 def _r(x: str, alias: str | None = None) -> str:
-    return f"CAST(round({x}, 6) AS DOUBLE) AS {alias or x}"
+    return f"CAST({output_round_sql('CAST(' + x + ' AS DOUBLE)')} AS DOUBLE) AS {alias or x}"
 
 
 def _b(x: str, alias: str | None = None) -> str:
@@ -50,10 +51,10 @@ al AS (SELECT {kc}g.time, (epoch_us(g.time) - epoch_us(b.lo)) // {step_us} AS po
 series AS (SELECT {kc}time, pos, raw IS NULL AS was_null, {val} AS load_mw FROM {src})"""
 
 
-HOURLY_OBS = "SELECT date_trunc('hour', ts) AS time, sum(value) AS load_mw FROM events GROUP BY 1"
-PANEL_OBS = ("SELECT event_type AS series_id, date_trunc('hour', ts) AS time, sum(value) AS load_mw "
+HOURLY_OBS = "SELECT date_trunc('hour', ts) AS time, round(sum(value), 6) AS load_mw FROM events GROUP BY 1"
+PANEL_OBS = ("SELECT event_type AS series_id, date_trunc('hour', ts) AS time, round(sum(value), 6) AS load_mw "
              "FROM events GROUP BY 1, 2")
-DAILY_OBS = "SELECT date_trunc('day', o_orderdate) AS time, sum(o_totalprice) AS load_mw FROM orders GROUP BY 1"
+DAILY_OBS = "SELECT date_trunc('day', o_orderdate) AS time, round(sum(o_totalprice), 6) AS load_mw FROM orders GROUP BY 1"
 
 
 def hourly_ctes(interpolate: bool = True) -> str:
@@ -212,6 +213,30 @@ def sql_calendar_features() -> str:
 SELECT time, {", ".join(f"{e} AS {n}" for n, e in calendar_cols_sql("time"))} FROM grid"""
 
 
+def _snap_round_even(sql: str) -> str:
+    """``round_even(x, d)`` → ``round_even(round(x, 9), d)`` (same snapping as
+    the Spark side's ``round_half_even``)."""
+    out, i, key = [], 0, "round_even("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        k, depth, comma = j + len(key), 1, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner = _snap_round_even(sql[j + len(key):comma])
+        out.append(sql[i:j] + f"round_even(round({inner}, 9),{sql[comma + 1:k - 1]})")
+        i = k
+
+
 ORACLE = {
     "time_grid": sql_time_grid(),
     "align_left": sql_align_left(),
@@ -223,3 +248,333 @@ ORACLE = {
     "feature_table": sql_feature_table(),
     "calendar_features": sql_calendar_features(),
 }
+
+
+# ------------------------------------------------- splits / back-test tables
+K, T, GAP, MTRAIN, WARM, MAXH = 5, 72, 24, 240, 168, 24
+
+
+def split_ctes() -> str:
+    """``sp(n, first)`` and the fold bounds table ``fb``."""
+    return f"""sp AS (SELECT (SELECT count(*) FROM grid) - {WARM + MAXH} AS n),
+fb AS (SELECT CAST(i AS BIGINT) AS fold_idx, sp.n - ({K} - i) * {T} AS test_start,
+              sp.n - ({K} - i) * {T} + {T} AS test_end,
+              sp.n - ({K} - i) * {T} - {GAP} AS train_end,
+              greatest(0, sp.n - ({K} - i) * {T} - {GAP} - {MTRAIN}) AS train_start
+       FROM range({K}) r(i) CROSS JOIN sp),
+pg AS (SELECT g.time AS prediction_time, (epoch_us(g.time) - epoch_us(b.lo)) // {HOUR_US} - {WARM} AS split_pos
+       FROM grid g CROSS JOIN b),
+pgr AS (SELECT pg.* FROM pg CROSS JOIN sp WHERE split_pos >= 0 AND split_pos < sp.n)"""
+
+
+def naive_ctes(horizons=range(1, 25), season: int = 24) -> str:
+    hz = ", ".join(str(h) for h in horizons)
+    return f"""{hourly_ctes()}, {split_ctes()},
+sq AS (SELECT *, ({quantile_sql('load_mw', 0.75, 24, 'nearest')}) - ({quantile_sql('load_mw', 0.25, 24, 'nearest')}) AS iqr FROM series),
+nl AS (SELECT s.time AS prediction_time, s.pos - {WARM} AS split_pos, CAST(hz.h AS BIGINT) AS horizon,
+          y.load_mw AS load_mw, p.load_mw AS predicted_load_mw,
+          p.load_mw - s.iqr AS lower, p.load_mw + s.iqr AS upper
+       FROM sq s CROSS JOIN (SELECT unnest([{hz}]) AS h) hz
+       JOIN series y ON y.pos = s.pos + hz.h
+       JOIN series p ON p.pos = s.pos + hz.h - {season}
+       WHERE s.pos >= {WARM} AND s.pos <= (SELECT max(pos) FROM series) - {max(horizons)}),
+cv AS (SELECT 'seasonal_naive' AS model, fb.fold_idx, nl.* FROM nl JOIN fb
+       ON nl.split_pos >= fb.test_start AND nl.split_pos < fb.test_end)"""
+
+
+def cv24_ctes() -> str:
+    return naive_ctes([24])
+
+
+def sql_ts_split() -> str:
+    return f"""WITH {hourly_ctes(False)}, {split_ctes()}
+SELECT prediction_time, fold_idx, 'test' AS role FROM pgr JOIN fb ON split_pos >= test_start AND split_pos < test_end
+UNION ALL
+SELECT prediction_time, fold_idx, 'train' AS role FROM pgr JOIN fb ON split_pos >= train_start AND split_pos < train_end"""
+
+
+def sql_fold_report() -> str:
+    return f"""WITH t AS ({sql_ts_split()})
+SELECT fold_idx, role, CAST(count(*) AS BIGINT) AS n_rows, min(prediction_time) AS first_time,
+       max(prediction_time) AS last_time FROM t GROUP BY 1, 2"""
+
+
+def sql_fold_assign() -> str:
+    return f"""WITH {hourly_ctes(False)}, {split_ctes()}
+SELECT prediction_time, fold_idx, CAST(split_pos AS BIGINT) AS split_pos FROM pgr
+JOIN fb ON split_pos >= test_start AND split_pos < test_end"""
+
+
+def sql_year_split() -> str:
+    return f"""WITH {series_ctes(DAILY_OBS, DAY_US, '', False)},
+yb AS (SELECT min(year(time)) AS y0, max(year(time)) AS y1 FROM grid),
+t AS (SELECT g.time, CAST(yy.y - yb.y0 - 1 AS BIGINT) AS fold_idx,
+             CASE WHEN yy.y = year(g.time) THEN 'test' ELSE 'train' END AS role
+      FROM grid g CROSS JOIN yb JOIN (SELECT unnest(generate_series(y0 + 1, y1)) AS y FROM yb) yy
+      ON yy.y >= year(g.time))
+SELECT fold_idx, role, CAST(count(*) AS BIGINT) AS n_rows, min(time) AS first_time, max(time) AS last_time
+FROM t GROUP BY 1, 2"""
+
+
+def sql_naive_predictions() -> str:
+    return f"""WITH {naive_ctes()}
+SELECT model, fold_idx, prediction_time, horizon, {_r('load_mw')}, {_r('predicted_load_mw')},
+       {_r('lower')}, {_r('upper')} FROM cv"""
+
+
+def _point_scores_sql(prefix: str = "") -> str:
+    return f"""{_r('avg(abs(load_mw - predicted_load_mw) / greatest(abs(load_mw), 2.220446049250313e-16))', prefix + 'mape')},
+  {_r('CASE WHEN var_pop(load_mw) * count(load_mw) > 0 THEN 1 - sum((load_mw - predicted_load_mw) ^ 2) / (var_pop(load_mw) * count(load_mw)) END', prefix + 'r2')},
+  {_r('avg(abs(load_mw - predicted_load_mw))', prefix + 'mae')},
+  {_r('avg((load_mw - predicted_load_mw) ^ 2)', prefix + 'mse')}"""
+
+
+def sql_score_point() -> str:
+    return f"""WITH {cv24_ctes()}
+SELECT model, fold_idx, {_point_scores_sql()}, CAST(count(*) AS BIGINT) AS n FROM cv GROUP BY 1, 2"""
+
+
+def sql_scores_by_horizon() -> str:
+    return f"""WITH {naive_ctes()}
+SELECT fold_idx, horizon, {_point_scores_sql('test_')}, CAST(count(*) AS BIGINT) AS test_n FROM cv GROUP BY 1, 2"""
+
+
+def sql_score_deviance() -> str:
+    y, p = "load_mw", "predicted_load_mw"
+    return f"""WITH {cv24_ctes()},
+g AS (SELECT fold_idx,
+  sum(2 * (CASE WHEN {y} > 0 THEN {y} * ln({y} / {p}) ELSE 0 END - {y} + {p})) AS dp,
+  sum(2 * (ln({p} / {y}) + {y} / {p} - 1)) AS dg,
+  avg({y}) AS ybar, min({p}) AS pmin FROM cv GROUP BY 1),
+b2 AS (SELECT c.fold_idx,
+  sum(2 * (CASE WHEN {y} > 0 THEN {y} * ln({y} / g.ybar) ELSE 0 END - {y} + g.ybar)) AS bp,
+  sum(2 * (ln(g.ybar / {y}) + {y} / g.ybar - 1)) AS bg FROM cv c JOIN g USING (fold_idx) GROUP BY 1)
+SELECT fold_idx, {_r('CASE WHEN pmin <= 0 THEN NULL WHEN bp <> 0 THEN 1 - dp / bp END', 'd2_poisson')},
+  {_r('CASE WHEN pmin <= 0 THEN NULL WHEN bg <> 0 THEN 1 - dg / bg END', 'd2_gamma')}
+FROM g JOIN b2 USING (fold_idx)"""
+
+
+def _pin(y: str, p: str, a: float) -> str:
+    return f"({a} * greatest({y} - {p}, 0) + {1 - a} * greatest({p} - {y}, 0))"
+
+
+def sql_score_pinball() -> str:
+    preds = {0.05: "lower", 0.5: "predicted_load_mw", 0.95: "upper"}
+    q = ", ".join(f"quantile_cont(load_mw, {a}) AS q{int(a * 100):02d}" for a in preds)
+    parts = []
+    for a, pc in preds.items():
+        tag = f"{int(round(a * 100)):02d}"
+        parts.append(_r(f"CASE WHEN sum({_pin('load_mw', 'q' + tag, a)}) <> 0 THEN "
+                        f"1 - sum({_pin('load_mw', pc, a)}) / sum({_pin('load_mw', 'q' + tag, a)}) END",
+                        f"d2_pinball_{tag}"))
+    return f"""WITH {cv24_ctes()}, qs AS (SELECT fold_idx, {q} FROM cv GROUP BY 1)
+SELECT fold_idx, {", ".join(parts)} FROM cv JOIN qs USING (fold_idx) GROUP BY 1"""
+
+
+def sql_coverage_width() -> str:
+    return f"""WITH {cv24_ctes()}
+SELECT fold_idx, {_r('round_even(avg(CASE WHEN load_mw >= lower AND load_mw <= upper THEN 1.0 ELSE 0.0 END), 4)', 'coverage')},
+  {_r('round_even(avg(abs(upper - lower)), 1)', 'mean_width')}, CAST(count(*) AS BIGINT) AS n_samples
+FROM cv GROUP BY 1"""
+
+
+def sql_binned_coverage(n_bins: int = 10) -> str:
+    probs = ", ".join(f"CAST({i / n_bins!r} AS DOUBLE)" for i in range(n_bins + 1))
+    return f"""WITH {cv24_ctes()},
+e AS (SELECT list_sort(list_distinct(quantile_cont(load_mw, [{probs}]))) AS edges FROM cv),
+pb AS (SELECT c.load_mw, greatest(len(list_filter(e.edges, lambda v: v < c.load_mw)) - 1, 0) AS pbin FROM cv c CROSS JOIN e),
+bd AS (SELECT pbin, min(load_mw) AS bin_left, max(load_mw) AS bin_right FROM pb GROUP BY 1),
+bl AS (SELECT list_sort(list(bin_left)) AS lefts FROM bd),
+fr AS (SELECT c.*, len(list_filter(bl.lefts, lambda v: v <= c.load_mw)) - 1 AS bin FROM cv c CROSS JOIN bl),
+g AS (SELECT fold_idx, bin, round_even(avg(CASE WHEN load_mw >= lower AND load_mw <= upper THEN 1.0 ELSE 0.0 END), 4) AS coverage,
+             round_even(avg(abs(upper - lower)), 1) AS mean_width, count(*) AS n_samples FROM fr GROUP BY 1, 2),
+bk AS (SELECT bin_left, bin_right, row_number() OVER (ORDER BY bin_left) - 1 AS rk FROM bd)
+SELECT {_r('bin_left')}, {_r('bin_right')}, {_r('(bin_left + bin_right) / 2', 'bin_center')}, fold_idx,
+  {_r('coverage')}, {_r('mean_width')}, CAST(n_samples AS BIGINT) AS n_samples
+FROM g JOIN bk ON g.bin = bk.rk"""
+
+
+def lorenz_ctes() -> str:
+    return f"""{cv24_ctes()},
+lz AS (SELECT 'Model' AS model, fold_idx, prediction_time, load_mw, predicted_load_mw AS ord FROM cv
+       UNION ALL SELECT 'Oracle', fold_idx, prediction_time, load_mw, load_mw FROM cv),
+rk AS (SELECT *, row_number() OVER w AS i,
+          sum(load_mw) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+          count(*) OVER (PARTITION BY model, fold_idx) AS n,
+          sum(load_mw) OVER (PARTITION BY model, fold_idx) AS tot
+       FROM lz WINDOW w AS (PARTITION BY model, fold_idx ORDER BY ord, prediction_time)),
+rk2 AS (SELECT *, cum / tot AS co, lag(cum / tot) OVER w2 AS prev, lead(cum / tot) OVER w2 AS nxt
+        FROM rk WINDOW w2 AS (PARTITION BY model, fold_idx ORDER BY i)),
+gi AS (SELECT model, fold_idx, 1 - 2 * sum(CASE WHEN prev IS NOT NULL THEN (co + prev) / 2 / n END) AS gini_index
+       FROM rk2 GROUP BY 1, 2)"""
+
+
+def sql_lorenz_curve(n_samples: int = 500) -> str:
+    return f"""WITH {lorenz_ctes()},
+pts AS (SELECT model, fold_idx, n, j.j / {n_samples - 1} AS x FROM (SELECT DISTINCT model, fold_idx, n FROM rk2)
+        CROSS JOIN range({n_samples}) j(j)),
+pi AS (SELECT *, least(greatest(floor(x * n), 1), n) AS i FROM pts)
+SELECT pi.model, pi.fold_idx, {_r('pi.x', 'cum_population')},
+  {_r('CASE WHEN pi.x * pi.n <= 1 THEN r.co WHEN pi.i >= pi.n THEN r.co ELSE r.co + (r.nxt - r.co) * (pi.x * pi.n - pi.i) END', 'cum_observed')}
+FROM pi JOIN rk2 r ON r.model = pi.model AND r.fold_idx = pi.fold_idx AND r.i = pi.i"""
+
+
+def sql_gini() -> str:
+    return f"WITH {lorenz_ctes()} SELECT model, fold_idx, {_r('gini_index')} FROM gi"
+
+
+def sql_lorenz_summary(n_samples: int = 500) -> str:
+    return f"""WITH {lorenz_ctes()},
+s AS (SELECT model, avg(gini_index) AS gm, stddev_samp(gini_index) AS gs, var_pop(gini_index) AS vp,
+             count(*) * {n_samples} AS m FROM gi GROUP BY 1)
+SELECT model, {_r('gm', 'gini_mean')}, {_r('gs', 'gini_std')}, {_r('sqrt(vp * m / (m - 1))', 'gini_std_rows')},
+  printf('%s (Gini: %s +/- %s)', model, printf('%.4f', gm), printf('%.4f', sqrt(vp * m / (m - 1)))) AS model_label
+FROM s"""
+
+
+def fold_label_sql(src: str, base: int = 0) -> str:
+    return (f"SELECT fold_idx, printf('#%d - %s to %s', fold_idx + {base}, strftime(min(prediction_time), '%Y-%m-%d'), "
+            f"strftime(max(prediction_time), '%Y-%m-%d')) AS fold_label FROM {src} GROUP BY 1")
+
+
+def nearest_q_sql(col: str, q: float) -> str:
+    return f"list_sort(list({col}))[CAST(floor((count({col}) - 1) * {q} + 0.5) AS BIGINT) + 1]"
+
+
+def _reliability(kind: str, n_bins: int = 10) -> str:
+    probs = ", ".join(f"CAST({i / (n_bins - 1)!r} AS DOUBLE)" for i in range(n_bins))
+    ycol = (_r("avg(load_mw)", "mean_load_mw") if kind == "mean"
+            else _r(nearest_q_sql("load_mw", 0.5), "quantile_of_load_mw"))
+    return f"""WITH {cv24_ctes()},
+ed AS (SELECT fold_idx, quantile_cont(predicted_load_mw, [{probs}]) AS edges FROM cv GROUP BY 1),
+bn AS (SELECT c.*, CAST(len(list_filter(ed.edges, lambda v: v < c.predicted_load_mw)) AS BIGINT) AS bin_idx
+       FROM cv c JOIN ed USING (fold_idx)),
+fl AS ({fold_label_sql('cv')})
+SELECT bn.fold_idx, bin_idx, {_r('avg(predicted_load_mw)', 'mean_predicted_load_mw')}, {ycol}, any_value(fl.fold_label) AS fold_label
+FROM bn JOIN fl USING (fold_idx) GROUP BY 1, 2"""
+
+
+def sql_residuals() -> str:
+    return f"""WITH {cv24_ctes()}, fl AS ({fold_label_sql('cv', 1)})
+SELECT fold_idx, prediction_time, {_r('load_mw')}, {_r('predicted_load_mw')},
+  {_r('predicted_load_mw - load_mw', 'residual')}, fold_label FROM cv JOIN fl USING (fold_idx)"""
+
+
+def _residuals_binned(name: str, ext: str) -> str:
+    return f"""WITH {cv24_ctes()}, r AS (SELECT fold_idx, {ext}(prediction_time) AS {name}, predicted_load_mw - load_mw AS residual FROM cv)
+SELECT fold_idx, CAST({name} AS BIGINT) AS {name}, {_r('round_even(avg(residual), 1)', 'mean_residual')},
+  {_r('round_even(' + nearest_q_sql('residual', 0.25) + ', 1)', 'q25_residual')},
+  {_r('round_even(' + nearest_q_sql('residual', 0.75) + ', 1)', 'q75_residual')}
+FROM r GROUP BY 1, 2"""
+
+
+def _tail_sql(n: int, cols: str) -> str:
+    return f"""WITH {cv24_ctes()}, mx AS (SELECT fold_idx, max(prediction_time) AS m FROM cv GROUP BY 1)
+SELECT {cols} FROM cv JOIN mx USING (fold_idx) WHERE prediction_time > m - INTERVAL {n} HOUR"""
+
+
+def sql_horizon_forecast(past: int = 168) -> str:
+    return f"""WITH {naive_ctes()},
+t0 AS (SELECT (SELECT test_start FROM fb WHERE fold_idx = {K - 1}) + {WARM} AS p0)
+SELECT 'past' AS kind, time, {_r('load_mw', 'value')} FROM series, t0 WHERE pos >= p0 - {past} AND pos <= p0
+UNION ALL
+SELECT 'future', time, {_r('load_mw', 'value')} FROM series, t0 WHERE pos > p0 AND pos <= p0 + {MAXH}
+UNION ALL
+SELECT 'forecast', prediction_time + horizon * INTERVAL 1 HOUR, {_r('predicted_load_mw', 'value')} FROM cv, t0
+WHERE split_pos = p0 - {WARM}"""
+
+
+def fold_scores_cte() -> str:
+    return f"""{cv24_ctes()}, fs AS (SELECT fold_idx, {_point_scores_sql('test_')} FROM cv GROUP BY 1),
+ul AS (UNPIVOT fs ON test_mape, test_r2, test_mae, test_mse INTO NAME metric VALUE value)"""
+
+
+def sql_unpivot_scores() -> str:
+    return f"WITH {fold_scores_cte()} SELECT fold_idx, metric, {_r('value')} FROM ul"
+
+
+def sql_cv_mean_scores() -> str:
+    return f"WITH {fold_scores_cte()} SELECT metric, {_r('avg(value)', 'mean_value')} FROM ul GROUP BY 1"
+
+
+def sql_union_folds() -> str:
+    ps = f"""{_r('avg(abs(load_mw - predicted_load_mw) / greatest(abs(load_mw), 2.220446049250313e-16))', 'mape')},
+  {_r('CASE WHEN var_pop(load_mw) * count(load_mw) > 0 THEN 1 - sum((load_mw - predicted_load_mw) ^ 2) / (var_pop(load_mw) * count(load_mw)) END', 'r2')},
+  CAST(count(*) AS BIGINT) AS n"""
+    return f"""WITH {naive_ctes([24])},
+te AS (SELECT fb.fold_idx, 'test' AS role, nl.* FROM nl JOIN fb ON split_pos >= test_start AND split_pos < test_end),
+tr AS (SELECT fb.fold_idx, 'train' AS role, nl.* FROM nl JOIN fb ON split_pos >= train_start AND split_pos < train_end)
+SELECT fold_idx, role, {ps} FROM tr GROUP BY 1, 2
+UNION ALL
+SELECT fold_idx, role, {ps} FROM te GROUP BY 1, 2"""
+
+
+def sql_score_spread() -> str:
+    return f"""WITH {naive_ctes()}, s AS (SELECT fold_idx, horizon, {_point_scores_sql('test_')} FROM cv GROUP BY 1, 2),
+ul AS (UNPIVOT (SELECT fold_idx, horizon, test_mape, test_r2 FROM s) ON test_mape, test_r2 INTO NAME metric VALUE value)
+SELECT metric, horizon, {_r('min(value)', 'min')}, {_r('quantile_cont(value, 0.25)', 'q25')},
+  {_r('quantile_cont(value, 0.5)', 'median')}, {_r('quantile_cont(value, 0.75)', 'q75')}, {_r('max(value)', 'max')}
+FROM ul GROUP BY 1, 2"""
+
+
+def sql_score_integrated() -> str:
+    return f"""WITH {naive_ctes()}, s AS (SELECT fold_idx, horizon, avg(abs(load_mw - predicted_load_mw)) AS mae,
+       avg((load_mw - predicted_load_mw) ^ 2) AS mse FROM cv GROUP BY 1, 2)
+SELECT fold_idx, {_r('avg(mae)', 'integrated_mae')}, {_r('avg(mse)', 'integrated_mse')},
+  {_r('min(mae)', 'min_mae')}, {_r('max(mae)', 'max_mae')} FROM s GROUP BY 1"""
+
+
+def sql_mae_by_horizon() -> str:
+    return f"""WITH {naive_ctes()}
+SELECT model, horizon, {_r('avg(abs(load_mw - predicted_load_mw))', 'mae')} FROM cv
+WHERE load_mw IS NOT NULL AND predicted_load_mw IS NOT NULL GROUP BY 1, 2"""
+
+
+def sql_conformal_adjust(alpha: float = 0.1) -> str:
+    return f"""WITH {cv24_ctes()},
+sc AS (SELECT fold_idx, greatest(lower - load_mw, load_mw - upper) AS score FROM cv),
+qh AS (SELECT fold_idx + 1 AS fold_idx,
+         list_sort(list(score))[CAST(least(ceil((count(*) + 1) * {1 - alpha}), count(*)) AS BIGINT)] AS q_hat
+       FROM sc GROUP BY 1)
+SELECT fold_idx, {_r('any_value(q_hat)', 'q_hat')},
+  {_r('round_even(avg(CASE WHEN load_mw >= lower AND load_mw <= upper THEN 1.0 ELSE 0.0 END), 4)', 'coverage_raw')},
+  {_r('round_even(avg(CASE WHEN load_mw >= lower - q_hat AND load_mw <= upper + q_hat THEN 1.0 ELSE 0.0 END), 4)', 'coverage_adjusted')},
+  {_r('round_even(avg(upper - lower), 1)', 'width_raw')},
+  {_r('round_even(avg((upper + q_hat) - (lower - q_hat)), 1)', 'width_adjusted')}
+FROM cv JOIN qh USING (fold_idx) GROUP BY 1"""
+
+
+ORACLE.update({
+    "ts_split": sql_ts_split(),
+    "fold_report": sql_fold_report(),
+    "fold_assign": sql_fold_assign(),
+    "year_split": sql_year_split(),
+    "naive_predictions": sql_naive_predictions(),
+    "score_point": sql_score_point(),
+    "scores_by_horizon": sql_scores_by_horizon(),
+    "score_deviance": sql_score_deviance(),
+    "score_pinball": sql_score_pinball(),
+    "coverage_width": sql_coverage_width(),
+    "binned_coverage": sql_binned_coverage(),
+    "lorenz_curve": sql_lorenz_curve(),
+    "gini": sql_gini(),
+    "lorenz_summary": sql_lorenz_summary(),
+    "reliability_mean": _reliability("mean"),
+    "reliability_quantile": _reliability("quantile"),
+    "residuals": sql_residuals(),
+    "residuals_by_hour": _residuals_binned("hour_of_day", "hour"),
+    "residuals_by_month": _residuals_binned("month_of_year", "month"),
+    "interval_table": _tail_sql(240, f"fold_idx, prediction_time, {_r('load_mw')}, {_r('predicted_load_mw')}, {_r('lower')}, {_r('upper')}"),
+    "tail_per_fold": _tail_sql(24, f"fold_idx, prediction_time, {_r('load_mw')}"),
+    "horizon_forecast": sql_horizon_forecast(),
+    "unpivot_scores": sql_unpivot_scores(),
+    "cv_mean_scores": sql_cv_mean_scores(),
+    "union_folds": sql_union_folds(),
+    "score_spread": sql_score_spread(),
+    "score_integrated": sql_score_integrated(),
+    "mae_by_horizon": sql_mae_by_horizon(),
+    "conformal_adjust": sql_conformal_adjust(),
+})
+
+
+ORACLE = {k: _snap_round_even(v) for k, v in ORACLE.items()}

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 from tempora.functions.timecols import truncate
 
+# Bucket sums are rounded to 1e-6: the inputs carry cents, so this removes
+# summation-order noise and makes every engine see identical doubles.
+SUM_DIGITS = 6
+
+
+def exact_sum(c):
+    return F.round(F.sum(c), SUM_DIGITS)
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -43,14 +51,14 @@ def hourly_events(spark: SparkSession, sf_dir: str, by: str | None = None,
     ev = read_table(spark, sf_dir, "events", ["ts", "value"] + ([by] if by else []))
     keys = ([F.col(by).alias("series_id")] if by else [])
     return (ev.groupBy(*keys, truncate("ts", "1 hour").alias("time"))
-              .agg(F.sum("value").alias(value)))
+              .agg(exact_sum("value").alias(value)))
 
 
 def daily_orders(spark: SparkSession, sf_dir: str, value: str = "load_mw") -> DataFrame:
     """Daily target with gaps: ``orders`` → ``sum(o_totalprice)`` per day."""
     o = read_table(spark, sf_dir, "orders", ["o_orderdate", "o_totalprice"])
     return (o.groupBy(truncate("o_orderdate", "1 day").alias("time"))
-             .agg(F.sum("o_totalprice").alias(value)))
+             .agg(exact_sum("o_totalprice").alias(value)))
 
 
 EXOGENOUS_VARS = ("l_quantity", "l_discount", "l_tax", "l_extendedprice")
@@ -72,4 +80,4 @@ def supplier_daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_suppkey", "l_shipdate", "l_quantity"])
     return (li.groupBy(F.col("l_suppkey").alias("series_id"),
                        truncate("l_shipdate", "1 day").alias("time"))
-              .agg(F.sum("l_quantity").alias("load_mw")))
+              .agg(exact_sum("l_quantity").alias("load_mw")))
