@@ -206,10 +206,19 @@ def sample_weight_mask(series: DataFrame, grid: GridSpec, keys=None, lookback: i
 
 def inject_missing_blocks(series: DataFrame, keys=None, value: str = "load_mw",
                           block_len: int = 24, rate_per_mille: int = 100, seed: int = 7) -> DataFrame:
-    """Null whole blocks of ``block_len`` steps chosen by a deterministic hash
-    of (series, block, seed) — robust-training augmentation (#105d)."""
+    """Null whole blocks of ``block_len`` steps chosen by a deterministic
+    arithmetic hash of (series key, block, seed) — robust-training
+    augmentation (#105d).  String keys enter through their first code point
+    and length, integer keys directly."""
     ks = _keys(keys)
     blk = F.floor(F.col("pos") / block_len)
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in ks], blk, F.lit(seed)), F.lit(1000))
+    h = blk * 7919 + F.lit(seed * 1009)
+    for k in ks:
+        dt_ = dict(series.dtypes)[k]
+        if dt_ == "string":
+            h = h + F.ascii(k) * 104729 + F.length(k) * 31
+        else:
+            h = h + F.col(k).cast("long") * 104729
+    h = F.pmod(h, F.lit(1000))
     return series.withColumn(value, F.when(h < rate_per_mille, F.lit(None).cast("double"))
                              .otherwise(F.col(value))).withColumn("injected", h < rate_per_mille)
