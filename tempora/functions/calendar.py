@@ -61,6 +61,19 @@ def holidays(spark: SparkSession, year_from: int, year_to: int) -> DataFrame:
     return years.select(F.inline(F.concat(fixed, movable)))
 
 
+_HOLIDAY_CACHE: dict = {}
+
+
+def holiday_dates(spark: SparkSession, year_from: int, year_to: int) -> list:
+    """Holiday dates as a Python list (≤ 11 per year — a proven bound), for
+    ``isin`` membership tests; computed once per session and year range."""
+    key = (id(spark), int(year_from), int(year_to))
+    if key not in _HOLIDAY_CACHE:
+        _HOLIDAY_CACHE[key] = sorted({r["holiday_date"] for r in
+                                      holidays(spark, year_from, year_to).select("holiday_date").collect()})
+    return _HOLIDAY_CACHE[key]
+
+
 def calendar_columns(time_col: str = "time", tz: str = LOCAL_TZ, prefix: str = "cal_") -> list[Column]:
     """Local hour, ISO weekday, day of year, year (holiday flag needs a join)."""
     lt = local_time(time_col, tz)

@@ -176,20 +176,27 @@ def carry_known(df: DataFrame, keys, pos_col: str, value_col: str,
                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Add ``_prev`` / ``_next`` structs ``(pos, v)``: the last known value at
     or before the row and the first known value at or after it, across any
-    gap length, via a two-level block scan."""
+    gap length, via a two-level block scan.
+
+    The block summaries are window aggregates over the *same* partitioning
+    (keys, block) as the in-block scan, so the source is shuffled once
+    (the summary branch reuses that exchange); only the summary table —
+    one row per block — is re-partitioned by series for the carry."""
     ks = _keys(keys)
     b = int(block_size)
     v = F.col(value_col)
     known = F.when(v.isNotNull(), F.struct(F.col(pos_col).alias("pos"), v.alias("v")))
     d = df.withColumn("_blk", F.floor(F.col(pos_col) / F.lit(b))).withColumn("_known", known)
     w_in = Window.partitionBy(*ks, "_blk").orderBy(pos_col)
+    w_all = Window.partitionBy(*ks, "_blk")
     d = (d.withColumn("_prev_in", F.last("_known", ignorenulls=True)
                       .over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
           .withColumn("_next_in", F.first("_known", ignorenulls=True)
-                      .over(w_in.rowsBetween(0, Window.unboundedFollowing))))
-    # one row per block: last / first known value in the block
-    summ = d.groupBy(*ks, "_blk").agg(F.max("_known").alias("_blk_last"),
-                                      F.min("_known").alias("_blk_first"))
+                      .over(w_in.rowsBetween(0, Window.unboundedFollowing)))
+          .withColumn("_blk_last", F.max("_known").over(w_all))
+          .withColumn("_blk_first", F.min("_known").over(w_all)))
+    summ = d.groupBy(*ks, "_blk").agg(F.first("_blk_last").alias("_blk_last"),
+                                      F.first("_blk_first").alias("_blk_first"))
     ws = Window.partitionBy(*ks).orderBy("_blk")
     carry = summ.select(
         *ks, "_blk",
@@ -197,7 +204,7 @@ def carry_known(df: DataFrame, keys, pos_col: str, value_col: str,
         .alias("_carry_prev"),
         F.first("_blk_first", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing))
         .alias("_carry_next"))
-    out = d.join(carry, on=ks + ["_blk"], how="left")
+    out = d.drop("_blk_last", "_blk_first").join(carry, on=ks + ["_blk"], how="left")
     return (out.withColumn("_prev", F.coalesce("_prev_in", "_carry_prev"))
                .withColumn("_next", F.coalesce("_next_in", "_carry_next"))
                .drop("_blk", "_known", "_prev_in", "_next_in", "_carry_prev", "_carry_next"))

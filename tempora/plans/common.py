@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tempora.functions.rounding import output_round
 from tempora.plans import features as FT
 from tempora.plans.grid_spec import GridSpec
+from tempora.session import materialize
 from tempora.sources import tables as S
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -42,21 +43,21 @@ class Hourly:
 
 
 def hourly(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly:
-    obs = S.hourly_events(spark, sf_dir)
+    obs = materialize(S.hourly_events(spark, sf_dir), "hourly-obs")
     grid = GridSpec.from_data(obs, "time", "1 hour")
     series = FT.target_series(obs, grid, None, "load_mw", interpolate)
     return Hourly(obs, grid, series)
 
 
 def hourly_panel(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly:
-    obs = S.hourly_events(spark, sf_dir, by="event_type")
+    obs = materialize(S.hourly_events(spark, sf_dir, by="event_type"), "panel-obs")
     grid = GridSpec.from_data(obs, "time", "1 hour")
     series = FT.target_series(obs, grid, "series_id", "load_mw", interpolate)
     return Hourly(obs, grid, series)
 
 
 def daily(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly:
-    obs = S.daily_orders(spark, sf_dir)
+    obs = materialize(S.daily_orders(spark, sf_dir), "daily-obs")
     grid = GridSpec.from_data(obs, "time", "1 day")
     series = FT.target_series(obs, grid, None, "load_mw", interpolate)
     return Hourly(obs, grid, series)
@@ -64,12 +65,11 @@ def daily(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly:
 
 def events_covariates(spark: SparkSession, sf_dir: str, grid: GridSpec) -> DataFrame:
     """Hourly event counts per event type as wide covariates
-    ``weather_n_events_{type}`` on the full grid (0 where no event)."""
+    ``weather_n_events_{type}`` (one conditional aggregate, no pivot
+    stages).  Hours without any event are absent here and become 0 when the
+    covariates are aligned to the grid (``fill=0.0``)."""
     ev = S.read_table(spark, sf_dir, "events", ["ts", "event_type"])
     from tempora.functions.timecols import truncate
-    long = (ev.groupBy(truncate("ts", "1 hour").alias("time"), F.col("event_type").alias("city"))
-              .agg(F.count("*").cast("double").alias("value"))
-              .withColumn("variable", F.lit("n_events")))
-    wide = FT.exogenous_wide(long, EVENT_TYPES, ["n_events"], inner=False)
-    full = grid.frame(spark).join(wide, "time", "left")
-    return full.fillna(0.0)
+    return (ev.groupBy(truncate("ts", "1 hour").alias("time"))
+              .agg(*[F.count(F.when(F.col("event_type") == e, 1)).cast("double")
+                     .alias(f"weather_n_events_{e}") for e in EVENT_TYPES]))

@@ -89,24 +89,27 @@ def exogenous_wide(long: DataFrame, cities: Sequence[str], variables: Sequence[s
     of per-city joins; explicit pivot values avoid a distinct-values job.
     ``inner=True`` keeps only times where every city is present (inner-join
     meaning of the reference's star join)."""
-    names = [f"{prefix}_{v}_{c}" for v in variables for c in cities]
     keyed = long.where(F.col("city").isin(list(cities)) & F.col("variable").isin(list(variables)))
-    keyed = keyed.withColumn("_k", F.concat_ws("_", F.lit(prefix), "variable", "city"))
-    wide = keyed.groupBy("time").pivot("_k", names).agg(F.first("value"))
+    aggs = [F.max(F.when((F.col("variable") == v) & (F.col("city") == c), F.col("value")))
+            .alias(f"{prefix}_{v}_{c}") for v in variables for c in cities]
+    # the set of cities per time is bounded by len(cities)
+    wide = keyed.groupBy("time").agg(*aggs, F.size(F.collect_set("city")).alias("_nc"))
     if inner:
-        present = keyed.groupBy("time").agg(F.countDistinct("city").alias("_nc"))
-        wide = wide.join(present.where(F.col("_nc") == len(cities)).select("time"), "time")
-    return wide
+        wide = wide.where(F.col("_nc") == len(cities))
+    return wide.drop("_nc")
 
 
 def covariate_leads(cov: DataFrame, grid: GridSpec, horizons: Sequence[int] = (1, 24),
-                    past: bool = False, block_size: int = W.DEFAULT_BLOCK) -> DataFrame:
+                    past: bool = False, block_size: int = W.DEFAULT_BLOCK,
+                    fill: float | None = None) -> DataFrame:
     """``{c}_future_{h}h`` = covariate at ``t + h`` (#104), or with
     ``past=True`` ``{c}_past_{h}h`` = covariate at ``t - h`` (#105a).
     The covariate table is first aligned to the full grid (left join) so the
     row shift is a clock shift."""
     cols = [c for c in cov.columns if c != "time"]
     full = grid.frame(cov.sparkSession).join(cov, "time", "left").withColumn("pos", grid.pos("time"))
+    if fill is not None:
+        full = full.fillna(fill, subset=cols)
     if past:
         specs = [W.lag_spec(c, h, f"{c}_past_{h}h") for c in cols for h in horizons]
     else:
@@ -124,7 +127,7 @@ def calendar_leads(df: DataFrame, spark: SparkSession, grid: GridSpec,
         return df
     y0 = min(grid.start.year, grid.end.year) - 1
     y1 = max(grid.start.year, grid.end.year) + 1
-    hol = [r["holiday_date"] for r in cal.holidays(spark, y0, y1).select("holiday_date").collect()]
+    hol = cal.holiday_dates(spark, y0, y1)
     cols = []
     tag = "past" if past else "future"
     for name in ["cal_hour_of_day", "cal_day_of_week", "cal_day_of_year", "cal_year", "cal_is_holiday"]:
@@ -162,7 +165,8 @@ def feature_table(series: DataFrame, grid: GridSpec, covariates: DataFrame | Non
                   keys=None, value: str = "load_mw", future_horizons: Sequence[int] = (1, 24),
                   horizons: Sequence[int] = range(1, 25), warmup: int = 168,
                   lag_specs: Sequence[W.Spec] | None = None, past_covariates: bool = False,
-                  with_targets: bool = False, block_size: int = W.DEFAULT_BLOCK) -> DataFrame:
+                  with_targets: bool = False, block_size: int = W.DEFAULT_BLOCK,
+                  covariate_fill: float | None = None) -> DataFrame:
     """``build_features`` (#104): target block at ``prediction_time`` + covariates
     at ``prediction_time + h`` + calendar at ``prediction_time + h``."""
     ks = _keys(keys)
@@ -172,7 +176,8 @@ def feature_table(series: DataFrame, grid: GridSpec, covariates: DataFrame | Non
     tcols = [s.name for s in target_specs(value, horizons)] if with_targets else []
     d = d.select(*ks, "prediction_time", value, *feat_cols, *tcols)
     if covariates is not None:
-        leads = covariate_leads(covariates, grid, future_horizons, past_covariates, block_size)
+        leads = covariate_leads(covariates, grid, future_horizons, past_covariates, block_size,
+                                covariate_fill)
         leads = leads.withColumnRenamed("time", "prediction_time")
         d = d.join(maybe_broadcast(leads, grid.n), "prediction_time", "inner")
     return calendar_leads(d, spark, grid, future_horizons, "prediction_time", past_covariates)

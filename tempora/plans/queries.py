@@ -58,7 +58,7 @@ def q_target_table(spark, sf_dir):
 def q_feature_table(spark, sf_dir):
     h = C.hourly(spark, sf_dir)
     cov = C.events_covariates(spark, sf_dir, h.grid)
-    return N(FT.feature_table(h.series, h.grid, cov))
+    return N(FT.feature_table(h.series, h.grid, cov, covariate_fill=0.0))
 
 
 def q_calendar_features(spark, sf_dir):

@@ -79,7 +79,7 @@ def q_save_load_features(spark, sf_dir):
     h = C.hourly(spark, sf_dir)
     cov = C.events_covariates(spark, sf_dir, h.grid)
     path = _scratch(spark, "features")
-    FS.save_feature_state(FT.feature_table(h.series, h.grid, cov), path,
+    FS.save_feature_state(FT.feature_table(h.series, h.grid, cov, covariate_fill=0.0), path,
                           {"start": h.grid.start, "end": h.grid.end, "future_horizons": [1, 24]})
     table, params = FS.load_feature_state(spark, path)
     assert params["future_horizons"] == [1, 24]
@@ -446,7 +446,7 @@ def q_digitize(spark, sf_dir):
 def q_feature_table_past(spark, sf_dir):
     h = C.hourly(spark, sf_dir)
     cov = C.events_covariates(spark, sf_dir, h.grid)
-    return N(FT.feature_table(h.series, h.grid, cov, past_covariates=True))
+    return N(FT.feature_table(h.series, h.grid, cov, past_covariates=True, covariate_fill=0.0))
 
 
 def q_feature_table_daily(spark, sf_dir):

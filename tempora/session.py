@@ -60,3 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/tables/" + name
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts lineage and makes every later consumer (bounds, block
+    summaries, joins) read the small written table instead of re-scanning
+    the raw source.  Survives executor loss (no local checkpoint)."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
