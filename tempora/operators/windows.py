@@ -104,33 +104,61 @@ def nearest_index(n: int, q: float) -> int:
     return int(math.floor((n - 1) * q + 0.5))
 
 
-def rolling_quantile(c: str, q: float, size: int, method: str = "nearest",
-                     offset: int = 0) -> WinFn:
-    """Trailing quantile over ``size`` rows.  ``linear`` uses the exact
-    ``percentile`` aggregate over the frame; ``nearest`` sorts the frame
-    values and picks index ``round_half_up((size-1)·q)``."""
-    if method == "linear":
-        return rolling_agg(c, size, lambda x: F.percentile(x, F.lit(q)), offset)
-    if method != "nearest":
-        raise ValueError("method must be 'nearest' or 'linear'")
-    idx = nearest_index(size, q) + 1
+@dataclass(frozen=True)
+class Derived:
+    """A column computed by plain expressions over shared window columns.
+
+    ``needs`` are ``(name, window_fn, lookback)`` triples evaluated once in
+    the window pass (deduplicated by name); ``expr`` then reads them.  Rolling
+    quantiles use this so every quantile of one frame shares one sorted
+    frame array instead of re-aggregating the frame per statistic."""
+    needs: tuple
+    expr: Column
+
+    def __sub__(self, other: "Derived") -> "Derived":
+        return Derived(self.needs + other.needs, self.expr - other.expr)
+
+
+def sorted_frame(c: str, size: int, offset: int = 0):
+    """``(name, fn, lookback)`` of the sorted values of a full trailing frame
+    (null unless all ``size`` rows are non-null)."""
+    name = f"_sf_{c}_{size}_{offset}"
 
     def build(w):
         fr = _frame(w, size, offset)
-        return F.when(F.count(c).over(fr) == size,
-                      F.element_at(F.array_sort(F.collect_list(c).over(fr)), idx))
-    return build
+        return F.when(F.count(c).over(fr) == size, F.array_sort(F.collect_list(c).over(fr)))
+    return name, build, size - 1 + offset
+
+
+def quantile_of_sorted(arr: Column, n: int, q: float, method: str) -> Column:
+    """Quantile of a sorted array of known length ``n``."""
+    if method == "nearest":
+        return F.element_at(arr, nearest_index(n, q) + 1)
+    if method != "linear":
+        raise ValueError("method must be 'nearest' or 'linear'")
+    pos = (n - 1) * q
+    lo, hi = int(pos // 1), int(-(-pos // 1))
+    if lo == hi:
+        return F.element_at(arr, lo + 1)
+    # same weighting as Spark's exact percentile
+    return F.element_at(arr, lo + 1) * F.lit(hi - pos) + F.element_at(arr, hi + 1) * F.lit(pos - lo)
+
+
+def rolling_quantile(c: str, q: float, size: int, method: str = "nearest",
+                     offset: int = 0) -> Derived:
+    """Trailing quantile over ``size`` rows: ``linear`` (exact percentile
+    interpolation) or ``nearest`` (index ``round_half_up((size-1)·q)``)."""
+    need = sorted_frame(c, size, offset)
+    return Derived((need,), quantile_of_sorted(F.col(need[0]), size, q, method))
 
 
-def rolling_median(c: str, size: int, offset: int = 0) -> WinFn:
+def rolling_median(c: str, size: int, offset: int = 0) -> Derived:
     """Rolling median: linear at 0.5 (mean of the two middle values)."""
     return rolling_quantile(c, 0.5, size, "linear", offset)
 
 
-def rolling_iqr(c: str, size: int, method: str = "nearest", offset: int = 0) -> WinFn:
-    hi = rolling_quantile(c, 0.75, size, method, offset)
-    lo = rolling_quantile(c, 0.25, size, method, offset)
-    return lambda w: hi(w) - lo(w)
+def rolling_iqr(c: str, size: int, method: str = "nearest", offset: int = 0) -> Derived:
+    return rolling_quantile(c, 0.75, size, method, offset) - rolling_quantile(c, 0.25, size, method, offset)
 
 
 def difference(c: str, k: int = 1) -> WinFn:
@@ -139,21 +167,50 @@ def difference(c: str, k: int = 1) -> WinFn:
 
 @dataclass(frozen=True)
 class Spec:
-    """A named window column with its reach (for block sizing)."""
+    """A named window column with its reach (for block sizing).  ``fn`` is a
+    window function builder or a :class:`Derived` expression."""
     name: str
-    fn: WinFn
+    fn: object
     lookback: int = 0
     lookahead: int = 0
 
 
 def apply_specs(df: DataFrame, keys, pos_col: str, specs: Sequence[Spec],
                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """All specs share one window spec, hence one shuffle and one sort."""
+    """All specs share one window spec, hence one shuffle and one sort.
+    Shared frame arrays of :class:`Derived` specs are computed once."""
     if not specs:
         return df
     lb = max(s.lookback for s in specs)
     la = max(s.lookahead for s in specs)
-    return with_windows(df, keys, pos_col, [(s.name, s.fn) for s in specs], lb, la, block_size)
+    wins, needs, post = [], {}, []
+    for s in specs:
+        if isinstance(s.fn, Derived):
+            for name, fn, _ in s.fn.needs:
+                needs.setdefault(name, fn)
+            post.append(s.fn.expr.alias(s.name))
+        else:
+            wins.append((s.name, s.fn))
+    out = with_windows(df, keys, pos_col, wins + list(needs.items()), lb, la, block_size)
+    if post:
+        out = out.select("*", *post).drop(*needs)
+    return out
+
+
+def plain_window(df: DataFrame, keys, pos_col: str, specs: Sequence[Spec]) -> DataFrame:
+    """Reference evaluation of ``specs`` over one window per series (no
+    blocks) — used by tests to check the halo-block plan."""
+    w = Window.partitionBy(*_keys(keys)).orderBy(pos_col)
+    wins, needs, post = [], {}, []
+    for s in specs:
+        if isinstance(s.fn, Derived):
+            for name, fn, _ in s.fn.needs:
+                needs.setdefault(name, fn)
+            post.append(s.fn.expr.alias(s.name))
+        else:
+            wins.append(s.fn(w).alias(s.name))
+    out = df.select("*", *wins, *[fn(w).alias(n) for n, fn in needs.items()])
+    return out.select("*", *post).drop(*needs) if post else out
 
 
 # ------------------------------------------------------------ spec builders
@@ -187,22 +244,27 @@ def carry_known(df: DataFrame, keys, pos_col: str, value_col: str,
     v = F.col(value_col)
     known = F.when(v.isNotNull(), F.struct(F.col(pos_col).alias("pos"), v.alias("v")))
     d = df.withColumn("_blk", F.floor(F.col(pos_col) / F.lit(b))).withColumn("_known", known)
+    # running frames only: an UNBOUNDED FOLLOWING frame is re-evaluated per
+    # row by Spark (quadratic), so "next known" is a running last() over the
+    # descending order instead.
     w_in = Window.partitionBy(*ks, "_blk").orderBy(pos_col)
+    w_rev = Window.partitionBy(*ks, "_blk").orderBy(F.col(pos_col).desc())
     w_all = Window.partitionBy(*ks, "_blk")
     d = (d.withColumn("_prev_in", F.last("_known", ignorenulls=True)
                       .over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-          .withColumn("_next_in", F.first("_known", ignorenulls=True)
-                      .over(w_in.rowsBetween(0, Window.unboundedFollowing)))
+          .withColumn("_next_in", F.last("_known", ignorenulls=True)
+                      .over(w_rev.rowsBetween(Window.unboundedPreceding, 0)))
           .withColumn("_blk_last", F.max("_known").over(w_all))
           .withColumn("_blk_first", F.min("_known").over(w_all)))
     summ = d.groupBy(*ks, "_blk").agg(F.first("_blk_last").alias("_blk_last"),
                                       F.first("_blk_first").alias("_blk_first"))
     ws = Window.partitionBy(*ks).orderBy("_blk")
+    ws_rev = Window.partitionBy(*ks).orderBy(F.col("_blk").desc())
     carry = summ.select(
         *ks, "_blk",
         F.last("_blk_last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry_prev"),
-        F.first("_blk_first", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing))
+        F.last("_blk_first", ignorenulls=True).over(ws_rev.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry_next"))
     out = d.drop("_blk_last", "_blk_first").join(carry, on=ks + ["_blk"], how="left")
     return (out.withColumn("_prev", F.coalesce("_prev_in", "_carry_prev"))

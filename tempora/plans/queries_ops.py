@@ -277,14 +277,25 @@ def _profile_long(spark, sf_dir):
 
 
 def q_profile_columns(spark, sf_dir):
-    """Column profile (#53): counts, nulls, exact distinct, moments, quantiles."""
+    """Column profile (#53): counts, nulls, exact distinct, moments, quantiles.
+
+    Moments come from one declarative aggregate over the long table; exact
+    distinct counts and quantiles from the map-side pre-aggregated
+    ``(column, value, count)`` table, with ``percentile``'s frequency
+    argument — no per-row quantile buffers."""
     long = _profile_long(spark, sf_dir)
-    return N(long.groupBy("column").agg(
+    mom = long.groupBy("column").agg(
         F.count("*").alias("n_rows"), F.sum(F.col("value").isNull().cast("long")).alias("n_null"),
-        F.countDistinct("value").alias("n_distinct"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.percentile("value", F.lit(0.25)).alias("q25"), F.percentile("value", F.lit(0.5)).alias("median"),
-        F.percentile("value", F.lit(0.75)).alias("q75"), F.max("value").alias("max")))
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    vc = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("_c"))
+    qs = vc.groupBy("column").agg(
+        F.count("*").alias("n_distinct"),
+        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_c")).alias("_q"))
+    out = mom.join(qs, "column").select(
+        "column", "n_rows", "n_null", "n_distinct", "mean", "std", "min",
+        F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q75"), "max")
+    return N(out)
 
 
 def q_profile_histogram(spark, sf_dir, n_bins: int = 10):
@@ -386,7 +397,8 @@ def q_difference(spark, sf_dir):
 
 def q_panel_lagged_block(spark, sf_dir):
     """Big panel (lineitem daily quantity by supplier): daily lag block."""
-    obs = S.supplier_daily_panel(spark, sf_dir)
+    from tempora.session import materialize
+    obs = materialize(S.supplier_daily_panel(spark, sf_dir), "supplier-obs")
     from tempora.plans.grid_spec import GridSpec
     g = GridSpec.from_data(obs, "time", "1 day")
     s = FT.target_series(obs, g, "series_id")

@@ -142,8 +142,7 @@ def test_halo_equals_plain_window(spark):
              W.rolling_spec("m", W.rolling_median("y", 50), 50),
              W.rolling_spec("q", W.rolling_iqr("y", 50), 50)]
     halo = W.apply_specs(df, ["s"], "pos", specs, block_size=64)
-    w = Window.partitionBy("s").orderBy("pos")
-    plain = df.select("pos", *[sp.fn(w).alias(sp.name) for sp in specs])
+    plain = W.plain_window(df, ["s"], "pos", specs).select("pos", "l7", "f5", "m", "q")
     a = {r.pos: tuple(r[1:]) for r in halo.select("pos", "l7", "f5", "m", "q").collect()}
     b = {r.pos: tuple(r[1:]) for r in plain.collect()}
     assert a == b and len(a) == n
