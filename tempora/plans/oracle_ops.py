@@ -305,3 +305,28 @@ lb AS (SELECT pos, load_mw AS y, lag(load_mw, 24) OVER (ORDER BY pos) AS x FROM
 tr AS (SELECT fb.fold_idx, x, y FROM lb JOIN fb ON lb.pos - 168 >= fb.train_start AND lb.pos - 168 < fb.train_end),
 g AS (SELECT fold_idx, covar_pop(x, y) AS cxy, var_pop(x) AS vx, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM tr GROUP BY 1)
 SELECT fold_idx, {_r('cxy * n / (vx * n + 1.0)', 'slope')}, {_r('my - cxy * n / (vx * n + 1.0) * mx', 'intercept')} FROM g"""
+
+
+# ------------------------------------------------------------ streaming twins
+# A window is emitted once the final watermark (max event time − 3 h) passes its end.
+_WM = "(SELECT max(ts) FROM events) - INTERVAL 3 HOUR"
+_HOURLY_CLOSED = f"""SELECT date_trunc('hour', ts) AS time, round(sum(value), 6) AS load_mw, count(*) AS n_events
+FROM events GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_WM}"""
+
+SQL["stream_hourly_watermark"] = f"""WITH h AS ({_HOURLY_CLOSED})
+SELECT time, {_r('load_mw')}, CAST(n_events AS BIGINT) AS n_events FROM h"""
+
+SQL["stream_sliding_24h"] = f"""WITH e AS (SELECT value, date_trunc('hour', ts) - k * INTERVAL 1 HOUR AS ws FROM events, range(24) r(k))
+SELECT ws AS window_start, ws + INTERVAL 24 HOUR AS window_end, CAST(count(*) AS BIGINT) AS n_events,
+  {_r('avg(value)', 'mean_value')}, {_r('max(value)', 'max_value')}
+FROM e GROUP BY ws HAVING ws + INTERVAL 24 HOUR <= {_WM}"""
+
+SQL["stream_lag_state"] = f"""WITH obs AS ({O.PANEL_OBS})
+SELECT o.series_id, o.time, {_r('o.load_mw', 'load_mw')}, {_r('l1.load_mw', 'lag_1h')}, {_r('l24.load_mw', 'lag_24h')}
+FROM obs o LEFT JOIN obs l1 ON l1.series_id = o.series_id AND l1.time = o.time - INTERVAL 1 HOUR
+LEFT JOIN obs l24 ON l24.series_id = o.series_id AND l24.time = o.time - INTERVAL 24 HOUR"""
+
+SQL["stream_calendar_join"] = f"""WITH h AS ({_HOURLY_CLOSED}), {O.holidays_sql('2023', '2025')}
+SELECT time, {_r('load_mw')}, CAST(n_events AS BIGINT) AS n_events,
+  {", ".join(f"{e} AS {n}" for n, e in O.calendar_cols_sql("time"))}
+FROM h"""
