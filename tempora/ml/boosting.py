@@ -17,6 +17,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tempora.operators import ranks as R
 from tempora.session import materialize
 
 
@@ -82,7 +83,9 @@ class LossBoostedRegressor:
         elif self.loss == "gamma":
             agg = (F.sum(y * F.exp(-f) - 1) / F.sum(y * F.exp(-f))).alias("v")
         else:
-            agg = F.percentile(y - f, F.lit(self.quantile)).alias("v")
+            rows = R.linear_quantiles(scored.withColumn("_res", y - f), ["_leaf"], "_res",
+                                      {"v": self.quantile}).collect()   # ≤ 2^max_depth rows
+            return {r["_leaf"]: (r["v"] if r["v"] is not None else 0.0) for r in rows}
         rows = scored.groupBy("_leaf").agg(agg).collect()     # ≤ 2^max_depth rows
         return {r["_leaf"]: (r["v"] if r["v"] is not None else 0.0) for r in rows}
 
@@ -93,7 +96,7 @@ class LossBoostedRegressor:
             work = work.where(F.col("_y") > 0) if self.loss == "gamma" else work.where(F.col("_y") >= 0)
             base = float(work.agg(F.log(F.avg("_y"))).first()[0])
         else:
-            base = float(work.agg(F.percentile("_y", F.lit(self.quantile))).first()[0])
+            base = float(R.linear_quantiles(work, [], "_y", {"b": self.quantile}).first()["b"])
         model = LossBoostedModel(self.loss, base, self.learning_rate, [], self.featuresCol, self.predictionCol)
         work = work.withColumn("_f", F.lit(base))
         for m in range(self.n_rounds):

@@ -2,7 +2,7 @@
 multi-output forest (#130).
 
 Binned quantile regressor: the target is cut at averaged-inverted-CDF edges
-(exact ranks, one ``percentile`` aggregate), a ``RandomForestClassifier``
+(exact ranks by bucketed rank selection), a ``RandomForestClassifier``
 predicts bin probabilities, their cumulative sum starting at 0 is the CDF on
 the edges, and any quantile is read off by linear inversion — all as array
 higher-order functions on the probability vector (no UDF).
@@ -19,15 +19,12 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempora.plans.queries_ops import averaged_inverted_cdf_probs
+from tempora.plans.queries_ops import aicdf_edges
 
 
 def quantile_edges(df: DataFrame, col: str, n_bins: int) -> list[float]:
     """Distinct averaged-inverted-CDF edges (≤ n_bins + 1 values)."""
-    n = df.where(F.col(col).isNotNull()).count()
-    probs = averaged_inverted_cdf_probs(n, [i / n_bins for i in range(n_bins + 1)])
-    e = df.agg(F.percentile(col, F.array(*[F.lit(p) for _, p in probs]))).first()[0]
-    return sorted(set(float(v) for v in e))
+    return [float(v) for v in aicdf_edges(df, col, n_bins)]
 
 
 def bin_index(col: Column, edges: Sequence[float]) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.rounding import round_half_even as bround
+from tempora.operators import ranks as R
 from tempora.operators import windows as W
 
 EPS = sys.float_info.epsilon
@@ -77,9 +78,11 @@ def pinball_scores(df: DataFrame, keys, alphas: Sequence[float] = (0.05, 0.5, 0.
     maps alpha → prediction column (default: the point prediction)."""
     ks = _ks(keys)
     preds = preds or {a: "predicted_load_mw" for a in alphas}
-    qs = df.groupBy(*ks).agg(F.percentile(F.col(y), F.array(*[F.lit(a) for a in alphas])).alias("_q"))
+    names = {a: f"_q{i}" for i, a in enumerate(alphas)}
+    qv = R.linear_quantiles(df, ks, y, {n: a for a, n in names.items()})
+    qs = qv.select(*ks, F.array(*[F.col(names[a]) for a in alphas]).alias("_q"))
     if ks:
-        j = df.join(F.broadcast(qs), ks)  # one row per group
+        j = df.join(qs, ks)               # one row per group; AQE broadcasts when small
     else:
         j = df.withColumn("_q", F.array(*[F.lit(float(v)) for v in qs.first()["_q"]]))
     aggs = []
@@ -109,9 +112,11 @@ def coverage_width(df: DataFrame, keys, y="load_mw", lo="lower", hi="upper") ->
 
 
 def linear_edges(df: DataFrame, keys, col: str, probs: Sequence[float], out: str = "edges") -> DataFrame:
-    """Exact linear quantile edges per group, as one array column."""
-    return df.groupBy(*_ks(keys)).agg(
-        F.percentile(F.col(col), F.array(*[F.lit(float(q)) for q in probs])).alias(out))
+    """Exact linear quantile edges per group, as one array column (bucketed
+    exact rank selection — no per-group value map)."""
+    names = {f"_e{i}": float(q) for i, q in enumerate(probs)}
+    v = R.linear_quantiles(df, keys, col, names)
+    return v.select(*_ks(keys), F.array(*[F.col(n) for n in names]).alias(out))
 
 
 def binned_coverage(df: DataFrame, n_bins: int = 10, y="load_mw", lo="lower", hi="upper",
@@ -144,74 +149,65 @@ def binned_coverage(df: DataFrame, n_bins: int = 10, y="load_mw", lo="lower", hi
 # ------------------------------------------------------------ quantiles
 
 def group_quantile_nearest(df: DataFrame, keys, col: str, q: float, out: str) -> DataFrame:
-    """Exact nearest-rank quantile (index round_half_up((n-1)·q)) per group.
-    Values are pre-aggregated to (group, value, count) map-side, so the
-    ordered scan runs over distinct values only."""
-    ks = _ks(keys)
-    cnt = df.where(F.col(col).isNotNull()).groupBy(*ks, col).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*ks).orderBy(col)
-    cum = cnt.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-             .withColumn("_tot", F.sum("_c").over(Window.partitionBy(*ks)))
-    target = F.floor((F.col("_tot") - 1) * F.lit(q) + F.lit(0.5))
-    return cum.where((F.col("_cum") - F.col("_c") <= target) & (target < F.col("_cum"))) \
-              .select(*ks, F.col(col).alias(out))
+    """Exact nearest-rank quantile (index round_half_up((n-1)·q)) per group,
+    by bucketed rank selection: only the rows of the one value bucket that
+    holds the rank are ordered."""
+    return R.nearest_quantiles(df, keys, col, {out: q})
 
 
 def group_quantile_linear(df: DataFrame, keys, col: str, q: float, out: str) -> DataFrame:
-    return df.groupBy(*_ks(keys)).agg(F.percentile(F.col(col), F.lit(q)).alias(out))
+    return R.linear_quantiles(df, keys, col, {out: q})
 
 
 def five_number_summary(df: DataFrame, keys, col: str) -> DataFrame:
     """min, linear q25 / median / q75, max per group (#52)."""
-    return df.groupBy(*_ks(keys)).agg(
-        F.min(col).alias("min"),
-        F.percentile(F.col(col), F.lit(0.25)).alias("q25"),
-        F.percentile(F.col(col), F.lit(0.5)).alias("median"),
-        F.percentile(F.col(col), F.lit(0.75)).alias("q75"),
-        F.max(col).alias("max"))
+    ks = _ks(keys)
+    mm = df.groupBy(*ks).agg(F.min(col).alias("min"), F.max(col).alias("max"))
+    q = R.linear_quantiles(df, ks, col, {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    out = mm.join(q, ks) if ks else mm.withColumns({c: F.lit(v) for c, v in q.first().asDict().items()})
+    return out.select(*ks, "min", "q25", "median", "q75", "max")
 
 
 # ------------------------------------------------------------ Lorenz / Gini
 
 def lorenz(df: DataFrame, keys, y: str = "load_mw", order: str = "predicted_load_mw",
            tie: str = "prediction_time") -> DataFrame:
-    """Ranked cumulative shares per group (#64, #116, C7).  Adds ``_i``
-    (1-based rank by ``(order, tie)``), ``_n``, ``cum_population``,
-    ``cum_observed`` and the next point's share ``_next``."""
+    """Ranked cumulative shares per group (#64, #116, C7): ``_i`` (1-based
+    rank by ``(order, tie)``), ``_n``, ``cum_population``, ``cum_observed``.
+    The running sum is a distributed prefix scan over value buckets (see
+    :mod:`tempora.operators.ranks`), so a huge fold is never sorted in one
+    task."""
     ks = _ks(keys)
-    w = Window.partitionBy(*ks).orderBy(order, tie)
-    whole = Window.partitionBy(*ks)
-    return (df.select(*ks, y, order, tie)
-              .withColumn("_i", F.row_number().over(w))
-              .withColumn("_cum", F.sum(y).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_n", F.count("*").over(whole))
-              .withColumn("_tot", F.sum(y).over(whole))
-              .withColumn("cum_population", F.col("_i") / F.col("_n"))
-              .withColumn("cum_observed", F.col("_cum") / F.col("_tot"))
-              .withColumn("_prev", F.lag("cum_observed").over(w))
-              .withColumn("_next", F.lead("cum_observed").over(w)))
+    r = R.prefix_ranks(df.select(*ks, y, order, tie), ks, order, tie, y)
+    return (r.withColumn("cum_population", F.col("_i") / F.col("_n"))
+             .withColumn("cum_observed", F.col("_cum") / F.col("_tot")))
 
 
 def gini(ranked: DataFrame, keys) -> DataFrame:
-    """``1 - 2·AUC`` by trapezoids between consecutive points (first point
-    at 1/N, no origin)."""
+    """``1 - 2·AUC`` by trapezoids between consecutive points (first point at
+    1/N, no origin).  The trapezoid sum telescopes to
+    ``ΣL/N - (L_1 + L_N)/(2N)``, so it is one aggregate — no ordered pass."""
     ks = _ks(keys)
-    trap = F.when(F.col("_prev").isNotNull(), (F.col("cum_observed") + F.col("_prev")) / 2 / F.col("_n"))
-    return ranked.groupBy(*ks).agg((1 - 2 * F.sum(trap)).alias("gini_index"))
+    g = ranked.groupBy(*ks).agg(F.sum("cum_observed").alias("_sl"), F.first("_n").alias("_n"),
+                                F.min_by("cum_observed", "_i").alias("_l1"),
+                                F.max_by("cum_observed", "_i").alias("_ln"))
+    auc = F.col("_sl") / F.col("_n") - (F.col("_l1") + F.col("_ln")) / (2 * F.col("_n"))
+    return g.select(*ks, (1 - 2 * auc).alias("gini_index"))
 
 
 def lorenz_grid(ranked: DataFrame, keys, n_samples: int = 500) -> DataFrame:
     """Curve resampled on ``linspace(0, 1, n_samples)`` with ``np.interp``
-    semantics (clamped at both ends).  Each grid point joins the one ranked
-    row ``i = floor(x·N)`` (clamped to [1, N]) on an equi-key."""
+    semantics (clamped at both ends).  Each grid point joins the ranked rows
+    ``i = floor(x·N)`` (clamped to [1, N]) and ``i + 1`` on equi-keys."""
     ks = _ks(keys)
     sizes = ranked.groupBy(*ks).agg(F.first("_n").alias("_n"))
     pts = sizes.select(*ks, "_n", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("_j"))
     x = F.col("_j") / F.lit(n_samples - 1)
     pts = pts.withColumn("cum_population", x).withColumn(
         "_i", F.least(F.greatest(F.floor(x * F.col("_n")), F.lit(1)), F.col("_n")).cast("long"))
-    r = ranked.select(*ks, "_i", F.col("cum_observed").alias("_l"), F.col("_next").alias("_ln"))
-    j = pts.join(r, ks + ["_i"])
+    r = ranked.select(*ks, "_i", F.col("cum_observed").alias("_l"))
+    rn = ranked.select(*ks, (F.col("_i") - 1).alias("_i"), F.col("cum_observed").alias("_ln"))
+    j = pts.join(r, ks + ["_i"]).join(rn, ks + ["_i"], "left")
     frac = x * F.col("_n") - F.col("_i")
     val = (F.when(x * F.col("_n") <= 1, F.col("_l"))
              .when(F.col("_i") >= F.col("_n"), F.col("_l"))

@@ -309,15 +309,11 @@ def q_conformal_adjust(spark, sf_dir, alpha: float = 0.1):
     ``ceil((n+1)(1-alpha))``-th smallest score."""
     cv = _cv24(spark, sf_dir)
     sc = cv.withColumn("score", F.greatest(F.col("lower") - F.col("load_mw"), F.col("load_mw") - F.col("upper")))
-    cnt = sc.groupBy("fold_idx", "score").agg(F.count("*").alias("_c"))
-    from pyspark.sql import Window as Wn
-    w = Wn.partitionBy("fold_idx").orderBy("score")
-    cum = cnt.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Wn.unboundedPreceding, 0))) \
-             .withColumn("_tot", F.sum("_c").over(Wn.partitionBy("fold_idx")))
-    rank = F.least(F.ceil((F.col("_tot") + 1) * F.lit(1 - alpha)), F.col("_tot"))
-    qhat = cum.where((F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))) \
-              .select((F.col("fold_idx") + 1).alias("fold_idx"), F.col("score").alias("q_hat"))
-    j = cv.join(F.broadcast(qhat), "fold_idx")
+    from tempora.operators import ranks as R
+    rank = F.least(F.ceil((F.col("_n") + 1) * F.lit(1 - alpha)), F.col("_n"))
+    qhat = R.values_at_ranks(sc, ["fold_idx"], "score", {"q_hat": rank}) \
+            .select((F.col("fold_idx") + 1).alias("fold_idx"), "q_hat")
+    j = cv.join(F.broadcast(qhat), "fold_idx")  # one row per fold
     lo2, hi2 = F.col("lower") - F.col("q_hat"), F.col("upper") + F.col("q_hat")
     y = F.col("load_mw")
     return N(j.groupBy("fold_idx").agg(

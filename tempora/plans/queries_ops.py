@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tempora.functions import calendar as cal
 from tempora.functions.timecols import micros, shift_time, truncate
 from tempora.operators import joins as J
+from tempora.operators import ranks as R
 from tempora.operators import windows as W
 from tempora.operators.grid import preview_head
 from tempora.plans import common as C
@@ -165,9 +166,8 @@ def q_high_iqr_dates(spark, sf_dir):
     """Dates whose 7-day rolling IQR exceeds the 90th percentile of that IQR (#28)."""
     h = C.hourly(spark, sf_dir)
     lb = FT.lagged_block(h.series).select("time", "load_mw_iqr_7d")
-    thr = lb.agg(F.percentile("load_mw_iqr_7d", F.lit(0.9)).alias("thr"))
-    return N(lb.join(F.broadcast(thr), F.col("load_mw_iqr_7d") > F.col("thr"))
-             .select(F.to_date("time").alias("date")).distinct())
+    thr = R.linear_quantiles(lb, [], "load_mw_iqr_7d", {"thr": 0.9}).first()["thr"]  # one scalar
+    return N(lb.where(F.col("load_mw_iqr_7d") > F.lit(thr)).select(F.to_date("time").alias("date")).distinct())
 
 
 def q_holiday_flag(spark, sf_dir):
@@ -252,17 +252,14 @@ def q_group_std(spark, sf_dir):
 
 def q_group_quantile_linear(spark, sf_dir):
     li = _li(spark, sf_dir)
-    return N(li.groupBy("l_returnflag").agg(*[F.percentile("l_extendedprice", F.lit(q)).alias(f"q{int(q*100)}")
-                                              for q in (0.1, 0.5, 0.9)]))
+    return N(R.linear_quantiles(li, ["l_returnflag"], "l_extendedprice",
+                                {f"q{int(q * 100)}": q for q in (0.1, 0.5, 0.9)}))
 
 
 def q_group_quantile_nearest(spark, sf_dir):
     li = _li(spark, sf_dir)
-    out = None
-    for q in (0.1, 0.5, 0.9):
-        part = EV.group_quantile_nearest(li, ["l_returnflag"], "l_extendedprice", q, f"q{int(q*100)}")
-        out = part if out is None else out.join(part, "l_returnflag")
-    return N(out)
+    return N(R.nearest_quantiles(li, ["l_returnflag"], "l_extendedprice",
+                                 {f"q{int(q * 100)}": q for q in (0.1, 0.5, 0.9)}))
 
 
 def q_five_number_summary(spark, sf_dir):
@@ -280,21 +277,18 @@ def q_profile_columns(spark, sf_dir):
     """Column profile (#53): counts, nulls, exact distinct, moments, quantiles.
 
     Moments come from one declarative aggregate over the long table; exact
-    distinct counts and quantiles from the map-side pre-aggregated
-    ``(column, value, count)`` table, with ``percentile``'s frequency
-    argument — no per-row quantile buffers."""
+    distinct counts from the map-side pre-aggregated ``(column, value)``
+    table; exact quantiles from bucketed rank selection."""
     long = _profile_long(spark, sf_dir)
     mom = long.groupBy("column").agg(
         F.count("*").alias("n_rows"), F.sum(F.col("value").isNull().cast("long")).alias("n_null"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    vc = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("_c"))
-    qs = vc.groupBy("column").agg(
-        F.count("*").alias("n_distinct"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_c")).alias("_q"))
-    out = mom.join(qs, "column").select(
-        "column", "n_rows", "n_null", "n_distinct", "mean", "std", "min",
-        F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q75"), "max")
+    nd = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("_c")) \
+             .groupBy("column").agg(F.count("*").alias("n_distinct"))
+    qs = R.linear_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    out = mom.join(nd, "column").join(qs, "column").select(
+        "column", "n_rows", "n_null", "n_distinct", "mean", "std", "min", "q25", "median", "q75", "max")
     return N(out)
 
 
@@ -533,30 +527,32 @@ def q_origin_overlay(spark, sf_dir):
     return N(ro.where((F.col("origin") < 12) & (F.col("pos") < first + 90)))
 
 
-def averaged_inverted_cdf_probs(n: int, qs) -> list[tuple[int, float]]:
-    """Per requested quantile q: the exact linear-percentile probability that
-    picks the averaged-inverted-CDF value (C8) from ``n`` sorted values."""
-    import math
-    out = []
-    for i, q in enumerate(qs):
-        j = n * q
-        if abs(j - round(j)) < 1e-9 and 0 < round(j) < n:
-            pos0 = round(j) - 0.5            # mean of x[j] and x[j+1] (1-based)
-        else:
-            pos0 = min(max(math.ceil(j), 1), n) - 1
-        out.append((i, pos0 / (n - 1) if n > 1 else 0.0))
-    return out
-
-
 def target_bin_edges(df: DataFrame, col: str, n_bins: int) -> DataFrame:
     """Quantile bin edges by averaged inverted CDF (#92): one count job, then
-    one exact ``percentile`` aggregate at the computed probabilities; equal
-    edges collapse."""
+    exact values at the needed ranks (bucketed rank selection); equal edges
+    collapse."""
+    vals = aicdf_edges(df, col, n_bins)
+    spark = df.sparkSession
+    return spark.createDataFrame(list(enumerate(vals)), "edge_idx long, edge double")  # ≤ n_bins + 1 rows
+
+
+def aicdf_edges(df: DataFrame, col: str, n_bins: int) -> list[float]:
+    """Distinct averaged-inverted-CDF edges (≤ n_bins + 1 values): x[ceil j]
+    or, when j = n·q is an integer, the mean of x[j] and x[j+1]."""
+    import math
     n = df.where(F.col(col).isNotNull()).count()
-    qs = [i / n_bins for i in range(n_bins + 1)]
-    probs = averaged_inverted_cdf_probs(n, qs)
-    arr = df.agg(F.percentile(col, F.array(*[F.lit(p) for _, p in probs])).alias("e"))
-    return arr.select(F.posexplode(F.array_distinct("e")).alias("edge_idx", "edge"))
+    ranks, plan = {}, []
+    for i in range(n_bins + 1):
+        j = n * i / n_bins
+        if abs(j - round(j)) < 1e-9 and 0 < round(j) < n:
+            a, b = int(round(j)), int(round(j)) + 1
+        else:
+            a = b = min(max(math.ceil(j), 1), n)
+        ranks[f"r{a}"] = F.lit(a)
+        ranks[f"r{b}"] = F.lit(b)
+        plan.append((a, b))
+    row = R.values_at_ranks(df, [], col, ranks).first().asDict()
+    return sorted({(row[f"r{a}"] + row[f"r{b}"]) / 2 if a != b else row[f"r{a}"] for a, b in plan})
 
 
 def q_target_bins(spark, sf_dir):
