@@ -97,3 +97,11 @@ def prepare(train: DataFrame, test: DataFrame | None, cols: Sequence[str]):
 
 def pipeline(stages) -> Pipeline:
     return Pipeline(stages=list(stages))
+
+
+def pairwise_interactions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``PolynomialFeatures(degree=2, interaction_only=True)`` (#93) as plain
+    Catalyst products ``{a}_x_{b}`` for every pair a < b."""
+    cols = list(cols)
+    return df.select("*", *[(F.col(a) * F.col(b)).alias(f"{a}_x_{b}")
+                            for i, a in enumerate(cols) for b in cols[i + 1:]])

@@ -330,3 +330,12 @@ SQL["stream_calendar_join"] = f"""WITH h AS ({_HOURLY_CLOSED}), {O.holidays_sql(
 SELECT time, {_r('load_mw')}, CAST(n_events AS BIGINT) AS n_events,
   {", ".join(f"{e} AS {n}" for n, e in O.calendar_cols_sql("time"))}
 FROM h"""
+
+
+_IC = ["load_mw_lag_1h", "load_mw_lag_2h", "load_mw_lag_3h", "load_mw_lag_1d"]
+_IK = {"load_mw_lag_1h": 1, "load_mw_lag_2h": 2, "load_mw_lag_3h": 3, "load_mw_lag_1d": 24}
+SQL["pairwise_interactions"] = (f"WITH {O.hourly_ctes()}, l AS (SELECT time, "
+                                + ", ".join(f"lag(load_mw, {_IK[c]}) OVER (ORDER BY pos) AS {c}" for c in _IC)
+                                + " FROM series) SELECT time, "
+                                + _sel([(f"{a}_x_{b}", f"{a} * {b}") for i, a in enumerate(_IC) for b in _IC[i + 1:]])
+                                + " FROM l")

@@ -611,6 +611,16 @@ def q_ridge_1d(spark, sf_dir, alpha: float = 1.0):
     return N(g.select("fold_idx", slope.alias("slope"), (F.col("my") - slope * F.col("mx")).alias("intercept")))
 
 
+def q_pairwise_interactions(spark, sf_dir):
+    """Degree-2 interaction terms of the short lags (#93)."""
+    from tempora.ml.assemble import pairwise_interactions
+    h = C.hourly(spark, sf_dir)
+    cols = ["load_mw_lag_1h", "load_mw_lag_2h", "load_mw_lag_3h", "load_mw_lag_1d"]
+    lb = FT.lagged_block(h.series, specs=[s for s in FT.lagged_block_specs() if s.name in cols])
+    out = pairwise_interactions(lb.select("time", *cols), cols)
+    return N(out.select("time", *[c for c in out.columns if "_x_" in c]))
+
+
 QUERIES_OPS = {
     "scan_parquet": q_scan_parquet, "literal_table": q_literal_table, "explode_payload": q_explode_payload,
     "scan_load_csv": q_scan_load_csv, "sink_idempotent": q_sink_idempotent,
@@ -639,5 +649,5 @@ QUERIES_OPS = {
     "lag_safe_features": q_lag_safe_features, "inject_missing_blocks": q_inject_missing_blocks,
     "rolling_origin": q_rolling_origin, "rolling_origin_mae": q_rolling_origin_mae,
     "origin_overlay": q_origin_overlay, "target_bins": q_target_bins, "inverse_cdf": q_inverse_cdf,
-    "ridge_1d": q_ridge_1d,
+    "ridge_1d": q_ridge_1d, "pairwise_interactions": q_pairwise_interactions,
 }
