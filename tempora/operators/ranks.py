@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.session import materialize
+
 N_BUCKETS = 256
 
 
@@ -49,7 +51,24 @@ def with_value_buckets(df: DataFrame, keys, col: str, n_buckets: int = N_BUCKETS
         F.count(col).alias("_n"),
         F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), accuracy).alias("_cuts"))
     j = df.where(F.col(col).isNotNull()).join(g, ks)
-    return j.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(col)))).drop("_cuts")
+    return count_below(j, "_cuts", F.col(col), n_buckets - 1, "_b").drop("_cuts")
+
+
+def count_below(df: DataFrame, cuts: str, v: Column, length: int, out: str) -> DataFrame:
+    """Add ``out`` = number of entries of the sorted array ``cuts`` that are
+    ``< v``, by binary search over fixed steps: log2(length) codegen'd
+    comparisons per row (one projection per step) instead of a lambda over
+    every cut."""
+    step = 1
+    while step * 2 <= length:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    while step >= 1:
+        cand = F.col(out) + F.lit(step)
+        df = df.withColumn(out, F.when(F.coalesce(F.try_element_at(F.col(cuts), cand) < v, F.lit(False)),
+                                       cand).otherwise(F.col(out)))
+        step //= 2
+    return df
 
 
 def bucket_offsets(bucketed: DataFrame, keys, y: str | None = None) -> DataFrame:
@@ -71,9 +90,12 @@ def values_at_ranks(df: DataFrame, keys, col: str, ranks: dict, n_buckets: int =
     Column expression of ``_n`` (the group's non-null count).  Returns one
     row per group with one column per name."""
     df, ks, tmp = _grouped(df, keys)
-    b = with_value_buckets(df.select(*ks, col), ks, col, n_buckets)
+    # the sketch, bucket counts and target rows all read one written narrow
+    # projection instead of recomputing the upstream plan per branch
+    proj = materialize(df.select(*ks, col).where(F.col(col).isNotNull()), "ranks")
+    b = with_value_buckets(proj, ks, col, n_buckets)
     off = bucket_offsets(b, ks)
-    sizes = b.groupBy(*ks).agg(F.first("_n").alias("_n"))
+    sizes = off.groupBy(*ks).agg(F.sum("_bn").alias("_n"))
     req = sizes.select(*ks, F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), v.cast("long").alias("_r"))
                                                 for k, v in ranks.items()])).alias("_q")) \
                .select(*ks, "_q._name", "_q._r")
@@ -104,8 +126,9 @@ def linear_quantiles(df: DataFrame, keys, col: str, qs: dict, n_buckets: int = N
         ranks[f"{name}__lo"] = F.floor(pos) + 1
         ranks[f"{name}__hi"] = F.ceil(pos) + 1
     df, ks, tmp = _grouped(df, keys)
-    v = values_at_ranks(df, ks, col, ranks, n_buckets)
-    cnt = df.where(F.col(col).isNotNull()).groupBy(*ks).agg(F.count(col).alias("_n"))
+    proj = materialize(df.select(*ks, col).where(F.col(col).isNotNull()), "ranks")
+    v = values_at_ranks(proj, ks, col, ranks, n_buckets)
+    cnt = proj.groupBy(*ks).agg(F.count(col).alias("_n"))
     v = v.join(cnt, ks)
     outs = []
     for name, q in qs.items():
@@ -122,6 +145,7 @@ def prefix_ranks(df: DataFrame, keys, order: str, tie: str, y: str, n_buckets: i
     prefix scan: exact order only inside value buckets, bucket offsets from
     the small bucket table."""
     df, ks, tmp = _grouped(df, keys)
+    df = materialize(df, "prefix")
     b = with_value_buckets(df, ks, order, n_buckets)
     off = bucket_offsets(b, ks, y)
     tot = off.groupBy(*ks).agg(F.sum("_bs").alias("_tot"))
