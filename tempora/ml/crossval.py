@@ -130,3 +130,30 @@ def randomized_search(spark: SparkSession, df: DataFrame, split: TimeSplit, spac
                          "fit_time": float(r["fit_time"]), "score_time": float(r["score_time"]),
                          "score": float(r["r2"]) if r["r2"] is not None else None})
     return spark.createDataFrame(rows)
+
+
+def nested_search(spark: SparkSession, df: DataFrame, outer: TimeSplit, inner_k: int, space: SearchSpace,
+                  make_fit: Callable[[dict], Fitter], label: str, n_iter: int = 2, seed: int = 0,
+                  pos_col: str = "split_pos") -> DataFrame:
+    """Nested search (#113): inside each outer fold's training part a
+    forward split of ``inner_k`` folds ranks ``n_iter`` sampled trials by
+    mean inner R²; the best trial is refit on the outer train part and
+    scored on the outer test part.  One row per outer fold."""
+    assigned = assign_folds(df, outer, pos_col)
+    rows = []
+    for i in range(outer.k):
+        train = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "train")).drop("fold_idx", "role")
+        test = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "test")).drop("fold_idx", "role")
+        lo, hi = outer.bounds(i)[:2]
+        inner = TimeSplit(hi - lo, inner_k, max(1, (hi - lo) // (inner_k + 1)), outer.gap, None)
+        tr = train.withColumn(pos_col, F.col(pos_col) - F.lit(lo))
+        trials = randomized_search(spark, tr, inner, space, make_fit, label, n_iter, seed)
+        best = trials.groupBy("trial").agg(F.avg("score").alias("m")).orderBy(F.desc("m")).first()
+        params = space.trials(n_iter, seed)[int(best["trial"])]
+        model = make_fit(params)(train)
+        s = default_scorer(model.transform(test), label)
+        rows.append({"fold_idx": i, "best_trial": int(best["trial"]), "inner_r2": float(best["m"]),
+                     **{k: str(v) for k, v in params.items()},
+                     "test_r2": float(s["r2"]) if s["r2"] is not None else None,
+                     "test_mape": float(s["mape"]) if s["mape"] is not None else None})
+    return spark.createDataFrame(rows)     # one row per outer fold

@@ -77,10 +77,22 @@ def origins_table(series: DataFrame, n: int, keys="series_id", value: str = "y",
                     ((F.col("pos") - first) / chunk).cast("long").alias("origin"), "_hist")
 
 
-def fit_gbt(train: DataFrame, label: str, max_iter: int = 15, max_depth: int = 4, seed: int = 0):
+def fit_gbt(train: DataFrame, label: str, max_iter: int = 15, max_depth: int = 4, seed: int = 0,
+            kind: str = "gbt"):
+    """Fit the one-step lag model.  ``kind`` picks the MLlib estimator:
+    boosted trees (default), a random forest or a single tree (#138)."""
+    from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
     va = VectorAssembler(inputCols=lag_feature_names(), outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
-    return va, gbt.fit(va.transform(train))
+    if kind == "gbt":
+        est = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
+    elif kind == "forest":
+        est = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=max_iter,
+                                    maxDepth=max(max_depth, 8), seed=seed)
+    elif kind == "tree":
+        est = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth, seed=seed)
+    else:
+        raise ValueError(f"unknown model kind {kind}")
+    return va, est.fit(va.transform(train))
 
 
 def recursive_forecast(origins: DataFrame, va, model, horizon: int = 60,

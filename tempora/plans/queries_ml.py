@@ -288,6 +288,20 @@ def q_trial_table(spark, sf_dir):
                                                           F.avg("fit_time").alias("mean_fit_time"))
 
 
+def q_nested_search(spark, sf_dir, n_iter: int = 2):
+    """Nested randomised search (#113): 2 outer folds × 2 inner folds."""
+    ft, cols, split = _design(spark, sf_dir)
+    from tempora.plans.split import TimeSplit
+    outer = TimeSplit(split.n, 2, split.t, split.gap, split.max_train)
+    space = CV.SearchSpace({"regParam": CV.LogFloat(1e-4, 10.0),
+                            "dropped": CV.Choice(["none", "rolling", "calendar", "future_24h"])})
+
+    def make_fit(p):
+        kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped"]]))] or cols
+        return _fitter(lambda: LinearRegression(labelCol=LABEL, regParam=p["regParam"]), kept)
+    return CV.nested_search(spark, ft, outer, 2, space, make_fit, LABEL, n_iter=n_iter)
+
+
 # ------------------------------------------------------- recursive / direct
 
 def _panel_y(spark, sf_dir):
@@ -311,6 +325,17 @@ def q_recursive_forecast(spark, sf_dir, horizon: int = 60):
     return rec.join(act, ["series_id", "pos"], "left")
 
 
+def q_recursive_forecast_forest(spark, sf_dir, horizon: int = 24):
+    """The recursive back-test with a random forest as the one-step model (#138)."""
+    s, n = _panel_y(spark, sf_dir)
+    train = FC.lag_matrix(s).where(F.col("pos") < n - 300)
+    va, m = FC.fit_gbt(train, "y", max_iter=20, kind="forest")
+    o = FC.origins_table(s, n)
+    rec = FC.recursive_forecast(o, va, m, horizon)
+    return rec.join(s.select("series_id", "pos", "y"), ["series_id", "pos"], "left") \
+              .dropna(subset=["y"]).groupBy("horizon").agg(F.avg(F.abs(F.col("y") - F.col("y_hat"))).alias("mae"))
+
+
 def q_direct_forecast(spark, sf_dir, horizons=(1, 13, 30, 60)):
     s, n = _panel_y(spark, sf_dir)
     o = FC.origins_table(s, n)
@@ -330,4 +355,5 @@ QUERIES_ML = {
     "spline_basis": q_spline_basis, "nystroem_map": q_nystroem_map,
     "randomized_search": q_randomized_search, "trial_table": q_trial_table,
     "recursive_forecast": q_recursive_forecast, "direct_forecast": q_direct_forecast,
+    "nested_search": q_nested_search, "recursive_forecast_forest": q_recursive_forecast_forest,
 }
