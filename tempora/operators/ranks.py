@@ -71,6 +71,15 @@ def count_below(df: DataFrame, cuts: str, v: Column, length: int, out: str) -> D
     return df
 
 
+def bucketed(df: DataFrame, ks: list, col: str, n_buckets: int = N_BUCKETS, extra=()) -> DataFrame:
+    """Narrow projection with value buckets, written once to the checkpoint
+    folder: the upstream plan and the per-group sketch are computed once,
+    and bucket counts, offsets and the target rows all read the small
+    written table."""
+    proj = materialize(df.select(*ks, col, *extra).where(F.col(col).isNotNull()), "ranks-in")
+    return materialize(with_value_buckets(proj, ks, col, n_buckets), "ranks-bucketed")
+
+
 def bucket_offsets(bucketed: DataFrame, keys, y: str | None = None) -> DataFrame:
     """Per (group, bucket): rows before the bucket (``_off``), its size, and
     optionally the running sum of ``y`` before it (``_yoff``) — computed on
@@ -90,10 +99,11 @@ def values_at_ranks(df: DataFrame, keys, col: str, ranks: dict, n_buckets: int =
     Column expression of ``_n`` (the group's non-null count).  Returns one
     row per group with one column per name."""
     df, ks, tmp = _grouped(df, keys)
-    # the sketch, bucket counts and target rows all read one written narrow
-    # projection instead of recomputing the upstream plan per branch
-    proj = materialize(df.select(*ks, col).where(F.col(col).isNotNull()), "ranks")
-    b = with_value_buckets(proj, ks, col, n_buckets)
+    out = _values_from_buckets(bucketed(df, ks, col, n_buckets), ks, col, ranks)
+    return out.drop("_all") if tmp else out
+
+
+def _values_from_buckets(b: DataFrame, ks: list, col: str, ranks: dict) -> DataFrame:
     off = bucket_offsets(b, ks)
     sizes = off.groupBy(*ks).agg(F.sum("_bn").alias("_n"))
     req = sizes.select(*ks, F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), v.cast("long").alias("_r"))
@@ -107,8 +117,7 @@ def values_at_ranks(df: DataFrame, keys, col: str, ranks: dict, n_buckets: int =
     w = Window.partitionBy(*ks, "_b").orderBy(col)
     ranked = rows.withColumn("_lr", F.row_number().over(w))
     hit = ranked.join(tgt, ks + ["_b"]).where(F.col("_lr") == F.col("_local")).select(*ks, "_name", col)
-    out = hit.groupBy(*ks).pivot("_name", list(ranks)).agg(F.first(col))
-    return out.drop("_all") if tmp else out
+    return hit.groupBy(*ks).pivot("_name", list(ranks)).agg(F.first(col))
 
 
 def nearest_quantiles(df: DataFrame, keys, col: str, qs: dict, n_buckets: int = N_BUCKETS) -> DataFrame:
@@ -126,9 +135,9 @@ def linear_quantiles(df: DataFrame, keys, col: str, qs: dict, n_buckets: int = N
         ranks[f"{name}__lo"] = F.floor(pos) + 1
         ranks[f"{name}__hi"] = F.ceil(pos) + 1
     df, ks, tmp = _grouped(df, keys)
-    proj = materialize(df.select(*ks, col).where(F.col(col).isNotNull()), "ranks")
-    v = values_at_ranks(proj, ks, col, ranks, n_buckets)
-    cnt = proj.groupBy(*ks).agg(F.count(col).alias("_n"))
+    b = bucketed(df, ks, col, n_buckets)
+    v = _values_from_buckets(b, ks, col, ranks)
+    cnt = b.groupBy(*ks).agg(F.count(col).alias("_n"))
     v = v.join(cnt, ks)
     outs = []
     for name, q in qs.items():
@@ -145,8 +154,7 @@ def prefix_ranks(df: DataFrame, keys, order: str, tie: str, y: str, n_buckets: i
     prefix scan: exact order only inside value buckets, bucket offsets from
     the small bucket table."""
     df, ks, tmp = _grouped(df, keys)
-    df = materialize(df, "prefix")
-    b = with_value_buckets(df, ks, order, n_buckets)
+    b = bucketed(df, ks, order, n_buckets, extra=[c for c in df.columns if c not in ks and c != order])
     off = bucket_offsets(b, ks, y)
     tot = off.groupBy(*ks).agg(F.sum("_bs").alias("_tot"))
     off = off.join(tot, ks)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions.rounding import round_half_even as bround
 from tempora.operators import ranks as R
+from tempora.session import materialize
 from tempora.operators import windows as W
 
 EPS = sys.float_info.epsilon
@@ -179,8 +180,10 @@ def lorenz(df: DataFrame, keys, y: str = "load_mw", order: str = "predicted_load
     task."""
     ks = _ks(keys)
     r = R.prefix_ranks(df.select(*ks, y, order, tie), ks, order, tie, y)
-    return (r.withColumn("cum_population", F.col("_i") / F.col("_n"))
-             .withColumn("cum_observed", F.col("_cum") / F.col("_tot")))
+    r = (r.withColumn("cum_population", F.col("_i") / F.col("_n"))
+          .withColumn("cum_observed", F.col("_cum") / F.col("_tot")))
+    # written once: Gini, the grid and its two rank joins all read it
+    return materialize(r, "lorenz")
 
 
 def gini(ranked: DataFrame, keys) -> DataFrame:

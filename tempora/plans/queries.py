@@ -88,9 +88,13 @@ WARMUP, MAXH = 168, 24
 
 
 def _hourly_cv(spark, sf_dir, horizons=range(1, 25)):
+    """Out-of-fold prediction table, written once: every evaluation reads it
+    several times (edges, bins, labels, joins) instead of recomputing the
+    window plan behind it."""
+    from tempora.session import materialize
     h = C.hourly(spark, sf_dir)
     split = PR.hourly_split(h.grid)
-    return h, split, PR.cv_predictions(h.series, h.grid, split, horizons=horizons)
+    return h, split, materialize(PR.cv_predictions(h.series, h.grid, split, horizons=horizons), "cv")
 
 
 def _cv24(spark, sf_dir):
