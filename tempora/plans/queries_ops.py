@@ -509,8 +509,10 @@ def rolling_origin(series: DataFrame, n: int, keys="series_id", test_len: int =
 
 
 def q_rolling_origin(spark, sf_dir):
+    from tempora.session import materialize
     p = C.hourly_panel(spark, sf_dir)
-    return N(rolling_origin(p.series, p.grid.n))
+    # three consumers (origins, actuals, history): read the written series
+    return N(rolling_origin(materialize(p.series, "panel-series"), p.grid.n))
 
 
 def q_rolling_origin_mae(spark, sf_dir):
