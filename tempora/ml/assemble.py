@@ -12,29 +12,38 @@ from pyspark.ml.feature import UnivariateFeatureSelector, VarianceThresholdSelec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The reference's tunable column groups (glob patterns).
+# The reference's tunable column groups, as
+# (globs to drop, globs kept back from them).
 DROP_GROUPS = {
-    "none": [],
-    "all": ["*"],
-    "future_1h": ["*_future_1h"],
-    "future_24h": ["*_future_24h"],
-    "past_load": ["load_mw_lag_*", "load_mw_rolling_*", "load_mw_iqr_*"],
-    "rolling": ["load_mw_rolling_*", "load_mw_iqr_*"],
-    "weather": ["weather_*"],
-    "temperature": ["weather_temperature_*"],
-    "moisture": ["weather_moisture_*"],
-    "cloud_cover": ["weather_cloud_cover_*"],
-    "calendar": ["cal_*"],
-    "holiday": ["cal_is_holiday_*"],
+    "none": ([""], []),
+    "load": (["load_*"], []),
+    "rolling_load": (["load_mw_rolling_*"], []),
+    "weather": (["weather_*"], []),
+    "temperature": (["weather_temperature_*"], []),
+    "moisture": (["weather_moisture_*"], []),
+    "cloud_cover": (["weather_cloud_cover_*"], []),
+    "calendar": (["cal_*"], []),
+    "holiday": (["cal_is_holiday*"], []),
+    "future_1h": (["*_future_1h"], []),
+    "future_24h": (["*_future_24h"], []),
+    "non_paris_weather": (["weather_*"], ["weather_*_paris_*"]),
 }
 
 
-def resolve(columns: Iterable[str], patterns: Sequence[str]) -> list[str]:
-    """Columns matching any glob (plan-time, on ``df.columns``) (#22)."""
+def resolve(columns: Iterable[str], patterns) -> list[str]:
+    """Columns matching the selector (#22, #23): a list of globs, or a
+    ``(include, exclude)`` pair for glob set difference; resolved at plan
+    time on ``df.columns``."""
     cols = list(columns)
+    if isinstance(patterns, tuple):
+        inc, exc = patterns
+    else:
+        inc, exc = patterns, []
     hit = set()
-    for p in patterns:
+    for p in inc:
         hit.update(fnmatch.filter(cols, p))
+    for p in exc:
+        hit.difference_update(fnmatch.filter(cols, p))
     return [c for c in cols if c in hit]
 
 

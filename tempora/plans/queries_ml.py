@@ -268,17 +268,31 @@ def q_nystroem_map(spark, sf_dir):
 
 
 def q_randomized_search(spark, sf_dir, n_iter: int = 3):
+    """Randomised search over the reference's space (#111, #112): loss in
+    {squared_error, poisson, gamma}, learning rate log-uniform 0.01..1,
+    max leaf nodes log-int 3..300 (→ depth ceil(log2 leaves), documented
+    deviation), dropped column group; 2 forward folds, test R²."""
+    import math
     ft, cols, split = _design(spark, sf_dir)
     from tempora.plans.split import TimeSplit
     split2 = TimeSplit(split.n, 2, split.t, split.gap, split.max_train)
-    space = CV.SearchSpace({"stepSize": CV.LogFloat(0.01, 1.0), "maxDepth": CV.LogInt(2, 6),
-                            "dropped": CV.Choice(list(A.DROP_GROUPS)[:6])})
+    space = CV.SearchSpace({"loss": CV.Choice(["squared_error", "poisson", "gamma"], "squared_error"),
+                            "learning_rate": CV.LogFloat(0.01, 1.0, 0.1),
+                            "max_leaf_nodes": CV.LogInt(3, 300, 30),
+                            "dropped_cols": CV.Choice(list(A.DROP_GROUPS), "none")})
 
     def make_fit(p):
-        kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped"]]))] or cols
-        return _fitter(lambda: GBTRegressor(labelCol=LABEL, stepSize=p["stepSize"], maxDepth=p["maxDepth"],
-                                            maxIter=8, seed=0), kept)
-    return CV.randomized_search(spark, ft, split2, space, make_fit, LABEL, n_iter=n_iter, model_name="gbt")
+        kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped_cols"]]))] or cols
+        depth = max(1, min(10, math.ceil(math.log2(p["max_leaf_nodes"]))))
+        if p["loss"] == "squared_error":
+            make = lambda: GBTRegressor(labelCol=LABEL, stepSize=p["learning_rate"],
+                                        maxDepth=depth, maxIter=8, seed=0)
+        else:
+            make = lambda: LossBoostedRegressor(loss=p["loss"], n_rounds=4,
+                                                learning_rate=p["learning_rate"], max_depth=min(depth, 5),
+                                                labelCol=LABEL)
+        return _fitter(make, kept)
+    return CV.randomized_search(spark, ft, split2, space, make_fit, LABEL, n_iter=n_iter, model_name="boosted_trees")
 
 
 def q_trial_table(spark, sf_dir):
@@ -294,7 +308,7 @@ def q_nested_search(spark, sf_dir, n_iter: int = 2):
     from tempora.plans.split import TimeSplit
     outer = TimeSplit(split.n, 2, split.t, split.gap, split.max_train)
     space = CV.SearchSpace({"regParam": CV.LogFloat(1e-4, 10.0),
-                            "dropped": CV.Choice(["none", "rolling", "calendar", "future_24h"])})
+                            "dropped": CV.Choice(["none", "rolling_load", "calendar", "future_24h"])})
 
     def make_fit(p):
         kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped"]]))] or cols
