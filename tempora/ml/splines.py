@@ -55,6 +55,21 @@ class SplineModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return df.select("*", *self.columns())
 
+    def basis_array(self, c: str) -> Column:
+        """The ``n_splines`` basis values of one input as one array (a small
+        expression per input instead of ``n_splines`` inlined ones)."""
+        lo, hi = self.bounds[c]
+        h = (hi - lo) / (self.n_knots - 1) if hi > lo else 1.0
+        x = F.least(F.greatest(F.col(c).cast("double"), F.lit(lo)), F.lit(hi))
+        return F.transform(F.sequence(F.lit(0), F.lit(self.n_splines - 1)),
+                           lambda j: cardinal_cubic((x - (F.lit(lo) + (j - F.lit(self.degree)) * F.lit(h)))
+                                                    / F.lit(h)))
+
+    def vector(self, df: DataFrame, out: str = "spl") -> DataFrame:
+        """All inputs' bases as one vector column (input-major order)."""
+        arr = F.concat(*[self.basis_array(c) for c in self.bounds])
+        return df.withColumn(out, array_to_vector(arr))
+
 
 def fit_splines(df: DataFrame, cols, n_knots: int = 5) -> SplineModel:
     """Fit = one min / max aggregate over the inputs."""

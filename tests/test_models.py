@@ -24,6 +24,10 @@ def test_spline_partition_of_unity(spark):
     vals = [r[0] for r in out.select(total).collect()]
     assert np.allclose(vals, 1.0)
     assert sp.n_splines == 7
+    from pyspark.ml.functions import vector_to_array as v2a
+    arr = [r[0] for r in sp.vector(probe).select(v2a("spl")).collect()]
+    cols = [list(r) for r in out.select(*[f"x_sp_{j}" for j in range(7)]).collect()]
+    assert np.allclose(arr, cols)
 
 
 def test_nystroem_approximates_kernel(spark):
