@@ -166,3 +166,31 @@ def test_nearest_index_rule():
     assert W.nearest_index(24, 0.25) == 6 and W.nearest_index(24, 0.75) == 17
     assert W.nearest_index(168, 0.75) == 125 and W.nearest_index(168, 0.25) == 42
     assert math.isclose(EV.EPS, 2.220446049250313e-16)
+
+
+def test_split_properties(spark):
+    """Every test row appears in exactly one fold; train ends ``gap`` rows
+    before its test block; train never exceeds the cap."""
+    s = TimeSplit(2000, 5, 150, 24, 600)
+    df = spark.range(2000).withColumnRenamed("id", "split_pos")
+    a = assign_folds(df, s)
+    tests = a.where(F.col("role") == "test").groupBy("split_pos").count()
+    assert tests.where(F.col("count") != 1).count() == 0
+    assert tests.count() == 5 * 150
+    g = a.groupBy("fold_idx", "role").agg(F.min("split_pos").alias("lo"), F.max("split_pos").alias("hi"),
+                                          F.count("*").alias("n")).collect()
+    by = {(r.fold_idx, r.role): r for r in g}
+    for i in range(5):
+        assert by[(i, "test")].lo - by[(i, "train")].hi - 1 == 24
+        assert by[(i, "train")].n <= 600
+
+
+def test_quantiles_monotone_and_coverage_bounded(spark):
+    rows = [(i % 3, float((i * 37) % 101), float((i * 37) % 101) - 5, float((i * 37) % 101) + 5)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "fold_idx long, load_mw double, lower double, upper double")
+    q = EV.linear_edges(df, ["fold_idx"], "load_mw", [0.1, 0.3, 0.5, 0.7, 0.9]).collect()
+    for r in q:
+        assert list(r.edges) == sorted(r.edges)
+    cw = EV.binned_coverage(df, 5).collect()
+    assert all(0.0 <= r.coverage <= 1.0 for r in cw)
