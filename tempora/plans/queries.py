@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tempora.functions import calendar as cal
 from tempora.functions.rounding import round_half_even as bround
-from tempora.operators import windows as W
 from tempora.plans import common as C
 from tempora.plans import features as FT
 

@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tempora.functions import calendar as cal
