@@ -339,3 +339,7 @@ SQL["pairwise_interactions"] = (f"WITH {O.hourly_ctes()}, l AS (SELECT time, "
                                 + " FROM series) SELECT time, "
                                 + _sel([(f"{a}_x_{b}", f"{a} * {b}") for i, a in enumerate(_IC) for b in _IC[i + 1:]])
                                 + " FROM l")
+
+# held until the final watermark (max time − 2 days) passes the row
+SQL["stream_lag_state_ordered"] = SQL["stream_lag_state"] + (
+    "\nWHERE o.time <= (SELECT max(time) FROM obs) - INTERVAL 2 DAY")

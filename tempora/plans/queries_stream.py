@@ -39,9 +39,9 @@ def q_stream_sliding_24h(spark, sf_dir):
     return C.normalize(spark.read.parquet(out))
 
 
-def _hourly_panel_stream(spark, sf_dir):
+def _hourly_panel_stream(spark, sf_dir, swap_adjacent: bool = False):
     obs = S.hourly_events(spark, sf_dir, by="event_type")
-    path = ST.land_daily_files(obs, _path(spark, "panel-landed"), "time")
+    path = ST.land_daily_files(obs, _path(spark, "panel-landed"), "time", swap_adjacent=swap_adjacent)
     schema = "series_id string, time timestamp_ntz, load_mw double, day date"
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
@@ -51,6 +51,14 @@ def q_stream_lag_state(spark, sf_dir):
     return C.normalize(spark.read.parquet(out))
 
 
+def q_stream_lag_state_ordered(spark, sf_dir):
+    """Lag state over day files arriving pairwise out of order, held until
+    the watermark (max time − 2 days) passes each row."""
+    out = ST._run(ST.ordered_stateful_lags(_hourly_panel_stream(spark, sf_dir, swap_adjacent=True)),
+                  "lagstate-ordered")
+    return C.normalize(spark.read.parquet(out).withColumn("time", F.col("time").cast("timestamp_ntz")))
+
+
 def q_stream_late_audit(spark, sf_dir, delay_every: int = 7):
     """Every ``delay_every``-th event (by id) is delivered with the next
     day's file; the audit records those behind the watermark."""
@@ -93,6 +101,7 @@ QUERIES_STREAM = {
     "stream_hourly_watermark": q_stream_hourly_watermark,
     "stream_sliding_24h": q_stream_sliding_24h,
     "stream_lag_state": q_stream_lag_state,
+    "stream_lag_state_ordered": q_stream_lag_state_ordered,
     "stream_late_audit": q_stream_late_audit,
     "stream_calendar_join": q_stream_calendar_join,
     "stream_model_scoring": q_stream_model_scoring,

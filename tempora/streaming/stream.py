@@ -24,14 +24,18 @@ from tempora.session import scratch_path
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double, day date"
 
 
-def land_daily_files(df: DataFrame, path: str, time_col: str = "ts", arrival_col: str | None = None) -> str:
+def land_daily_files(df: DataFrame, path: str, time_col: str = "ts", arrival_col: str | None = None,
+                     swap_adjacent: bool = False) -> str:
     """Land a table as the stream's input: one file per arrival day, written
     in day order so file arrival follows event time (a file source picks up
     files by modification time).  ``arrival_col`` (a date) overrides the
-    arrival day, e.g. to deliver some rows late."""
+    arrival day, e.g. to deliver some rows late; ``swap_adjacent`` lands
+    days pairwise swapped (2, 1, 4, 3, …) — out of order by one day."""
     arr = F.col(arrival_col) if arrival_col else F.to_date(time_col)
     d = df.withColumn("day", arr)
     days = [r["day"] for r in d.select("day").distinct().orderBy("day").collect()]
+    if swap_adjacent:
+        days = [x for i in range(0, len(days), 2) for x in reversed(days[i:i + 2])]
     for day in days:
         d.where(F.col("day") == F.lit(day)).coalesce(1).write.mode("append").parquet(path)
     return path
@@ -148,3 +152,54 @@ def with_calendar(stream: DataFrame, spark: SparkSession, years: tuple[int, int]
     s = s.join(F.broadcast(hol), s["_ld"] == hol["_hd"], "left")
     return s.select("*", *cal.calendar_columns("time")).withColumn("cal_is_holiday", F.col("_hd").isNotNull()) \
             .drop("_ld", "_hd")
+
+
+ORDERED_STATE_SCHEMA = "times array<timestamp_ntz>, values array<double>, emitted_upto timestamp_ntz"
+
+
+def ordered_lag_state_fn(max_lag_hours: int = 168):
+    """#96 with out-of-order input: rows are held in the per-series state
+    until the event-time watermark passes them, then emitted in time order
+    with clock-based lags; an event-time timer wakes the group when the
+    watermark moves past its oldest pending row.  The open tail (rows newer
+    than the final watermark) stays in state, like an open window."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        if state.exists:
+            t, v, upto = state.get
+            buf = dict(zip(pd.to_datetime(list(t)), v))
+            upto = pd.Timestamp(upto) if upto is not None else None
+        else:
+            buf, upto = {}, None
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for r in pdf.itertuples(index=False):
+                    buf[pd.Timestamp(r.time)] = r.load_mw
+        wm_ms = state.getCurrentWatermarkMs()
+        wm = pd.Timestamp(wm_ms, unit="ms") if wm_ms and wm_ms > 0 else None
+        ready = sorted(k for k in buf if (upto is None or k > upto) and wm is not None and k <= wm)
+        out = pd.DataFrame({
+            "series_id": [key[0]] * len(ready), "time": ready, "load_mw": [buf[k] for k in ready],
+            "lag_1h": [buf.get(k - pd.Timedelta(hours=1)) for k in ready],
+            "lag_24h": [buf.get(k - pd.Timedelta(hours=24)) for k in ready]})
+        if ready:
+            upto = ready[-1]
+        if upto is not None:   # keep what later lags can still need
+            keep_from = upto - pd.Timedelta(hours=max_lag_hours)
+            buf = {k: x for k, x in buf.items() if k >= keep_from}
+        pending = sorted(k for k in buf if upto is None or k > upto)
+        if pending:
+            due = int(pending[0].value // 1_000_000) - 1
+            state.setTimeoutTimestamp(max(due, (wm_ms or 0) + 1))
+        ks = sorted(buf)
+        state.update(([k.to_pydatetime() for k in ks], [float(buf[k]) for k in ks],
+                      upto.to_pydatetime() if upto is not None else None))
+        yield out
+    return fn
+
+
+def ordered_stateful_lags(hourly_stream: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Watermarked, order-insensitive form of :func:`stateful_lags`."""
+    s = hourly_stream.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", lateness)
+    out_schema = LAG_OUT_SCHEMA.replace("time timestamp_ntz", "time timestamp")
+    return s.groupBy("series_id").applyInPandasWithState(
+        ordered_lag_state_fn(), out_schema, ORDERED_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
