@@ -88,9 +88,8 @@ def year_split(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Year-based expanding split (#108): fold per year after the first;
     test = that year, train = all earlier years."""
     yr = F.year(time_col)
-    years = df.select(yr.alias("_y")).distinct()
-    y0 = years.agg(F.min("_y")).first()[0]
-    y1 = years.agg(F.max("_y")).first()[0]
+    b = df.agg(F.min(yr).alias("y0"), F.max(yr).alias("y1")).first()   # two scalars
+    y0, y1 = b["y0"], b["y1"]
     seq = F.sequence(F.lit(y0 + 1), F.lit(y1))
     mem = F.transform(F.filter(seq, lambda y: y >= yr),
                       lambda y: F.struct((y - F.lit(y0 + 1)).cast("long").alias("fold_idx"),

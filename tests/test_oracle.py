@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["feature_table", "interpolate_linear", "target_table", "calendar_features", "ts_split",
         "score_pinball", "lorenz_curve", "reliability_quantile", "binned_coverage", "asof_available",
         "rolling_origin", "target_bins", "inverse_cdf", "profile_columns", "feature_table_daily",
-        "lag_matrix", "conformal_adjust", "holiday_flag", "stream_hourly_watermark", "pairwise_interactions"]
+        "lag_matrix", "conformal_adjust", "holiday_flag", "stream_hourly_watermark", "stream_lag_state_ordered", "pairwise_interactions"]
 
 
 @pytest.fixture(scope="module")
