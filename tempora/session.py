@@ -26,6 +26,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # partition sizing: AQE coalesces / splits shuffle partitions toward the
+        # advisory size, scans split files at the same granularity
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                os.environ.get("TEMPORA_PARTITION_BYTES", "128m"))
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("TEMPORA_PARTITION_BYTES", "128m"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
