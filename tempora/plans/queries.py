@@ -248,7 +248,11 @@ def q_horizon_forecast(spark, sf_dir, past_hours: int = 168):
         F.lit("past").alias("kind"), "time", F.col("load_mw").alias("value"))
     fut = s.where((F.col("pos") > t0_pos) & (F.col("pos") <= t0_pos + MAXH)).select(
         F.lit("future").alias("kind"), "time", F.col("load_mw").alias("value"))
-    fc = cv.where(F.col("prediction_time") == t0c).select(
+    at_t0 = cv.where(F.col("prediction_time") == t0c)
+    # row by predicate (#30): the forecast record at t0 must be exactly one
+    if at_t0.select("prediction_time").distinct().limit(2).count() != 1:
+        raise ValueError(f"expected exactly one forecast record at {t0}")
+    fc = at_t0.select(
         F.lit("forecast").alias("kind"), h.grid.shift("prediction_time", 0).alias("_t"), "horizon",
         F.col("predicted_load_mw").alias("value"))
     from tempora.functions.timecols import micros, from_micros

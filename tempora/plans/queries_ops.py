@@ -214,9 +214,11 @@ def _hourly_parts(spark, sf_dir):
 def q_concat_quantiles(spark, sf_dir):
     cv = PR.cv_predictions(*_hourly_parts(spark, sf_dir), horizons=[24])
     keys = ["fold_idx", "prediction_time"]
-    frames = {"lo": cv.select(*keys, F.col("lower").alias("predicted_load_mw_q05")),
-              "mid": cv.select(*keys, F.col("predicted_load_mw").alias("predicted_load_mw_q50")),
-              "hi": cv.select(*keys, F.col("upper").alias("predicted_load_mw_q95"), "load_mw")}
+    # rename by mapping (#19), then key-based horizontal concat (#39)
+    frames = {"lo": cv.select(*keys, "lower").withColumnsRenamed({"lower": "predicted_load_mw_q05"}),
+              "mid": cv.select(*keys, "predicted_load_mw")
+                       .withColumnsRenamed({"predicted_load_mw": "predicted_load_mw_q50"}),
+              "hi": cv.select(*keys, "upper", "load_mw").withColumnsRenamed({"upper": "predicted_load_mw_q95"})}
     return N(J.concat_by_key(frames, keys))
 
 
