@@ -142,6 +142,9 @@ SELECT "column", CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN value IS
   {_r('min(value)', 'min')}, {_r('quantile_cont(value, 0.25)', 'q25')}, {_r('quantile_cont(value, 0.5)', 'median')},
   {_r('quantile_cont(value, 0.75)', 'q75')}, {_r('max(value)', 'max')}
 FROM ul GROUP BY 1"""
+SQL["profile_top_values"] = f"""WITH {_long}, vc AS (SELECT "column", value, count(*) AS n FROM ul WHERE value IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value ASC) AS rank FROM vc)
+SELECT "column", CAST(rank AS BIGINT) AS rank, {_r('value')}, CAST(n AS BIGINT) AS n FROM r WHERE rank <= 5"""
 SQL["profile_histogram"] = f"""WITH {_long}, mm AS (SELECT "column", min(value) AS lo, max(value) AS hi FROM ul GROUP BY 1)
 SELECT "column", CAST(least(floor((value - lo) / (hi - lo) * 10), 9) AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n
 FROM ul JOIN mm USING ("column") GROUP BY 1, 2"""

@@ -293,6 +293,28 @@ def q_profile_columns(spark, sf_dir):
     return N(out)
 
 
+def top_k_per_group(counts: DataFrame, keys, value: str, count: str, k: int, n_buckets: int = 64) -> DataFrame:
+    """Exact top-k by ``(count desc, value asc)`` per group in two levels:
+    top-k inside hash buckets of the value (each bucket a small window),
+    then top-k over the ≤ k·n_buckets winners per group."""
+    from pyspark.sql import Window
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    order = [F.col(count).desc(), F.col(value).asc()]
+    b = counts.withColumn("_hb", F.pmod(F.xxhash64(value), F.lit(n_buckets)))
+    local = b.withColumn("_r", F.row_number().over(Window.partitionBy(*ks, "_hb").orderBy(*order))) \
+             .where(F.col("_r") <= k)
+    top = local.withColumn("rank", F.row_number().over(Window.partitionBy(*ks).orderBy(*order)))
+    return top.where(F.col("rank") <= k).drop("_hb", "_r")
+
+
+def q_profile_top_values(spark, sf_dir, k: int = 5):
+    """Most frequent values per profiled column (#53); a top-k report, so
+    the limit is the feature.  Ties go to the smaller value."""
+    long = _profile_long(spark, sf_dir)
+    vc = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    return N(top_k_per_group(vc, "column", "value", "n", k).select("column", "rank", "value", "n"))
+
+
 def q_profile_histogram(spark, sf_dir, n_bins: int = 10):
     long = _profile_long(spark, sf_dir)
     mm = long.groupBy("column").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
@@ -640,7 +662,7 @@ QUERIES_OPS = {
     "group_mean": q_group_mean, "group_std": q_group_std,
     "group_quantile_linear": q_group_quantile_linear, "group_quantile_nearest": q_group_quantile_nearest,
     "five_number_summary": q_five_number_summary, "profile_columns": q_profile_columns,
-    "profile_histogram": q_profile_histogram,
+    "profile_histogram": q_profile_histogram, "profile_top_values": q_profile_top_values,
     "lag_features": q_lag_features, "lead_features": q_lead_features, "rolling_median": q_rolling_median,
     "rolling_quantile": q_rolling_quantile, "rolling_iqr": q_rolling_iqr,
     "rolling_mean_lagged": q_rolling_mean_lagged, "rolling_std_lagged": q_rolling_std_lagged,
