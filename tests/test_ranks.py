@@ -43,3 +43,15 @@ def test_prefix_ranks_equal_window(spark, skewed):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1], rel=1e-9)
+
+
+def test_two_level_top_k_equals_brute_force(spark, skewed):
+    from tempora.plans.queries_ops import top_k_per_group
+    vc = skewed.groupBy("g", "v").agg(F.count("*").alias("n"))
+    got = {(r.g, r.rank): (r.v, r.n) for r in top_k_per_group(vc, "g", "v", "n", 4, n_buckets=8).collect()}
+    pdf = vc.toPandas().sort_values(["g", "n", "v"], ascending=[True, False, True])
+    exp = {}
+    for g, part in pdf.groupby("g"):
+        for i, r in enumerate(part.head(4).itertuples(index=False), start=1):
+            exp[(g, i)] = (r.v, r.n)
+    assert got == exp
