@@ -36,3 +36,23 @@ def test_asof_matches_brute_force(spark):
         best = cand.sort_values(["avail", "event_id"]).iloc[-1]
         assert int(r.event_id) == int(best.event_id) and r.value == best.value
     assert len(out) == grid.count()
+
+
+def test_interpolation_across_blocks_matches_pandas(spark):
+    from tempora.operators import windows as W
+    rng = np.random.default_rng(9)
+    rows = []
+    for s in range(4):
+        vals = rng.normal(size=300)
+        mask = rng.random(300) < 0.3
+        mask[40:160] = s % 2 == 0          # a gap spanning many blocks of 16
+        mask[:5] = True                    # leading gap stays null
+        for p, (v, m) in enumerate(zip(vals, mask)):
+            rows.append((s, p, None if m else float(v)))
+    df = spark.createDataFrame(rows, "series_id long, pos long, y double")
+    got = W.interpolate_linear(df, "series_id", "pos", "y", block_size=16).toPandas()
+    got = got.sort_values(["series_id", "pos"]).reset_index(drop=True)
+    ref = pd.DataFrame(rows, columns=["series_id", "pos", "y"]).sort_values(["series_id", "pos"])
+    ref["y"] = ref.groupby("series_id")["y"].transform(lambda x: x.interpolate(limit_area="inside"))
+    ref = ref.reset_index(drop=True)
+    assert np.allclose(got["y"].to_numpy(dtype=float), ref["y"].to_numpy(dtype=float), equal_nan=True)
