@@ -255,9 +255,10 @@ def carry_known(df: DataFrame, keys, pos_col: str, value_col: str,
           .withColumn("_next_in", F.last("_known", ignorenulls=True)
                       .over(w_rev.rowsBetween(Window.unboundedPreceding, 0)))
           .withColumn("_blk_last", F.max("_known").over(w_all))
-          .withColumn("_blk_first", F.min("_known").over(w_all)))
-    summ = d.groupBy(*ks, "_blk").agg(F.first("_blk_last").alias("_blk_last"),
-                                      F.first("_blk_first").alias("_blk_first"))
+          .withColumn("_blk_first", F.min("_known").over(w_all))
+          .withColumn("_blk_rn", F.row_number().over(w_in)))
+    # one row per block, taken from the same window pass (a filter, no aggregate)
+    summ = d.where(F.col("_blk_rn") == 1).select(*ks, "_blk", "_blk_last", "_blk_first")
     ws = Window.partitionBy(*ks).orderBy("_blk")
     ws_rev = Window.partitionBy(*ks).orderBy(F.col("_blk").desc())
     carry = summ.select(
@@ -266,7 +267,7 @@ def carry_known(df: DataFrame, keys, pos_col: str, value_col: str,
         .alias("_carry_prev"),
         F.last("_blk_first", ignorenulls=True).over(ws_rev.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry_next"))
-    out = d.drop("_blk_last", "_blk_first").join(carry, on=ks + ["_blk"], how="left")
+    out = d.drop("_blk_last", "_blk_first", "_blk_rn").join(carry, on=ks + ["_blk"], how="left")
     return (out.withColumn("_prev", F.coalesce("_prev_in", "_carry_prev"))
                .withColumn("_next", F.coalesce("_next_in", "_carry_next"))
                .drop("_blk", "_known", "_prev_in", "_next_in", "_carry_prev", "_carry_next"))
