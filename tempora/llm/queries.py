@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from tempora.llm.chat import OP7_SQL, op7_chat
+from tempora.llm.langid import op6_langid
+from tempora.llm.mixing import op1_mixing
+from tempora.llm.packed import op4_packed
+from tempora.llm.pages import op10_pages
+from tempora.llm.quality import OP3_SQL, op3_quality
 from tempora.llm.simhash import op5_simhash
+from tempora.llm.vafile import OP2_SQL, op2_topk
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_topk": op2_topk,
+    "op3_quality": op3_quality,
+    "op4_packed": op4_packed,
     "op5_simhash": op5_simhash,
+    "op6_langid": op6_langid,
+    "op7_chat": op7_chat,
+    "op10_pages": op10_pages,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_topk": OP2_SQL, "op3_quality": OP3_SQL, "op7_chat": OP7_SQL}
