@@ -168,25 +168,26 @@ def _last_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 pattern, left = p, room
             extra.append(int(0 < size <= left))
             left -= size * extra[-1]
-        yield b.assign(extra=extra)[["pid", "h", "id", "size", "extra"]]
+        yield b.assign(extra=extra)[["pid", "h", "id", "tie", "size", "extra"]]
 
 
 def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id", weigh=weights_in_order,
-        repeats: int = MAX_REPEATS, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(rows, sources): rows (id, sources, size, copies) has a row for each row
-    of ``docs`` and the number of times the mix takes it, 0 to ``repeats``;
-    sources (source, source_size, target) a row per source.
+        repeats: int = MAX_REPEATS, seed: int = 7, tie: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, sources): rows (id, tie, sources, size, copies) has a row for each
+    row of ``docs`` and the number of times the mix takes it, 0 to ``repeats``;
+    sources (source, source_size, target) a row per source.  ``tie`` (a long)
+    tells rows of one id apart.
 
     ``members`` gives an array of sources (null entries allowed; a null or
     empty array counts as one null source; repeats in it count once), ``size``
     the tokens.  Documents without tokens are never taken.  Rows alike in
-    id, sources and size are exchangeable: which of them is taken is not
+    id, tie, sources and size are exchangeable: which of them is taken is not
     defined, how many is."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     sources = F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string"))).cast("array<string>")))
     sources = F.when(F.size(sources) == 0, F.array(F.lit(None).cast("string"))).otherwise(sources)
-    rows = docs.select(col(id_col).alias("id"), sources.alias("sources"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
+    rows = docs.select(col(id_col).alias("id"), (F.lit(0) if tie is None else tie).cast("long").alias("tie"), sources.alias("sources"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
     rows = scratch.write(rows.withColumn("pid", F.xxhash64(F.transform("sources", lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit(""))))), "rows")
     totals = bounded(rows.groupBy("pid").agg(F.first("sources").alias("sources"), F.sum("size").alias("n"), F.count("*").alias("rows"),
                                              F.min("sources").alias("least"), F.max("sources").alias("most")), "membership patterns")
@@ -200,7 +201,7 @@ def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id",
         bits = max(0, (max(r["rows"], 1) // BUCKET_ROWS).bit_length())
         plan.append((r["pid"], int(times), int(want - times * r["n"]) if times < repeats else 0, 1 << bits))
     todo = F.broadcast(spark.createDataFrame(plan, "pid long, times int, rest long, buckets long"))  # MAX_PATTERNS rows at most
-    h = F.xxhash64(F.lit(seed), F.col("id"), F.col("size"))
+    h = F.xxhash64(F.lit(seed), F.col("id"), F.col("tie"), F.col("size"))
     dealt = rows.join(todo, "pid").withColumn("h", h).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 20), F.col("buckets")))
     sums = dealt.groupBy("pid", "rest", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("pid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -210,20 +211,36 @@ def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id",
     whole_ = sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where("before + n <= rest") \
         .groupBy("pid").agg(F.max("bucket").alias("done"))
     cuts = scratch.write(todo.join(ends, "pid", "left").join(whole_, "pid", "left"), "cuts")
-    near = dealt.select("id", "sources", "size", "pid", "h", "bucket").join(F.broadcast(cuts), "pid")
+    near = dealt.select("id", "tie", "sources", "size", "pid", "h", "bucket").join(F.broadcast(cuts), "pid")
     full = F.col("times") + (F.coalesce(F.col("bucket") <= F.col("done"), F.lit(False)) & (F.col("size") > 0)).cast("int")
     at_end = F.coalesce(F.col("bucket") == F.col("end"), F.lit(False))
-    simple = near.where(~at_end).select("id", "sources", "size", full.alias("copies"))
-    fine = (near.where(at_end).select("pid", "h", "id", "size", "room").repartition("pid").sortWithinPartitions("pid", "h", "id", "size")
-            .mapInPandas(_last_bucket, f"pid long, h long, id {rows.schema['id'].dataType.simpleString()}, size long, extra int"))
+    simple = near.where(~at_end).select("id", "tie", "sources", "size", full.alias("copies"))
+    fine = (near.where(at_end).select("pid", "h", "id", "tie", "size", "room").repartition("pid").sortWithinPartitions("pid", "h", "id", "tie", "size")
+            .mapInPandas(_last_bucket, f"pid long, h long, id {rows.schema['id'].dataType.simpleString()}, tie long, size long, extra int"))
     last = fine.join(F.broadcast(cuts.select("pid", "times")), "pid").join(
         F.broadcast(spark.createDataFrame([(r["pid"], r["sources"]) for r in totals], "pid long, sources array<string>")), "pid") \
-        .select("id", "sources", "size", (F.col("times") + F.col("extra")).alias("copies"))
+        .select("id", "tie", "sources", "size", (F.col("times") + F.col("extra")).alias("copies"))
     out = scratch.write(simple.unionByName(last), "mixed")
     listed = spark.createDataFrame([(s, n, g) for s, (n, g) in by_source.items()], "source string, source_size long, target double")
     return out, listed
 
 
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix by words and one source a row has it: each row as
+    often as it is taken, rows not taken left out; all columns stay.  Null
+    texts have no words and are never taken."""
+    h = F.xxhash64(whole(col(text_col)))
+    rows, _ = mix(docs, F.array(col(source_col).cast("string")), word_count(col(text_col)), id_col, tie=h, **options)
+    chosen = rows.groupBy("id", "tie").agg(F.sum("copies").alias("copies"), F.count("*").alias("n")).where("copies > 0")
+    chosen = Scratch(docs.sparkSession, "mixing-take").write(chosen, "chosen")
+    row = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).alias("i"), h.alias("h"))
+    joined = row.join(chosen, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("tie")))
+    once = joined.where("n = 1").select("row", "copies")
+    again = joined.where("n > 1").groupBy("id", "tie").agg(F.first("row").alias("row"), F.first("copies").alias("copies")).select("row", "copies")
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return once.unionByName(again).select("row", each.alias("copy")).select("row.*")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` by their source: doc_id, size, source_size, target,
     taken, and copies."""

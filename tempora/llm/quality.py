@@ -21,7 +21,8 @@ from tempora.llm.common import SPACE_CHARS, SPACES, Scratch, col, fresh, table
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SAMPLE_ROWS = 1000
+#: The bound of the sample for costs: rows, and characters in each.
+SAMPLE_ROWS, SAMPLE_CHARS = 1000, 1 << 16
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -124,9 +125,12 @@ EXTRA_RULES = [Rule("symbols", _symbols), Rule("exclamation", _exclamation), Rul
 
 def rank_rules(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """(rule, rejection rate, seconds) in the order of rejection per cost,
-    measured on at most ``sample_rows`` rows.  Ties: the given order."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    sample = scratch.write(docs.select(whole(col(text_col)).alias("t")).limit(sample_rows).coalesce(1), "sample")
+    measured on at most ``sample_rows`` rows of at most SAMPLE_CHARS characters,
+    from the first partitions that have as many.  Ties: the given order."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "quality")
+    few = docs.select(whole(col(text_col)).alias("t")).where(F.length("t") <= SAMPLE_CHARS).limit(sample_rows).collect()
+    sample = scratch.write(spark.createDataFrame(few, "t string").coalesce(1), "sample")
 
     def measure(c: Column) -> tuple[float, float]:
         best, share = float("inf"), 0.0

@@ -7,6 +7,8 @@ from tempora.llm.langid import op6_langid
 from tempora.llm.mixing import op1_mixing
 from tempora.llm.packed import op4_packed
 from tempora.llm.pages import op10_pages
+from tempora.llm.passages import op9_passages
+from tempora.llm.pieces import op8_pieces
 from tempora.llm.quality import OP3_SQL, op3_quality
 from tempora.llm.simhash import op5_simhash
 from tempora.llm.vafile import OP2_SQL, op2_topk
@@ -19,6 +21,8 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_langid": op6_langid,
     "op7_chat": op7_chat,
+    "op8_pieces": op8_pieces,
+    "op9_passages": op9_passages,
     "op10_pages": op10_pages,
 }
 
