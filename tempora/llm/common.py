@@ -32,6 +32,25 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+class Recent(dict):
+    """Values made when first asked for; the older half goes when ``limit``
+    entries are reached, but what is asked for again meanwhile stays."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, max(1, limit // 2), {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Scratch:
     """Tables written under the shared checkpoint folder.
 

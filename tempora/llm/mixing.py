@@ -212,14 +212,14 @@ def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id",
         .groupBy("pid").agg(F.max("bucket").alias("done"))
     cuts = scratch.write(todo.join(ends, "pid", "left").join(whole_, "pid", "left"), "cuts")
     near = dealt.select("id", "tie", "sources", "size", "pid", "h", "bucket").join(F.broadcast(cuts), "pid")
-    full = F.col("times") + (F.coalesce(F.col("bucket") <= F.col("done"), F.lit(False)) & (F.col("size") > 0)).cast("int")
+    full = F.when(F.col("size") > 0, F.col("times") + F.coalesce(F.col("bucket") <= F.col("done"), F.lit(False)).cast("int")).otherwise(0)
     at_end = F.coalesce(F.col("bucket") == F.col("end"), F.lit(False))
     simple = near.where(~at_end).select("id", "tie", "sources", "size", full.alias("copies"))
     fine = (near.where(at_end).select("pid", "h", "id", "tie", "size", "room").repartition("pid").sortWithinPartitions("pid", "h", "id", "tie", "size")
             .mapInPandas(_last_bucket, f"pid long, h long, id {rows.schema['id'].dataType.simpleString()}, tie long, size long, extra int"))
     last = fine.join(F.broadcast(cuts.select("pid", "times")), "pid").join(
         F.broadcast(spark.createDataFrame([(r["pid"], r["sources"]) for r in totals], "pid long, sources array<string>")), "pid") \
-        .select("id", "tie", "sources", "size", (F.col("times") + F.col("extra")).alias("copies"))
+        .select("id", "tie", "sources", "size", F.when(F.col("size") > 0, F.col("times") + F.col("extra")).otherwise(0).alias("copies"))
     out = scratch.write(simple.unionByName(last), "mixed")
     listed = spark.createDataFrame([(s, n, g) for s, (n, g) in by_source.items()], "source string, source_size long, target double")
     return out, listed

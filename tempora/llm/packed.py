@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import Scratch, col, table
+from tempora.llm.common import Recent, Scratch, col, table
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-CACHE_WORDS = 300_000
+#: Pieces of text kept by a worker process (some 200 bytes each).
+CACHE_WORDS = 600_000
 BLOCK_SCHEMA = ("shard int, block int, first long, n_ids long, width int, doc_ids array<long>, "
                 "doc_ends array<long>, payload binary")
 
@@ -94,38 +96,51 @@ class Encoder:
                         and spec.get("normalizer") is None
                         and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
                                     for t in spec.get("added_tokens", [])))
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.first = Recent(lambda w: self._word(w, ""), CACHE_WORDS // 2)
+        self.later = Recent(lambda w: self._word(w, " "), CACHE_WORDS // 2)
+        self.marks = Recent(lambda w: array("I", [t.id for t in self.tokenizer.model.tokenize(w)]).tobytes(), 10_000)
+        self.letters = [self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(b))[0][0] for b in range(128)] if self.by_word else []
+        if self.by_word:  # bytes beyond ASCII are the rest of the alphabet, in order
+            from tokenizers.pre_tokenizers import ByteLevel
+            used = set(self.letters)
+            low = sorted(c for c in ByteLevel.alphabet() if c not in used)
+            shown = [b for b in range(128, 256) if chr(b) in low]
+            moved = [b for b in range(128, 256) if chr(b) not in low]
+            rest = [c for c in low if ord(c) > 255]
+            self.letters += [chr(b) if b in shown else rest[moved.index(b)] for b in range(128, 256)]
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(words)
-        known.update(zip(new, self._ids([lead + w for w in new])))
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a word, with a space before it if ``lead`` has one.  Letters, and
+        letters before punctuation, are one and two pre-tokens, which go to the
+        model at once; a single line end between words is one by itself."""
+        core = word.rstrip(".,;:!?")
+        if core.isalpha():
+            letters = lead + core
+            shown = "".join(map(self.letters.__getitem__, letters.encode()))
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            return ids + self.marks[word[len(core):]] if len(core) < len(word) else ids
+        if "\n" in word:
+            lines = word.split("\n")
+            if all(lines) and not re.search(r"\s", "".join(lines)):
+                line_end = self.marks[self.letters[10]]
+                return (self.later if lead else self.first)[lines[0]] + b"".join(line_end + self.first[x] for x in lines[1:])
+        return self._ids([lead + word])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut = [self.by_word and re.search(r"\s ", t) is None for t in texts]
-        for i, ids in zip((i for i, c in enumerate(cut) if not c), self._ids([t for t, c in zip(texts, cut) if not c])):
+        whole = [i for i, t in enumerate(texts) if not self.by_word or re.search(r"\s ", t)]
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
-        parts = {i: texts[i].split(" ") for i, c in enumerate(cut) if c}
-        self._learn(self.first, {p[0] for p in parts.values()}, "")
-        for i, p in parts.items():
-            rest = p[1:]
-            try:
-                ids = b"".join(map(self.later.__getitem__, rest))
-            except KeyError:
-                self._learn(self.later, set(rest), " ")
-                ids = b"".join(map(self.later.__getitem__, rest))
-            out[i] = self.first[p[0]] + ids
+        for i in set(range(len(texts))).difference(whole):
+            words = texts[i].split(" ")
+            out[i] = self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:]))
         return out
 
 

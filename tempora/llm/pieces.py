@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,12 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import Scratch, col, table
+from tempora.llm.common import Recent, Scratch, col, table
 
 MARK = "▁"
 CHUNK = 16_384
 GROUP = 256
-CACHE_WORDS = 300_000
+#: Words kept by a worker process (some 250 bytes each).
+CACHE_WORDS = 600_000
 NONE = float("-inf")
 FRAGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -60,9 +62,19 @@ class PieceModel:
         self.bytes = [bytes_[f"<0x{b:02X}>"] for b in range(256)] if bytes_ else None
         self.unk = sp.unk_id()
         self.cuts = not any(MARK in p.lstrip(MARK) for p in self.table)
-        self.text = {i: p.replace(MARK, " ") for p, (_, i) in self.table.items()}
-        self.byte_of = {i: b for b, i in enumerate(self.bytes or [])}
-        self.known: dict[str, tuple[float, tuple[int, ...]]] = {}
+        size = sp.get_piece_size()
+        self.raw = [b""] * size  # what a piece stands for
+        self.score_of = np.zeros(size)
+        for p, (score, i) in self.table.items():
+            self.raw[i] = p.replace(MARK, " ").encode("utf-8", "surrogatepass")
+            self.score_of[i] = score
+        for b, i in enumerate(self.bytes or []):
+            self.raw[i] = bytes([b])
+        #: Scores of pieces, and None for what only begins one.
+        self.begun: dict[str, float | None] = {p[:i]: None for p in self.table for i in range(1, len(p))}
+        self.begun.update((p, s) for p, (s, _) in self.table.items())
+        #: Per word (what follows a mark up to the next): its ids as little-endian 32-bit integers.
+        self.words = Recent(lambda w: self.fragment(MARK + w), CACHE_WORDS)
 
     def prepare(self, text: str) -> str:
         return self.prefix + text.replace(" ", MARK) if text else ""
@@ -71,25 +83,30 @@ class PieceModel:
         """Best scores and the start of the last piece per place, for pieces
         that start before ``stop``; a place in ``entries`` can be reached from outside with
         that score (start -1, first choice in a tie)."""
-        n, table_, longest = len(text), self.table, self.longest
-        best, start = [NONE] * (n + 1), [-2] * (n + 1)
+        n, begun, other = len(text), self.begun.get, NONE
+        best, start = [other] * (n + 1), [-2] * (n + 1)
         for i, s in enumerate(entries[:n + 1]):
-            if s > NONE:
+            if s > other:
                 best[i], start[i] = s, -1
         for at in range(stop):
             so_far = best[at]
-            if so_far == NONE:
+            if so_far == other:
                 continue
-            for end in range(at + 1, min(at + longest, n) + 1):
-                hit = table_.get(text[at:end])
-                if hit is not None:
-                    s = so_far + hit[0]
-                elif end == at + 1:
-                    s = so_far + self.unknown
-                else:
-                    continue
+            end = at + 1
+            hit = begun(text[at:end], False)
+            if hit is False or hit is None:  # no piece of one character
+                s = so_far + self.unknown
                 if s > best[end]:
                     best[end], start[end] = s, at
+            while hit is not False:
+                if hit is not None:
+                    s = so_far + hit
+                    if s > best[end]:
+                        best[end], start[end] = s, at
+                end += 1
+                if end > n:
+                    break
+                hit = begun(text[at:end], False)
         return best, start
 
     def path(self, text: str, start: list[int], at: int) -> tuple[int, list[int]]:
@@ -109,25 +126,23 @@ class PieceModel:
                 ids.append(self.unk)
         return cuts[0], ids
 
-    def word(self, fragment: str) -> tuple[float, tuple[int, ...]]:
-        got = self.known.get(fragment)
-        if got is None:
-            best, start = self.lattice(fragment, len(fragment), [0.0])
-            got = best[-1], tuple(self.path(fragment, start, len(fragment))[1])
-            if len(fragment) <= 64:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                self.known[fragment] = got
-        return got
-
-    def closed(self, text: str) -> tuple[float, list[int]]:
-        """Score and ids of text that starts and ends between words."""
-        total, ids = 0.0, []
-        for f in FRAGMENT.findall(text) if self.cuts else [text] if text else []:
-            s, i = self.word(f)
-            total += s
-            ids += i
-        return total, ids
+    def fragment(self, text: str) -> bytes:
+        """Ids of a text that is one lattice."""
+        _, start = self.lattice(text, len(text), [0.0])
+        return array("i", self.path(text, start, len(text))[1]).tobytes()
+
+    def closed(self, text: str) -> bytes:
+        """Ids of text that starts and ends between words."""
+        if not self.cuts:
+            return self.fragment(text)
+        if text.startswith(MARK) and MARK + MARK not in text:
+            return b"".join(map(self.words.__getitem__, text[1:].split(MARK)))
+        return b"".join(self.fragment(f) for f in FRAGMENT.findall(text))
+
+    def score(self, text: str) -> float:
+        """Best score of text that starts and ends between words."""
+        parts = FRAGMENT.findall(text) if self.cuts else [text]
+        return sum(self.lattice(p, len(p), [0.0])[0][-1] for p in parts)
 
     def borders(self, text: str, stop: int) -> tuple[int, int] | None:
         """First and last place where a word starts that no entry lies behind."""
@@ -152,7 +167,7 @@ class PieceModel:
         if cut is not None:
             first, last = cut
             heads = np.array([self.lattice(text[:first], first, [NONE] * i + [0.0])[0][first] for i in range(n)])
-            middle = self.closed(text[first:last])[0]
+            middle = self.score(text[first:last])
             tail = self.lattice(text[last:], stop - last, [0.0])[0][stop - last:][:n]
             out[:, :len(tail)] = heads[:, None] + middle + np.array(tail)[None, :]
             return out
@@ -178,33 +193,22 @@ class PieceModel:
         best, start = self.lattice(text, stop, entries)
         return [self.path(text, start, stop + j)[0] if stop + j < len(best) and best[stop + j] > NONE else -1 for j in range(n)]
 
-    def trace(self, text: str, stop: int, entries: list[float], j: int) -> list[int]:
+    def trace(self, text: str, stop: int, entries: list[float], j: int) -> bytes:
+        """Ids of the chunk whose last piece reaches ``j`` beyond its end."""
+        def ids(part: str, until: int, at: int, start: list[float]) -> bytes:
+            return np.array(self.path(part, self.lattice(part, until, start)[1], at)[1], "<i4").tobytes()
+
         cut = self.borders(text, stop)
         if cut is None:
-            _, start = self.lattice(text, stop, entries)
-            return self.path(text, start, stop + j)[1]
+            return ids(text, stop, stop + j, entries)
         first, last = cut
-        _, start = self.lattice(text[:first], first, entries)
-        ids = self.path(text[:first], start, first)[1] + self.closed(text[first:last])[1]
-        _, start = self.lattice(text[last:], stop - last, [0.0])
-        return ids + self.path(text[last:], start, stop - last + j)[1]
+        return ids(text[:first], first, first, entries) + self.closed(text[first:last]) + ids(text[last:], stop - last, stop - last + j, [0.0])
 
-    def decode(self, ids: list[int], first: bool = True) -> str:
-        """Text of ids; ``first``: they start the document (and may start
+    def decode(self, ids, first: bool = True) -> bytes:
+        """UTF-8 of ids; ``first``: they start the document (and may start
         with the mark that encoding put there)."""
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.text.get(i, ""))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out)
-        return text[1:] if first and self.prefix and text.startswith(" ") else text
+        out = b"".join(map(self.raw.__getitem__, ids))
+        return out[1:] if first and self.prefix and out[:1] == b" " else out
 
 
 _MODELS: dict[str, PieceModel] = {}
@@ -295,7 +299,7 @@ def _giant(chunks: DataFrame, model: str, scratch: Scratch) -> DataFrame:
         m = piece_model(model)
         for b in batches:
             yield pd.DataFrame({"uid": b["uid"], "c": b["c"], "ids": [
-                m.trace(t, s, np.frombuffer(e, np.float64).tolist(), j) for t, s, e, j in zip(b["text"], b["stop"], b["entry"], b["j"])]})
+                np.frombuffer(m.trace(t, s, np.frombuffer(e, np.float64).tolist(), j), "<i4") for t, s, e, j in zip(b["text"], b["stop"], b["entry"], b["j"])]})
 
     return full.join(ends, ["uid", "c"]).mapInPandas(traces, "uid long, c int, ids array<int>")
 
@@ -316,7 +320,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for at in range(0, len(b), 512):
                 part = b.iloc[at:at + 512]
-                yield pd.DataFrame({"id": part["id"], "uid": part["uid"], "c": 0, "chunks": 1, "ids": [m.closed(m.prepare(t))[1] for t in part["text"]]})
+                yield pd.DataFrame({"id": part["id"], "uid": part["uid"], "c": 0, "chunks": 1,
+                                    "ids": [np.frombuffer(m.closed(m.prepare(t)), "<i4") for t in part["text"]]})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = piece_model(model)
@@ -350,7 +355,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         m = piece_model(model)
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "uid": b["uid"], "c": b["c"], "text": [
-                m.decode(list(i), first=c == 0) for i, c in zip(b["ids"], b["c"])]})
+                m.decode(i.tolist(), first=c == 0).decode("utf-8", "replace") for i, c in zip(b["ids"], b["c"])]})
 
     return encoded.mapInPandas(run, f"id {id_type}, uid long, c int, text string")
 
@@ -383,13 +388,12 @@ def digest(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = piece_model(model)
-        points = {i: s for s, i in m.table.values()}
         for b in batches:
             ids = [np.asarray(i, "<u4") for i in b["ids"]]
-            texts = [m.decode(i.tolist(), first=c == 0).encode("utf-8", "surrogatepass") for i, c in zip(ids, b["c"])]
+            texts = [m.decode(i.tolist(), first=c == 0) for i, c in zip(ids, b["c"])]
             yield pd.DataFrame({
                 "id": b["id"], "uid": b["uid"], "c": b["c"], "chunks": b["chunks"], "n": [i.size for i in ids],
-                "score": [float(sum(points.get(x, 0.0) for x in i.tolist())) for i in ids],
+                "score": [float(m.score_of[i].sum()) for i in ids],
                 "ids_crc32": [zlib.crc32(i.tobytes()) for i in ids], "size": [len(t) for t in texts], "text_crc32": [zlib.crc32(t) for t in texts]})
 
     id_type = encoded.schema["id"].dataType.simpleString()
