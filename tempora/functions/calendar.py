@@ -61,6 +61,13 @@ def holidays(spark: SparkSession, year_from: int, year_to: int) -> DataFrame:
     return years.select(F.inline(F.concat(fixed, movable)))
 
 
+def is_holiday(day: Column) -> Column:
+    """Whether a date is one of the holidays, from the date alone."""
+    movable = F.datediff(day, easter_sunday(F.year(day))).isin([off for off, _ in EASTER_OFFSETS])
+    fixed = (F.month(day) * 100 + F.dayofmonth(day)).isin([m * 100 + d for m, d, _ in FIXED_HOLIDAYS])
+    return F.coalesce(movable | fixed, F.lit(False))
+
+
 _HOLIDAY_CACHE: dict = {}
 
 

@@ -11,6 +11,7 @@ to the shared checkpoint folder.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.regression import DecisionTreeRegressor
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.operators import ranks as R
-from tempora.session import materialize
+from tempora.session import materialize, release
 
 
 def _leaf_map(values: dict) -> Column:
@@ -93,12 +94,18 @@ class LossBoostedRegressor:
         y = F.col(self.labelCol)
         work = df.select(self.featuresCol, y.cast("double").alias("_y")).where(F.col("_y").isNotNull())
         if self.loss in ("poisson", "gamma"):
-            work = work.where(F.col("_y") > 0) if self.loss == "gamma" else work.where(F.col("_y") >= 0)
-            base = float(work.agg(F.log(F.avg("_y"))).first()[0])
+            bad = F.col("_y") <= 0 if self.loss == "gamma" else F.col("_y") < 0
+            row = work.agg(F.avg("_y").alias("mean"), F.count_if(bad).alias("bad")).first()
+            if row["bad"]:
+                raise ValueError(f"{row['bad']} labels are outside the domain of the {self.loss} loss")
+            if not row["mean"]:
+                raise ValueError(f"the {self.loss} loss needs a mean label above 0")
+            base = math.log(row["mean"])
         else:
             base = float(R.linear_quantiles(work, [], "_y", {"b": self.quantile}).first()["b"])
         model = LossBoostedModel(self.loss, base, self.learning_rate, [], self.featuresCol, self.predictionCol)
-        work = work.withColumn("_f", F.lit(base))
+        # the input plan runs once; rounds read the written rows
+        work = written = materialize(work.withColumn("_f", F.lit(base)), "boost")
         for m in range(self.n_rounds):
             work = work.withColumn("_g", self._gradient(F.col("_y"), F.col("_f")))
             tree = DecisionTreeRegressor(featuresCol=self.featuresCol, labelCol="_g", maxDepth=self.max_depth,
@@ -111,5 +118,8 @@ class LossBoostedRegressor:
                                      * F.coalesce(_leaf_map(leaves)[F.col("_leaf")], F.lit(0.0))) \
                          .drop("_leaf", "_g")
             if self.checkpoint_every and (m + 1) % self.checkpoint_every == 0:
-                work = materialize(work, "boost")
+                written, last = materialize(work, "boost"), written
+                work = written
+                release(last)
+        release(written)
         return model

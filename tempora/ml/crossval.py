@@ -27,9 +27,9 @@ Scorer = Callable[[DataFrame], DataFrame]        # predictions -> one-row metric
 
 def default_scorer(pred: DataFrame, label: str, p: str = "prediction") -> dict:
     """Point scores and D² deviances of one prediction set (two one-row
-    aggregates)."""
+    aggregates).  A deviance that isn't defined for some row is null."""
     ps = EV.point_scores(pred, [], y=label, p=p).first().asDict()
-    dv = EV.deviance_scores(pred.where(F.col(p) > 0), [], y=label, p=p).first().asDict()
+    dv = EV.deviance_scores(pred, [], y=label, p=p).first().asDict()
     return {**ps, **dv}
 
 

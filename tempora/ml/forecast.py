@@ -1,4 +1,4 @@
-"""Recursive and direct multi-step forecasting over rolling origins (#134,
+"""Recursive and direct prediction of several steps over rolling origins (#134,
 #135, #137, C11).
 
 Origins are rows, not a loop: every (series, origin) carries its last 30
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.operators import windows as W
-from tempora.session import materialize
+from tempora.session import materialize, release
 
 N_LAGS, WINDOW = 30, 15
 
@@ -67,14 +67,19 @@ def lag_matrix(series: DataFrame, keys="series_id", value: str = "y") -> DataFra
 
 def origins_table(series: DataFrame, n: int, keys="series_id", value: str = "y",
                   test_len: int = 300, chunk: int = 5, n_lags: int = N_LAGS) -> DataFrame:
-    """One row per (series, origin) with the history array before it."""
-    hist = W.Spec("_hist", lambda w: F.collect_list(value).over(w.rowsBetween(-n_lags, -1)), lookback=n_lags)
+    """One row per (series, origin) with the history array before it; ``_ok``
+    tells whether the history is complete.  An origin with a gap in its
+    history stays, and its forecasts are null."""
+    hist = W.Spec("_hist", lambda w: F.collect_list(F.struct(F.col(value).cast("double").alias("v"))).over(w.rowsBetween(-n_lags, -1)),
+                  lookback=n_lags)
     out = W.apply_specs(series, keys, "pos", [hist])
     first = n - test_len
     o = out.where((F.col("pos") >= first) & (F.col("pos") <= n - chunk)
                   & (F.pmod(F.col("pos") - first, F.lit(chunk)) == 0) & (F.size("_hist") == n_lags))
+    values = F.transform("_hist", lambda s: s["v"])
     return o.select(*W._keys(keys), F.col("pos").alias("origin_pos"),
-                    ((F.col("pos") - first) / chunk).cast("long").alias("origin"), "_hist")
+                    ((F.col("pos") - first) / chunk).cast("long").alias("origin"),
+                    (~F.exists(values, lambda v: v.isNull())).alias("_ok"), values.alias("_hist"))
 
 
 def fit_gbt(train: DataFrame, label: str, max_iter: int = 15, max_depth: int = 4, seed: int = 0,
@@ -99,33 +104,47 @@ def recursive_forecast(origins: DataFrame, va, model, horizon: int = 60,
                        checkpoint_every: int = 10) -> DataFrame:
     """Feed each step's prediction back into the state (#134)."""
     st = origins.withColumn("_preds", F.array().cast("array<double>"))
+    st_written = None
     for step in range(horizon):
         feats = st.select("*", *array_features(F.col("_hist")))
         pred = model.setPredictionCol("_p").transform(va.transform(feats))
         st = pred.select(*origins.columns[:-1], F.concat(F.slice("_hist", 2, N_LAGS - 1), F.array("_p")).alias("_hist"),
                          F.concat("_preds", F.array("_p")).alias("_preds"))
         if checkpoint_every and (step + 1) % checkpoint_every == 0:
-            st = materialize(st, "recursive")
-    keys = [c for c in origins.columns if c not in ("origin_pos", "origin", "_hist")]
-    return st.select(*keys, "origin_pos", "origin", F.posexplode("_preds").alias("_h", "y_hat")) \
+            last, st = st_written, materialize(st, "recursive")
+            st_written = st
+            release(last)
+    keys = [c for c in origins.columns if c not in ("origin_pos", "origin", "_ok", "_hist")]
+    return st.select(*keys, "origin_pos", "origin", "_ok", F.posexplode("_preds").alias("_h", "y_hat")) \
              .select(*keys, "origin", (F.col("_h") + 1).alias("horizon"),
-                     (F.col("origin_pos") + F.col("_h")).alias("pos"), "y_hat")
+                     (F.col("origin_pos") + F.col("_h")).alias("pos"), F.when(F.col("_ok"), F.col("y_hat")).alias("y_hat"))
 
 
 def direct_forecast(series: DataFrame, origins: DataFrame, n: int, horizons: Sequence[int],
-                    keys="series_id", value: str = "y", test_len: int = 300, max_iter: int = 15) -> DataFrame:
+                    keys="series_id", value: str = "y", test_len: int = 300, max_iter: int = 15,
+                    max_workers: int = 4) -> DataFrame:
     """One model per horizon h on the same lag block, target ``y[t+h-1]``
-    (#135, #129); fits run as separate Spark jobs."""
+    (#135, #129); fits run as concurrent Spark jobs on one written table."""
+    from concurrent.futures import ThreadPoolExecutor
     ks = W._keys(keys)
     specs = window_specs(value) + [W.lead_spec(value, h - 1, f"_t{h}") if h > 1 else
                                    W.Spec(f"_t{h}", lambda w, v=value: F.col(v)) for h in horizons]
     mat = W.apply_specs(series, ks, "pos", specs).dropna(subset=lag_feature_names())
-    feats = origins.select("*", *array_features(F.col("_hist")))
-    out = None
-    for h in horizons:
+    va = VectorAssembler(inputCols=lag_feature_names(), outputCol="features", handleInvalid="keep")
+    mat = materialize(va.transform(mat).select("pos", "features", *[f"_t{h}" for h in horizons]), "direct-train")
+    feats = materialize(va.transform(origins.select("*", *array_features(F.col("_hist"))))
+                        .select(*ks, "origin", "origin_pos", "_ok", "features"), "direct-origins")
+
+    def fit(h: int):
         train = mat.where((F.col("pos") + h - 1 < n - test_len) & F.col(f"_t{h}").isNotNull())
-        va, m = fit_gbt(train, f"_t{h}", max_iter)
-        p = m.setPredictionCol("y_hat").transform(va.transform(feats)).select(
-            *ks, "origin", F.lit(h).alias("horizon"), (F.col("origin_pos") + h - 1).alias("pos"), "y_hat")
+        return GBTRegressor(featuresCol="features", labelCol=f"_t{h}", maxIter=max_iter, maxDepth=4, seed=0).fit(train)
+
+    with ThreadPoolExecutor(max_workers=max_workers) as ex:
+        models = list(ex.map(fit, horizons))
+    out = None
+    for h, m in zip(horizons, models):
+        p = m.setPredictionCol("y_hat").transform(feats).select(
+            *ks, "origin", F.lit(h).alias("horizon"), (F.col("origin_pos") + h - 1).alias("pos"),
+            F.when(F.col("_ok"), F.col("y_hat")).alias("y_hat"))
         out = p if out is None else out.unionByName(p)
     return out

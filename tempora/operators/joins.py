@@ -25,11 +25,16 @@ def concat_by_key(frames: dict, keys) -> DataFrame:
 
 def asof_available(grid: DataFrame, events: DataFrame, keys, grid_time: str, event_time: str,
                    value_cols, tie_col: str, system_lag_us: int = 0,
-                   block_us: int = 7 * 86_400_000_000) -> DataFrame:
+                   block_us: int = 7 * 86_400_000_000, grid_step_us: int | None = None) -> DataFrame:
     """As-of join with a system lag (#42, #105c): for each grid row the last
     event (by ``(available_at, tie_col)``) with ``available_at = event_time +
     lag <= grid_time``.
 
+    With ``grid_step_us`` (grid times are multiples of it since the epoch)
+    events are first reduced to the last one per key and grid slot, by an
+    aggregate that combines before the shuffle; no later partition then
+    grows with the events in a week, only with the grid.
+
     Union + carried ``last`` over time blocks: the in-block scan is a
     bounded window per (keys, block); the carry across blocks runs on one
     summary row per block, so no series is ever scanned in one task.
@@ -42,6 +47,11 @@ def asof_available(grid: DataFrame, events: DataFrame, keys, grid_time: str, eve
                                 F.col(tie_col).alias("tie"),
                                 *[F.col(v).alias(v) for v in vals]).alias("_rec"),
                        F.lit(None).cast("timestamp_ntz").alias(grid_time))
+    if grid_step_us:  # the slot ends at the first grid time at which the event is available
+        slot = F.ceil(F.col("_t") / F.lit(grid_step_us))
+        last = ev.groupBy(*ks, slot.alias("_slot")).agg(F.max("_rec").alias("_rec"))
+        ev = last.select(*ks, F.col("_rec.t").alias("_t"), F.lit(0).alias("_kind"), F.col("_rec.tie").alias("_tie"), "_rec",
+                         F.lit(None).cast("timestamp_ntz").alias(grid_time))
     gr = grid.select(*ks, micros(grid_time).alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(ev.schema["_tie"].dataType).alias("_tie"),
                      F.lit(None).cast(ev.schema["_rec"].dataType).alias("_rec"),

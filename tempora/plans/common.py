@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.functions.rounding import output_round
+from tempora.functions.timecols import truncate
 from tempora.plans import features as FT
 from tempora.plans.grid_spec import GridSpec
 from tempora.session import materialize
@@ -49,6 +50,22 @@ def hourly(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly
     return Hourly(obs, grid, series)
 
 
+def hourly_grid(spark: SparkSession, sf_dir: str) -> GridSpec:
+    """The hourly grid alone: bounds of the one time column, no aggregate and
+    nothing written."""
+    return _raw_grid(spark, sf_dir, "events", "ts", "1 hour")
+
+
+def daily_grid(spark: SparkSession, sf_dir: str) -> GridSpec:
+    return _raw_grid(spark, sf_dir, "orders", "o_orderdate", "1 day")
+
+
+def _raw_grid(spark, sf_dir, table: str, time_col: str, step: str) -> GridSpec:
+    row = S.read_table(spark, sf_dir, table, [time_col]).agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")) \
+        .select(truncate("lo", step).alias("lo"), truncate("hi", step).alias("hi")).first()
+    return GridSpec(row["lo"], row["hi"], step)
+
+
 def hourly_panel(spark: SparkSession, sf_dir: str, interpolate: bool = True) -> Hourly:
     obs = materialize(S.hourly_events(spark, sf_dir, by="event_type"), "panel-obs")
     grid = GridSpec.from_data(obs, "time", "1 hour")
@@ -69,7 +86,9 @@ def events_covariates(spark: SparkSession, sf_dir: str, grid: GridSpec) -> DataF
     stages).  Hours without any event are absent here and become 0 when the
     covariates are aligned to the grid (``fill=0.0``)."""
     ev = S.read_table(spark, sf_dir, "events", ["ts", "event_type"])
-    from tempora.functions.timecols import truncate
+    # a type that isn't listed is an error, not a column less
+    ev = ev.where(F.when(F.coalesce(F.col("event_type").isin(EVENT_TYPES), F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(F.concat_ws(" ", F.lit("unlisted event type:"), "event_type")).cast("boolean")))
     return (ev.groupBy(truncate("ts", "1 hour").alias("time"))
               .agg(*[F.count(F.when(F.col("event_type") == e, 1)).cast("double")
                      .alias(f"weather_n_events_{e}") for e in EVENT_TYPES]))

@@ -49,22 +49,25 @@ def point_scores(df: DataFrame, keys, y: str = "load_mw", p: str = "predicted_lo
 def deviance_scores(df: DataFrame, keys, y: str = "load_mw", p: str = "predicted_load_mw") -> DataFrame:
     """D² Poisson and gamma (#142, C5).  The baseline deviance at the group
     mean folds into the same pass: Σdev(y, ȳ) is a function of Σy, Σy·ln y,
-    Σln y and n."""
+    Σln y and n.  Rows without truth or prediction don't count; a prediction
+    of 0 or less leaves both null, a truth of 0 the gamma score, a truth
+    below 0 both."""
     yc, pc = F.col(y), F.col(p)
+    df = df.where(yc.isNotNull() & pc.isNotNull())
     ylny = F.when(yc > 0, yc * F.log(yc)).otherwise(F.lit(0.0))
-    pois = 2 * (F.when(yc > 0, yc * F.log(yc / pc)).otherwise(F.lit(0.0)) - yc + pc)
-    gam = 2 * (F.log(pc / yc) + yc / pc - 1)
+    pois = 2 * (F.when(yc > 0, yc * F.log(F.try_divide(yc, pc))).otherwise(F.lit(0.0)) - yc + pc)
+    gam = 2 * (F.log(F.try_divide(pc, yc)) + F.try_divide(yc, pc) - 1)
     g = df.groupBy(*_ks(keys)).agg(
         F.sum(pois).alias("_dp"), F.sum(gam).alias("_dg"), F.sum(yc).alias("_sy"),
         F.sum(ylny).alias("_sylny"), F.sum(F.log(yc)).alias("_slny"), F.count(yc).alias("_n"),
-        F.min(pc).alias("_pmin"))
+        F.min(pc).alias("_pmin"), F.min(yc).alias("_ymin"))
     ybar = F.col("_sy") / F.col("_n")
     base_p = 2 * (F.col("_sylny") - F.col("_sy") * F.log(ybar))
     base_g = 2 * (F.col("_n") * F.log(ybar) - F.col("_slny"))
     return g.select(*_ks(keys),
-                    F.when(F.col("_pmin") <= 0, F.lit(None)).when(base_p != 0, 1 - F.col("_dp") / base_p)
+                    F.when((F.col("_pmin") <= 0) | (F.col("_ymin") < 0), F.lit(None)).when(base_p != 0, 1 - F.col("_dp") / base_p)
                     .cast("double").alias("d2_poisson"),
-                    F.when(F.col("_pmin") <= 0, F.lit(None)).when(base_g != 0, 1 - F.col("_dg") / base_g)
+                    F.when((F.col("_pmin") <= 0) | (F.col("_ymin") <= 0), F.lit(None)).when(base_g != 0, 1 - F.col("_dg") / base_g)
                     .cast("double").alias("d2_gamma"))
 
 
@@ -104,12 +107,13 @@ def pinball_scores(df: DataFrame, keys, alphas: Sequence[float] = (0.05, 0.5, 0.
 
 def coverage_width(df: DataFrame, keys, y="load_mw", lo="lower", hi="upper") -> DataFrame:
     """Coverage (both ends inclusive, half-even 4 digits) and mean width
-    (half-even 1 digit) (#121)."""
+    (half-even 1 digit) (#121).  ``n_samples`` counts the rows that coverage
+    is taken over: those with a truth and both ends."""
     inside = ((F.col(y) >= F.col(lo)) & (F.col(y) <= F.col(hi))).cast("double")
     return df.groupBy(*_ks(keys)).agg(
         bround(F.avg(inside), 4).alias("coverage"),
         bround(F.avg(F.abs(F.col(hi) - F.col(lo))), 1).alias("mean_width"),
-        F.count("*").alias("n_samples"))
+        F.count(inside).alias("n_samples"))
 
 
 def linear_edges(df: DataFrame, keys, col: str, probs: Sequence[float], out: str = "edges") -> DataFrame:
@@ -126,9 +130,11 @@ def binned_coverage(df: DataFrame, n_bins: int = 10, y="load_mw", lo="lower", hi
 
     Pooled linear quantile edges (≤ n_bins + 1 values) and the re-described
     bin left edges (≤ n_bins values) are computed by aggregate jobs and come
-    back as bounded literal arrays; every row is then binned in place."""
+    back as bounded literal arrays; every row is then binned in place.  Rows
+    without a truth have no bin and don't count; no truth at all gives no rows."""
+    df = df.where(F.col(y).isNotNull())
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = sorted(set(linear_edges(df, [], y, probs).first()["edges"]))
+    edges = sorted({v for v in linear_edges(df, [], y, probs).first()["edges"] if v is not None} or {0.0})
     e = F.array(*[F.lit(float(v)) for v in edges])
     pooled = df.withColumn("_pbin", F.greatest(F.size(F.filter(e, lambda v: v < F.col(y))) - 1, F.lit(0)))
     bounds = pooled.groupBy("_pbin").agg(F.min(y).alias("bin_left"), F.max(y).alias("bin_right"))

@@ -18,7 +18,8 @@ from tempora.functions import calendar as cal
 from tempora.operators import windows as W
 from tempora.plans.grid_spec import GridSpec
 
-BROADCAST_MAX_ROWS = 2_000_000
+#: A hinted broadcast is at most so large: rows times columns of 8 bytes.
+BROADCAST_MAX_BYTES = 64 << 20
 
 # The reference's lag / window names for an hourly target.
 HOURLY_LAGS = {"1h": 1, "2h": 2, "3h": 3, "1d": 24, "1w": 168}
@@ -89,7 +90,10 @@ def exogenous_wide(long: DataFrame, cities: Sequence[str], variables: Sequence[s
     of per-city joins; explicit pivot values avoid a distinct-values job.
     ``inner=True`` keeps only times where every city is present (inner-join
     meaning of the reference's star join)."""
-    keyed = long.where(F.col("city").isin(list(cities)) & F.col("variable").isin(list(variables)))
+    # a value that isn't listed is an error, not a row less
+    listed = F.col("city").isin(list(cities)) & F.col("variable").isin(list(variables))
+    keyed = long.where(F.when(F.coalesce(listed, F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(F.concat_ws(" ", F.lit("unlisted city or variable:"), "city", "variable")).cast("boolean")))
     aggs = [F.max(F.when((F.col("variable") == v) & (F.col("city") == c), F.col("value")))
             .alias(f"{prefix}_{v}_{c}") for v in variables for c in cities]
     # the set of cities per time is bounded by len(cities)
@@ -142,9 +146,9 @@ def calendar_leads(df: DataFrame, spark: SparkSession, grid: GridSpec,
 
 
 def maybe_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast only when the row bound, known from construction, is small;
-    otherwise leave the choice to AQE's runtime statistics."""
-    return F.broadcast(df) if bound_rows <= BROADCAST_MAX_ROWS else df
+    """Broadcast only when the size bound, known from construction (rows) and
+    width, is small; otherwise leave the choice to AQE's runtime statistics."""
+    return F.broadcast(df) if bound_rows * 8 * len(df.columns) <= BROADCAST_MAX_BYTES else df
 
 
 def design_table(series: DataFrame, grid: GridSpec, keys=None, value: str = "load_mw",
@@ -211,19 +215,12 @@ def sample_weight_mask(series: DataFrame, grid: GridSpec, keys=None, lookback: i
 
 def inject_missing_blocks(series: DataFrame, keys=None, value: str = "load_mw",
                           block_len: int = 24, rate_per_mille: int = 100, seed: int = 7) -> DataFrame:
-    """Null whole blocks of ``block_len`` steps chosen by a deterministic
-    arithmetic hash of (series key, block, seed) — robust-training
-    augmentation (#105d).  String keys enter through their first code point
-    and length, integer keys directly."""
+    """Null whole blocks of ``block_len`` steps chosen by the md5 of (series
+    keys, block, seed) — robust-training augmentation (#105d)."""
     ks = _keys(keys)
     blk = F.floor(F.col("pos") / block_len)
-    h = blk * 7919 + F.lit(seed * 1009)
-    for k in ks:
-        dt_ = dict(series.dtypes)[k]
-        if dt_ == "string":
-            h = h + F.ascii(k) * 104729 + F.length(k) * 31
-        else:
-            h = h + F.col(k).cast("long") * 104729
-    h = F.pmod(h, F.lit(1000))
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in ks], blk.cast("string"), F.lit(str(seed)))
+    # the first 32 bits of the digest, shown as hexadecimal digits
+    h = F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(1000))
     return series.withColumn(value, F.when(h < rate_per_mille, F.lit(None).cast("double"))
                              .otherwise(F.col(value))).withColumn("injected", h < rate_per_mille)

@@ -246,7 +246,7 @@ FROM m WHERE pos >= 168 AND pos <= (SELECT count(DISTINCT time) FROM grid) - 1 -
 SQL["lag_safe_features"] = f"WITH {O.hourly_ctes()} SELECT time, {_sel(O.lag_block_sql(min_lag=3))} FROM series"
 
 SQL["inject_missing_blocks"] = f"""WITH {panel_ctes()},
-h AS (SELECT *, ((pos // 24) * 7919 + ascii(series_id) * 104729 + length(series_id) * 31 + 7 * 1009) % 1000 AS hv FROM series)
+h AS (SELECT *, CAST('0x' || substr(md5(series_id || '|' || (pos // 24) || '|7'), 1, 8) AS BIGINT) % 1000 AS hv FROM series)
 SELECT series_id, time, {_r('CASE WHEN hv < 100 THEN NULL ELSE load_mw END', 'load_mw')}, hv < 100 AS injected FROM h"""
 
 TEST_LEN, CHUNK, HORIZON = 300, 5, 60
@@ -324,6 +324,18 @@ SELECT ws AS window_start, ws + INTERVAL 24 HOUR AS window_end, CAST(count(*) AS
   {_r('avg(value)', 'mean_value')}, {_r('max(value)', 'max_value')}
 FROM e GROUP BY ws HAVING ws + INTERVAL 24 HOUR <= {_WM}"""
 
+SQL["stream_sliding_7d"] = f"""WITH e AS (SELECT value, date_trunc('hour', ts) - k * INTERVAL 1 HOUR AS ws FROM events, range(168) r(k))
+SELECT ws AS window_start, ws + INTERVAL 168 HOUR AS window_end, CAST(count(*) AS BIGINT) AS n_events,
+  {_r('avg(value)', 'mean_value')}, {_r('max(value)', 'max_value')}
+FROM e GROUP BY ws HAVING ws + INTERVAL 168 HOUR <= {_WM}"""
+
+# every 7th event arrives a day late; a day's file is held against the days before it
+SQL["stream_late_audit"] = """WITH e AS (SELECT ts, CAST(ts AS DATE) + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS arrival FROM events),
+d AS (SELECT arrival, max(ts) AS m FROM e GROUP BY 1),
+p AS (SELECT arrival, max(m) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 HOUR AS mark FROM d)
+SELECT CAST(floor((epoch_us(mark) - epoch_us(ts)) / 3600000000) AS BIGINT) AS hours_late, count(*) AS n_late
+FROM e JOIN p USING (arrival) WHERE ts < mark GROUP BY 1"""
+
 SQL["stream_lag_state"] = f"""WITH obs AS ({O.PANEL_OBS})
 SELECT o.series_id, o.time, {_r('o.load_mw', 'load_mw')}, {_r('l1.load_mw', 'lag_1h')}, {_r('l24.load_mw', 'lag_24h')}
 FROM obs o LEFT JOIN obs l1 ON l1.series_id = o.series_id AND l1.time = o.time - INTERVAL 1 HOUR

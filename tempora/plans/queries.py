@@ -18,8 +18,8 @@ N = C.normalize
 # ------------------------------------------------------------- grids / align
 
 def q_time_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = C.hourly(spark, sf_dir, interpolate=False)
-    return N(h.grid.frame(spark).withColumn("pos", h.grid.pos("time")))
+    grid = C.hourly_grid(spark, sf_dir)
+    return N(grid.frame(spark).withColumn("pos", grid.pos("time")))
 
 
 def q_align_left(spark, sf_dir):
@@ -102,36 +102,35 @@ def _cv24(spark, sf_dir):
 
 
 def q_ts_split(spark, sf_dir):
-    h = C.hourly(spark, sf_dir, interpolate=False)
-    split = PR.hourly_split(h.grid)
+    grid = C.hourly_grid(spark, sf_dir)
+    split = PR.hourly_split(grid)
     pg = spark.range(0, split.n).select(F.col("id").alias("split_pos"))
-    pg = pg.withColumn("prediction_time", h.grid.time(F.col("split_pos") + WARMUP))
+    pg = pg.withColumn("prediction_time", grid.time(F.col("split_pos") + WARMUP))
     return N(SP.assign_folds(pg, split).select("prediction_time", "fold_idx", "role"))
 
 
 def q_fold_report(spark, sf_dir):
-    h = C.hourly(spark, sf_dir, interpolate=False)
-    split = PR.hourly_split(h.grid)
+    grid = C.hourly_grid(spark, sf_dir)
+    split = PR.hourly_split(grid)
     pg = spark.range(0, split.n).select(F.col("id").alias("split_pos"))
-    pg = pg.withColumn("prediction_time", h.grid.time(F.col("split_pos") + WARMUP))
+    pg = pg.withColumn("prediction_time", grid.time(F.col("split_pos") + WARMUP))
     return N(SP.fold_report(SP.assign_folds(pg, split)))
 
 
 def q_fold_assign(spark, sf_dir):
     """Range join of prediction rows against the broadcast fold-bounds table
     (k rows, bounded by the split) (#41)."""
-    h = C.hourly(spark, sf_dir, interpolate=False)
-    split = PR.hourly_split(h.grid)
+    grid = C.hourly_grid(spark, sf_dir)
+    split = PR.hourly_split(grid)
     pg = spark.range(0, split.n).select(F.col("id").alias("split_pos"))
-    pg = pg.withColumn("prediction_time", h.grid.time(F.col("split_pos") + WARMUP))
+    pg = pg.withColumn("prediction_time", grid.time(F.col("split_pos") + WARMUP))
     b = F.broadcast(split.bounds_table(spark))
     j = pg.join(b, (pg["split_pos"] >= b["test_start"]) & (pg["split_pos"] < b["test_end"]))
     return N(j.select("prediction_time", "fold_idx", "split_pos"))
 
 
 def q_year_split(spark, sf_dir):
-    d = C.daily(spark, sf_dir, interpolate=False)
-    ys = SP.year_split(d.grid.frame(spark), "time")
+    ys = SP.year_split(C.daily_grid(spark, sf_dir).frame(spark), "time")
     return N(SP.fold_report(ys, "time"))
 
 

@@ -113,8 +113,9 @@ def q_gbt_quantile(spark, sf_dir):
     return EV.pinball_scores(out, ["fold_idx"], preds=preds)
 
 
-def q_direct_multi_horizon(spark, sf_dir, horizons=(1, 6, 12, 24)):
-    """One model per horizon (#129): concurrent fits on one feature table."""
+def q_direct_multi_horizon(spark, sf_dir, horizons=tuple(range(1, 25))):
+    """One model per horizon (#129), 24 by default, on every fold: concurrent
+    fits on one feature table."""
     from concurrent.futures import ThreadPoolExecutor
     ft, cols, split = _design(spark, sf_dir)
 
@@ -283,8 +284,8 @@ def q_nystroem_map(spark, sf_dir):
 def q_randomized_search(spark, sf_dir, n_iter: int = 3):
     """Randomised search over the reference's space (#111, #112): loss in
     {squared_error, poisson, gamma}, learning rate log-uniform 0.01..1,
-    max leaf nodes log-int 3..300 (→ depth ceil(log2 leaves), documented
-    deviation), dropped column group; 2 forward folds, test R²."""
+    max leaf nodes log-int 3..300 (a tree of depth ceil(log2 leaves) is grown,
+    stored as ``max_depth``), dropped column group; 2 forward folds, test R²."""
     import math
     ft, cols, split = _design(spark, sf_dir)
     from tempora.plans.split import TimeSplit
@@ -294,18 +295,23 @@ def q_randomized_search(spark, sf_dir, n_iter: int = 3):
                             "max_leaf_nodes": CV.LogInt(3, 300, 30),
                             "dropped_cols": CV.Choice(list(A.DROP_GROUPS), "none")})
 
+    def depth_of(leaves: int) -> int:
+        return max(1, math.ceil(math.log2(leaves)))  # 2 to 9
+
     def make_fit(p):
         kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped_cols"]]))] or cols
-        depth = max(1, min(10, math.ceil(math.log2(p["max_leaf_nodes"]))))
+        depth = depth_of(p["max_leaf_nodes"])
         if p["loss"] == "squared_error":
             make = lambda: GBTRegressor(labelCol=LABEL, stepSize=p["learning_rate"],
                                         maxDepth=depth, maxIter=8, seed=0)
         else:
             make = lambda: LossBoostedRegressor(loss=p["loss"], n_rounds=4,
-                                                learning_rate=p["learning_rate"], max_depth=min(depth, 5),
+                                                learning_rate=p["learning_rate"], max_depth=depth,
                                                 labelCol=LABEL)
         return _fitter(make, kept)
-    return CV.randomized_search(spark, ft, split2, space, make_fit, LABEL, n_iter=n_iter, model_name="boosted_trees")
+    trials = CV.randomized_search(spark, ft, split2, space, make_fit, LABEL, n_iter=n_iter, model_name="boosted_trees")
+    leaves = F.col("max_leaf_nodes").cast("int")
+    return trials.withColumn("max_depth", F.greatest(F.lit(1), F.ceil(F.log2(leaves)).cast("int")))
 
 
 def q_trial_table(spark, sf_dir):
@@ -337,11 +343,6 @@ def _panel_y(spark, sf_dir):
     return s, p.grid.n
 
 
-def q_lag_matrix_model(spark, sf_dir):
-    s, n = _panel_y(spark, sf_dir)
-    return FC.lag_matrix(s)
-
-
 def q_recursive_forecast(spark, sf_dir, horizon: int = 60):
     s, n = _panel_y(spark, sf_dir)
     train = FC.lag_matrix(s).where(F.col("pos") < n - 300)
@@ -352,7 +353,7 @@ def q_recursive_forecast(spark, sf_dir, horizon: int = 60):
     return rec.join(act, ["series_id", "pos"], "left")
 
 
-def q_recursive_forecast_forest(spark, sf_dir, horizon: int = 24):
+def q_recursive_forecast_forest(spark, sf_dir, horizon: int = 60):
     """The recursive back-test with a random forest as the one-step model (#138)."""
     s, n = _panel_y(spark, sf_dir)
     train = FC.lag_matrix(s).where(F.col("pos") < n - 300)
@@ -363,7 +364,7 @@ def q_recursive_forecast_forest(spark, sf_dir, horizon: int = 24):
               .dropna(subset=["y"]).groupBy("horizon").agg(F.avg(F.abs(F.col("y") - F.col("y_hat"))).alias("mae"))
 
 
-def q_direct_forecast(spark, sf_dir, horizons=(1, 13, 30, 60)):
+def q_direct_forecast(spark, sf_dir, horizons=tuple(range(1, 61))):
     s, n = _panel_y(spark, sf_dir)
     o = FC.origins_table(s, n)
     d = FC.direct_forecast(s, o, n, horizons, max_iter=10)

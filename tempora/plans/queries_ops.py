@@ -20,7 +20,7 @@ from tempora.plans import common as C
 from tempora.plans import evaluate as EV
 from tempora.plans import features as FT
 from tempora.plans import predictors as PR
-from tempora.session import scratch_path
+from tempora.session import materialize, scratch_path
 from tempora.sources import files as FS
 from tempora.sources import tables as S
 
@@ -92,9 +92,9 @@ def q_list_inputs(spark, sf_dir):
 
 
 def q_prediction_grid(spark, sf_dir):
-    h = C.hourly(spark, sf_dir, interpolate=False)
+    grid = C.hourly_grid(spark, sf_dir)
     from tempora.operators.grid import prediction_grid
-    return N(prediction_grid(spark, h.grid.start, h.grid.end, 168, 24))
+    return N(prediction_grid(spark, grid.start, grid.end, 168, 24))
 
 
 def q_preview_head(spark, sf_dir):
@@ -115,8 +115,8 @@ def q_star_covariates(spark, sf_dir):
 
 def q_exogenous_wide(spark, sf_dir):
     """Weather-like covariates with leads at +1 and +7 days (#100)."""
-    d = C.daily(spark, sf_dir, interpolate=False)
-    wide = _exo_wide(spark, sf_dir)
+    # written once: its bounds and both leads read it
+    wide = materialize(_exo_wide(spark, sf_dir), "exo-wide")
     from tempora.plans.grid_spec import GridSpec
     g = GridSpec.from_data(wide, "time", "1 day")
     return N(FT.covariate_leads(wide, g, (1, 7)).join(wide, "time"))
@@ -224,13 +224,13 @@ def q_concat_quantiles(spark, sf_dir):
 
 def q_asof_available(spark, sf_dir):
     """Last event value per type available at each hour with a 3 h system lag."""
-    h = C.hourly(spark, sf_dir, interpolate=False)
+    grid = C.hourly_grid(spark, sf_dir)
     ev = S.read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"]) \
           .withColumnRenamed("event_type", "series_id")
     series = ev.select("series_id").distinct()
-    g = h.grid.panel(series, "series_id", "prediction_time")
+    g = grid.panel(series, "series_id", "prediction_time")
     out = J.asof_available(g, ev, "series_id", "prediction_time", "ts", ["value", "event_id"], "event_id",
-                           system_lag_us=3 * 3_600_000_000)
+                           system_lag_us=3 * 3_600_000_000, grid_step_us=3_600_000_000)
     return N(out)
 
 
@@ -414,7 +414,6 @@ def q_difference(spark, sf_dir):
 
 def q_panel_lagged_block(spark, sf_dir):
     """Big panel (lineitem daily quantity by supplier): daily lag block."""
-    from tempora.session import materialize
     obs = materialize(S.supplier_daily_panel(spark, sf_dir), "supplier-obs")
     from tempora.plans.grid_spec import GridSpec
     g = GridSpec.from_data(obs, "time", "1 day")
@@ -445,8 +444,7 @@ def q_calendar_fields(spark, sf_dir):
 
 
 def q_string_parse(spark, sf_dir):
-    h = C.hourly(spark, sf_dir, interpolate=False)
-    g = h.grid.frame(spark)
+    g = C.hourly_grid(spark, sf_dir).frame(spark)
     text = F.concat_ws(" - ", F.date_format("time", FS.TIME_RANGE_FORMAT),
                        F.date_format(shift_time("time", 1, "1 hour"), FS.TIME_RANGE_FORMAT))
     parsed = F.to_timestamp(F.split(text, " - ").getItem(0), FS.TIME_RANGE_FORMAT).cast("timestamp_ntz")
@@ -532,7 +530,6 @@ def rolling_origin(series: DataFrame, n: int, keys="series_id", test_len: int =
 
 
 def q_rolling_origin(spark, sf_dir):
-    from tempora.session import materialize
     p = C.hourly_panel(spark, sf_dir)
     # three consumers (origins, actuals, history): read the written series
     return N(rolling_origin(materialize(p.series, "panel-series"), p.grid.n))

@@ -35,7 +35,14 @@ def q_stream_hourly_watermark(spark, sf_dir):
 
 
 def q_stream_sliding_24h(spark, sf_dir):
-    out = ST._run(ST.sliding_24h(_events_stream(spark, sf_dir), LAG), "sliding")
+    out = ST._run(ST.sliding(_events_stream(spark, sf_dir), "24 hours", LAG), "sliding")
+    return C.normalize(spark.read.parquet(out))
+
+
+def q_stream_sliding_7d(spark, sf_dir):
+    """As above over 7 days; a window for each hour and 168 windows an event, of
+    which the map side keeps one partial row per window."""
+    out = ST._run(ST.sliding(_events_stream(spark, sf_dir), "168 hours", LAG), "sliding-7d")
     return C.normalize(spark.read.parquet(out))
 
 
@@ -69,14 +76,14 @@ def q_stream_late_audit(spark, sf_dir, delay_every: int = 7):
     schema = ST.EVENTS_SCHEMA.replace(", day date", ", _arr date, day date")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = _path(spark, "late-audit")
-    ST.late_audit(stream.drop("_arr", "day"), 3, out)
-    late = spark.read.parquet(out)
+    ST.late_audit(stream, 3, out)
+    late = ST.late_rows(spark, out)
     return late.groupBy("hours_late").agg(F.count("*").alias("n_late"))
 
 
 def q_stream_calendar_join(spark, sf_dir):
     h = ST.hourly_watermarked(_events_stream(spark, sf_dir), LAG)
-    out = ST._run(ST.with_calendar(h, spark, (2023, 2025)), "calendar")
+    out = ST._run(ST.with_calendar(h), "calendar")
     return C.normalize(spark.read.parquet(out))
 
 
@@ -100,6 +107,7 @@ def q_stream_model_scoring(spark, sf_dir):
 QUERIES_STREAM = {
     "stream_hourly_watermark": q_stream_hourly_watermark,
     "stream_sliding_24h": q_stream_sliding_24h,
+    "stream_sliding_7d": q_stream_sliding_7d,
     "stream_lag_state": q_stream_lag_state,
     "stream_lag_state_ordered": q_stream_lag_state_ordered,
     "stream_late_audit": q_stream_late_audit,

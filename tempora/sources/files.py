@@ -36,10 +36,14 @@ def scan_load_csv(spark: SparkSession, path: str) -> DataFrame:
     the forecast column (#5); parse the interval start (#78)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in
                            (LOAD_TIME_COL, LOAD_FORECAST_COL, LOAD_ACTUAL_COL)])
+    def named(c):
+        """Starts with the prefix, also behind a partition's column name."""
+        c = F.regexp_replace(F.regexp_replace(c, "^[^=]*=", ""), "%20", " ")
+        return c.startswith(LOAD_FILE_PREFIX)
+
     raw = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
            .option("pathGlobFilter", "*.csv").csv(path)
-           .where(F.col("_metadata.file_path").contains(LOAD_FILE_PREFIX.replace(" ", "%20"))
-                  | F.col("_metadata.file_path").contains(LOAD_FILE_PREFIX)))
+           .where(named(F.col("_metadata.file_name")) | named(F.regexp_extract("_metadata.file_path", r"([^/]*)/[^/]*$", 1))))
     raw = raw.drop(LOAD_FORECAST_COL)
     v = F.col(LOAD_ACTUAL_COL)
     start = F.to_timestamp(F.split(F.col(LOAD_TIME_COL), " - ").getItem(0), TIME_RANGE_FORMAT)

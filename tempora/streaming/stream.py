@@ -2,8 +2,8 @@
 
 The reference has no streaming runtime; its "system lag" (values arrive
 hours late) maps to an event-time watermark.  Sources are file streams
-landed from the given tables (one file per day, ``maxFilesPerTrigger`` →
-one micro-batch per day); sinks write to the shared checkpoint folder, and
+landed from the given tables (a folder per day, ``maxFilesPerTrigger`` →
+one micro-batch per day file); sinks write to the shared checkpoint folder, and
 every query has its own checkpoint location, so a restarted driver resumes
 where it stopped.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +26,29 @@ EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value doubl
 
 
 def land_daily_files(df: DataFrame, path: str, time_col: str = "ts", arrival_col: str | None = None,
-                     swap_adjacent: bool = False) -> str:
-    """Land a table as the stream's input: one file per arrival day, written
-    in day order so file arrival follows event time (a file source picks up
-    files by modification time).  ``arrival_col`` (a date) overrides the
-    arrival day, e.g. to deliver some rows late; ``swap_adjacent`` lands
-    days pairwise swapped (2, 1, 4, 3, …) — out of order by one day."""
+                     swap_adjacent: bool = False, rows_per_file: int = 0) -> str:
+    """Land a table as the stream's input in one write, a folder for each
+    arrival day.  A file source picks files by modification time, so the
+    files' times are then set to follow the days (metadata only).
+    ``arrival_col`` (a date) overrides the arrival day, e.g. to deliver some
+    rows late; ``swap_adjacent`` lets days arrive pairwise swapped (2, 1, 4,
+    3, …); ``rows_per_file`` splits large days (0: one file a day)."""
     arr = F.col(arrival_col) if arrival_col else F.to_date(time_col)
     d = df.withColumn("day", arr)
-    days = [r["day"] for r in d.select("day").distinct().orderBy("day").collect()]
+    if rows_per_file:
+        d.write.option("maxRecordsPerFile", rows_per_file).partitionBy("day").parquet(path)
+    else:
+        d.repartition("day").write.partitionBy("day").parquet(path)
+    jvm = df.sparkSession._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    days = sorted((s.getPath() for s in fs.listStatus(root) if s.isDirectory()), key=lambda p: p.getName())
     if swap_adjacent:
         days = [x for i in range(0, len(days), 2) for x in reversed(days[i:i + 2])]
-    for day in days:
-        d.where(F.col("day") == F.lit(day)).coalesce(1).write.mode("append").parquet(path)
+    start = max([f.getModificationTime() for p in days for f in fs.listStatus(p)], default=0) - 60_000 * len(days)
+    for i, p in enumerate(days):
+        for f in fs.listStatus(p):
+            fs.setTimes(f.getPath(), start + 60_000 * i, -1)
     return path
 
 
@@ -68,11 +79,11 @@ def hourly_watermarked(stream: DataFrame, lag: str = "3 hours") -> DataFrame:
             .select(F.col("w.start").cast("timestamp_ntz").alias("time"), "load_mw", "n_events"))
 
 
-def sliding_24h(stream: DataFrame, lag: str = "3 hours") -> DataFrame:
-    """#95: 24 h windows sliding by 1 h (streaming form of the rolling block;
-    exact percentiles stay batch-only)."""
+def sliding(stream: DataFrame, width: str = "24 hours", lag: str = "3 hours") -> DataFrame:
+    """#95: windows of ``width`` sliding by 1 h (streaming form of the rolling
+    block; exact percentiles stay batch-only)."""
     return (stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lag)
-            .groupBy(F.window("ts", "24 hours", "1 hour").alias("w"))
+            .groupBy(F.window("ts", width, "1 hour").alias("w"))
             .agg(F.count("*").alias("n_events"), F.avg("value").alias("mean_value"),
                  F.max("value").alias("max_value"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -84,27 +95,36 @@ LAG_OUT_SCHEMA = "series_id string, time timestamp_ntz, load_mw double, lag_1h d
 LAG_STATE_SCHEMA = "times array<timestamp_ntz>, values array<double>"
 
 
+def _known(times, values) -> pd.Series:
+    """Values by time as kept in a group's state."""
+    return pd.Series(list(values), index=pd.DatetimeIndex(pd.to_datetime(list(times))), dtype="float64")
+
+
+def _merged(known: pd.Series, frames: list[pd.DataFrame]) -> pd.Series:
+    """State and new rows in time order; of one time the last row holds."""
+    new = [pd.Series(f["load_mw"].to_numpy("float64"), index=pd.DatetimeIndex(f["time"])) for f in frames]
+    both = pd.concat([s for s in [known, *new] if len(s)] or [known])
+    return both[~both.index.duplicated(keep="last")].sort_index()
+
+
+def _lag(known: pd.Series, times: pd.DatetimeIndex, hours: int):
+    return known.reindex(times - pd.Timedelta(hours=hours)).to_numpy()
+
+
 def lag_state_fn(max_lag_hours: int = 168):
-    """#96: per-series ring buffer of the last ``max_lag_hours`` hourly
-    values; lags are clock-based lookups into the buffer, so rows of one
-    micro-batch may come in any order."""
+    """#96: per-series buffer of hourly values; lags are clock-based lookups
+    over the buffer and the whole micro-batch, and only then is the buffer
+    cut to the last ``max_lag_hours``, so that results don't depend on how
+    ordered input is cut into batches."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.exists:
-            t, v = state.get
-            buf = dict(zip(pd.to_datetime(list(t)), v))
-        else:
-            buf = {}
-        new = pd.concat(list(pdfs)).sort_values("time")
-        for r in new.itertuples(index=False):
-            buf[pd.Timestamp(r.time)] = r.load_mw
-        latest = max(buf)
-        horizon = latest - pd.Timedelta(hours=max_lag_hours)
-        buf = {k: x for k, x in buf.items() if k >= horizon}
-        out = new.assign(
-            lag_1h=[buf.get(pd.Timestamp(t) - pd.Timedelta(hours=1)) for t in new["time"]],
-            lag_24h=[buf.get(pd.Timestamp(t) - pd.Timedelta(hours=24)) for t in new["time"]])
-        ks = sorted(buf)
-        state.update(([k.to_pydatetime() for k in ks], [float(buf[k]) for k in ks]))
+        known = _known(*state.get) if state.exists else _known([], [])
+        frames = list(pdfs)
+        new = pd.concat(frames).sort_values("time")
+        known = _merged(known, frames)
+        times = pd.DatetimeIndex(new["time"])
+        out = new.assign(lag_1h=_lag(known, times, 1), lag_24h=_lag(known, times, 24))
+        known = known[known.index >= known.index[-1] - pd.Timedelta(hours=max_lag_hours)]
+        state.update((list(known.index.to_pydatetime()), known.tolist()))
         yield out[["series_id", "time", "load_mw", "lag_1h", "lag_24h"]]
     return fn
 
@@ -116,42 +136,45 @@ def stateful_lags(hourly_stream: DataFrame) -> DataFrame:
         lag_state_fn(), LAG_OUT_SCHEMA, LAG_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+AUDIT_SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double, hours_late long"
+
+
 def late_audit(stream: DataFrame, lag_hours: int, out_path: str) -> None:
     """#97: per micro-batch, rows older than (max event time of earlier
-    batches − lag) go to a side table with their lateness bucket; the only
-    driver state is one running maximum."""
+    batches − lag) go to a side table with their lateness.
+
+    Each batch overwrites its own folder (``late/epoch=N``) and its own
+    maximum (``max/epoch=N``), so a batch that is played again after a restart
+    leaves the same rows, and the maximum of earlier batches is read from
+    the table, not from the driver's memory."""
     spark = stream.sparkSession
-    state = {"max": None}
+    columns = [c.split()[0] for c in AUDIT_SCHEMA.split(", ")][:-1]
 
     def handle(batch: DataFrame, epoch: int):
-        mx = state["max"]
-        if mx is not None:
-            wm = F.lit(mx).cast("timestamp_ntz") - F.expr(f"INTERVAL {lag_hours} HOURS")
-            late = batch.where(F.col("ts") < wm).withColumn(
-                "hours_late", F.floor((F.unix_micros(wm.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")))
-                                      / F.lit(3_600_000_000)).cast("long")).withColumn("epoch", F.lit(epoch))
-            late.write.mode("append").parquet(out_path)
-        bmax = batch.agg(F.max("ts")).first()[0]
-        if bmax is not None and (mx is None or bmax > mx):
-            state["max"] = bmax
+        batch = batch.select(*columns)
+        batch.agg(F.max("ts").alias("ts")).write.mode("overwrite").parquet(f"{out_path}/max/epoch={epoch}")
+        earlier = (spark.read.schema("ts timestamp_ntz, epoch long").parquet(f"{out_path}/max")
+                   .where(F.col("epoch") < epoch).agg(F.max("ts")).first()[0])
+        mark = F.lit(earlier).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(lag_hours)} HOURS")
+        behind = F.unix_micros(mark.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+        late = batch.where(F.col("ts") < mark).withColumn("hours_late", F.floor(behind / F.lit(3_600_000_000)).cast("long"))
+        late.write.mode("overwrite").parquet(f"{out_path}/late/epoch={epoch}")
 
     q = (stream.writeStream.foreachBatch(handle)
-         .option("checkpointLocation", out_path + "_checkpoint").trigger(availableNow=True).start())
+         .option("checkpointLocation", out_path + "/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    # an empty side table still has a schema
-    try:
-        spark.read.parquet(out_path)
-    except Exception:  # noqa: BLE001
-        spark.createDataFrame([], EVENTS_SCHEMA + ", hours_late long, epoch long").write.parquet(out_path)
 
 
-def with_calendar(stream: DataFrame, spark: SparkSession, years: tuple[int, int]) -> DataFrame:
-    """#98: stream-static join with the broadcast holiday table."""
-    hol = cal.holidays(spark, *years).select(F.col("holiday_date").alias("_hd")).distinct()
-    s = stream.withColumn("_ld", F.to_date(cal.local_time("time")))
-    s = s.join(F.broadcast(hol), s["_ld"] == hol["_hd"], "left")
-    return s.select("*", *cal.calendar_columns("time")).withColumn("cal_is_holiday", F.col("_hd").isNotNull()) \
-            .drop("_ld", "_hd")
+def late_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """The side table of :func:`late_audit`."""
+    return spark.read.schema(AUDIT_SCHEMA + ", epoch long").parquet(f"{out_path}/late")
+
+
+def with_calendar(stream: DataFrame) -> DataFrame:
+    """#98: calendar columns and the holiday flag; the flag follows from the
+    local date alone, whatever its year."""
+    return stream.select("*", *cal.calendar_columns("time"),
+                         cal.is_holiday(F.to_date(cal.local_time("time"))).alias("cal_is_holiday"))
 
 
 ORDERED_STATE_SCHEMA = "times array<timestamp_ntz>, values array<double>, emitted_upto timestamp_ntz"
@@ -164,35 +187,27 @@ def ordered_lag_state_fn(max_lag_hours: int = 168):
     watermark moves past its oldest pending row.  The open tail (rows newer
     than the final watermark) stays in state, like an open window."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        upto, known = None, _known([], [])
         if state.exists:
-            t, v, upto = state.get
-            buf = dict(zip(pd.to_datetime(list(t)), v))
-            upto = pd.Timestamp(upto) if upto is not None else None
-        else:
-            buf, upto = {}, None
+            times, values, upto = state.get
+            known, upto = _known(times, values), pd.Timestamp(upto) if upto is not None else None
         if not state.hasTimedOut:
-            for pdf in pdfs:
-                for r in pdf.itertuples(index=False):
-                    buf[pd.Timestamp(r.time)] = r.load_mw
+            known = _merged(known, list(pdfs))
         wm_ms = state.getCurrentWatermarkMs()
-        wm = pd.Timestamp(wm_ms, unit="ms") if wm_ms and wm_ms > 0 else None
-        ready = sorted(k for k in buf if (upto is None or k > upto) and wm is not None and k <= wm)
-        out = pd.DataFrame({
-            "series_id": [key[0]] * len(ready), "time": ready, "load_mw": [buf[k] for k in ready],
-            "lag_1h": [buf.get(k - pd.Timedelta(hours=1)) for k in ready],
-            "lag_24h": [buf.get(k - pd.Timedelta(hours=24)) for k in ready]})
-        if ready:
+        closed = known.index <= pd.Timestamp(wm_ms, unit="ms") if wm_ms and wm_ms > 0 else np.zeros(len(known), bool)
+        fresh = known.index > upto if upto is not None else np.ones(len(known), bool)
+        ready = known.index[closed & fresh]
+        out = pd.DataFrame({"series_id": key[0], "time": ready, "load_mw": known.reindex(ready).to_numpy(),
+                            "lag_1h": _lag(known, ready, 1), "lag_24h": _lag(known, ready, 24)})
+        if len(ready):
             upto = ready[-1]
         if upto is not None:   # keep what later lags can still need
-            keep_from = upto - pd.Timedelta(hours=max_lag_hours)
-            buf = {k: x for k, x in buf.items() if k >= keep_from}
-        pending = sorted(k for k in buf if upto is None or k > upto)
-        if pending:
+            known = known[known.index >= upto - pd.Timedelta(hours=max_lag_hours)]
+        pending = known.index if upto is None else known.index[known.index > upto]
+        if len(pending):
             due = int(pending[0].value // 1_000_000) - 1
             state.setTimeoutTimestamp(max(due, (wm_ms or 0) + 1))
-        ks = sorted(buf)
-        state.update(([k.to_pydatetime() for k in ks], [float(buf[k]) for k in ks],
-                      upto.to_pydatetime() if upto is not None else None))
+        state.update((list(known.index.to_pydatetime()), known.tolist(), upto.to_pydatetime() if upto is not None else None))
         yield out
     return fn
 
