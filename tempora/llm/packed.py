@@ -34,7 +34,7 @@ from tempora.llm.common import Recent, Scratch, col, table
 END_ID = 2
 BLOCK_IDS = 1 << 16
 #: Pieces of text kept by a worker process (some 200 bytes each).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 BLOCK_SCHEMA = ("shard int, block int, first long, n_ids long, width int, doc_ids array<long>, "
                 "doc_ends array<long>, payload binary")
 
@@ -96,8 +96,8 @@ class Encoder:
                         and spec.get("normalizer") is None
                         and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
                                     for t in spec.get("added_tokens", [])))
-        self.first = Recent(lambda w: self._word(w, ""), CACHE_WORDS // 2)
-        self.later = Recent(lambda w: self._word(w, " "), CACHE_WORDS // 2)
+        self.first = Recent(lambda w: self._word(w, ""), CACHE_WORDS // 8)
+        self.later = Recent(lambda w: self._word(w, " "), CACHE_WORDS)
         self.marks = Recent(lambda w: array("I", [t.id for t in self.tokenizer.model.tokenize(w)]).tobytes(), 10_000)
         self.letters = [self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(b))[0][0] for b in range(128)] if self.by_word else []
         if self.by_word:  # bytes beyond ASCII are the rest of the alphabet, in order
