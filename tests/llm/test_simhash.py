@@ -99,10 +99,11 @@ def test_table(spark):
     out = S.near_duplicates(docs)
     assert out.columns == ["doc_id", "fingerprint", "component_id"]
     assert sorted(str(tuple(r)) for r in out.collect()) == want
-    kept = S.keep_one(docs).collect()
+    one = S.keep_one(docs)
+    assert one.columns == docs.columns
+    kept = one.collect()
     comps = force_components([r[0] for r in rows], fps)
     named = {c for c in comps if c is not None}
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(named)
     assert [r["text"] for r in kept if r["doc_id"] is None] == ["only null id here"]
-    assert S.keep_one(docs).columns == docs.columns
     assert S.near_duplicates(docs.limit(0)).count() == 0 and S.keep_one(docs.limit(0)).count() == 0
