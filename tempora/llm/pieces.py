@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 from tempora.llm.common import Recent, Scratch, col, table
 
 MARK = "▁"
-CHUNK = 16_384
+CHUNK = 32_768
 GROUP = 256
 #: Words kept by a worker process (some 250 bytes each).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 240_000
 NONE = float("-inf")
 FRAGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -75,6 +75,7 @@ class PieceModel:
         self.begun.update((p, s) for p, (s, _) in self.table.items())
         #: Per word (what follows a mark up to the next): its ids as little-endian 32-bit integers.
         self.words = Recent(lambda w: self.fragment(MARK + w), CACHE_WORDS)
+        self.points = Recent(lambda w: self.lattice(MARK + w, len(w) + 1, [0.0])[0][-1], CACHE_WORDS // 4)
 
     def prepare(self, text: str) -> str:
         return self.prefix + text.replace(" ", MARK) if text else ""
@@ -141,6 +142,8 @@ class PieceModel:
 
     def score(self, text: str) -> float:
         """Best score of text that starts and ends between words."""
+        if self.cuts and text.startswith(MARK) and MARK + MARK not in text:
+            return sum(map(self.points.__getitem__, text[1:].split(MARK)))
         parts = FRAGMENT.findall(text) if self.cuts else [text]
         return sum(self.lattice(p, len(p), [0.0])[0][-1] for p in parts)
 
