@@ -73,6 +73,7 @@ class PieceModel:
         #: Scores of pieces, and None for what only begins one.
         self.begun: dict[str, float | None] = {p[:i]: None for p in self.table for i in range(1, len(p))}
         self.begun.update((p, s) for p, (s, _) in self.table.items())
+        self.pieces: dict[str, tuple[float, int] | None] = {p: self.table.get(p) for p in self.begun}
         #: Per word (what follows a mark up to the next): its ids as little-endian 32-bit integers.
         self.words = Recent(lambda w: self.fragment(MARK + w), CACHE_WORDS)
         self.points = Recent(lambda w: self.lattice(MARK + w, len(w) + 1, [0.0])[0][-1], CACHE_WORDS // 4)
@@ -129,8 +130,31 @@ class PieceModel:
 
     def fragment(self, text: str) -> bytes:
         """Ids of a text that is one lattice."""
-        _, start = self.lattice(text, len(text), [0.0])
-        return array("i", self.path(text, start, len(text))[1]).tobytes()
+        n, begun, unknown = len(text), self.pieces.get, self.unknown
+        best, back, ids = [0.0] + [NONE] * n, [0] * (n + 1), [-1] * (n + 1)
+        for at in range(n):
+            so_far, end = best[at], at + 1
+            hit = begun(text[at:end], False)
+            if not hit and so_far + unknown > best[end]:  # no piece of one character
+                best[end], back[end], ids[end] = so_far + unknown, at, -1
+            while hit is not False:
+                if hit and so_far + hit[0] > best[end]:
+                    best[end], back[end], ids[end] = so_far + hit[0], at, hit[1]
+                end += 1
+                if end > n:
+                    break
+                hit = begun(text[at:end], False)
+        out, at = [], n
+        while at:
+            if ids[at] >= 0:
+                out.append(ids[at])
+            elif self.bytes:
+                out += [self.bytes[x] for x in reversed(text[back[at]:at].encode("utf-8", "surrogatepass"))]
+            else:
+                out.append(self.unk)
+            at = back[at]
+        out.reverse()
+        return array("i", out).tobytes()
 
     def closed(self, text: str) -> bytes:
         """Ids of text that starts and ends between words."""
