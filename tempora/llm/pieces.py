@@ -70,10 +70,9 @@ class PieceModel:
             self.score_of[i] = score
         for b, i in enumerate(self.bytes or []):
             self.raw[i] = bytes([b])
-        #: Scores of pieces, and None for what only begins one.
-        self.begun: dict[str, float | None] = {p[:i]: None for p in self.table for i in range(1, len(p))}
-        self.begun.update((p, s) for p, (s, _) in self.table.items())
-        self.pieces: dict[str, tuple[float, int] | None] = {p: self.table.get(p) for p in self.begun}
+        #: Score and id of pieces, and None for what only begins one.
+        self.pieces: dict[str, tuple[float, int] | None] = {p[:i]: None for p in self.table for i in range(1, len(p))}
+        self.pieces.update(self.table)
         #: Per word (what follows a mark up to the next): its ids as little-endian 32-bit integers.
         self.words = Recent(lambda w: self.fragment(MARK + w), CACHE_WORDS)
         self.points = Recent(lambda w: self.lattice(MARK + w, len(w) + 1, [0.0])[0][-1], CACHE_WORDS // 4)
@@ -85,7 +84,7 @@ class PieceModel:
         """Best scores and the start of the last piece per place, for pieces
         that start before ``stop``; a place in ``entries`` can be reached from outside with
         that score (start -1, first choice in a tie)."""
-        n, begun, other = len(text), self.begun.get, NONE
+        n, begun, other = len(text), self.pieces.get, NONE
         best, start = [other] * (n + 1), [-2] * (n + 1)
         for i, s in enumerate(entries[:n + 1]):
             if s > other:
@@ -96,13 +95,13 @@ class PieceModel:
                 continue
             end = at + 1
             hit = begun(text[at:end], False)
-            if hit is False or hit is None:  # no piece of one character
+            if not hit:  # no piece of one character
                 s = so_far + self.unknown
                 if s > best[end]:
                     best[end], start[end] = s, at
             while hit is not False:
-                if hit is not None:
-                    s = so_far + hit
+                if hit:
+                    s = so_far + hit[0]
                     if s > best[end]:
                         best[end], start[end] = s, at
                 end += 1
@@ -262,8 +261,22 @@ def _matrix(raw: bytes) -> np.ndarray:
     return a.reshape(int(len(a) ** 0.5), -1)
 
 
-def _giant(chunks: DataFrame, model: str, scratch: Scratch) -> DataFrame:
-    """(uid, c, ids) of the chunks (uid, c, g, stop, text) of giant documents."""
+#: What a row says of its ids: themselves, or counts and checksums.
+AS_IDS = "ids array<int>"
+AS_DIGEST = "n long, score double, ids_crc32 long, size long, text_crc32 long"
+
+
+def _told(m: PieceModel, parts: list[bytes], first: list[bool], form: str) -> dict:
+    ids = [np.frombuffer(p, "<i4") for p in parts]
+    if form == AS_IDS:
+        return {"ids": ids}
+    texts = [m.decode(i.tolist(), f) for i, f in zip(ids, first)]
+    return {"n": [i.size for i in ids], "score": [float(m.score_of[i].sum()) for i in ids], "ids_crc32": [zlib.crc32(p) for p in parts],
+            "size": [len(t) for t in texts], "text_crc32": [zlib.crc32(t) for t in texts]}
+
+
+def _giant(chunks: DataFrame, model: str, scratch: Scratch, form: str) -> DataFrame:
+    """(uid, c, and ``form``) of the chunks (uid, c, g, stop, text) of giant documents."""
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = piece_model(model)
@@ -325,14 +338,14 @@ def _giant(chunks: DataFrame, model: str, scratch: Scratch) -> DataFrame:
     def traces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = piece_model(model)
         for b in batches:
-            yield pd.DataFrame({"uid": b["uid"], "c": b["c"], "ids": [
-                np.frombuffer(m.trace(t, s, np.frombuffer(e, np.float64).tolist(), j), "<i4") for t, s, e, j in zip(b["text"], b["stop"], b["entry"], b["j"])]})
+            ids = [m.trace(t, s, np.frombuffer(e, np.float64).tolist(), j) for t, s, e, j in zip(b["text"], b["stop"], b["entry"], b["j"])]
+            yield pd.DataFrame({"uid": b["uid"], "c": b["c"], **_told(m, ids, [c == 0 for c in b["c"]], form)})
 
-    return full.join(ends, ["uid", "c"]).mapInPandas(traces, "uid long, c int, ids array<int>")
+    return full.join(ends, ["uid", "c"]).mapInPandas(traces, f"uid long, c int, {form}")
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(id, uid, c, chunks, ids): a row for each document of at most ``chunk``
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, form: str = AS_IDS) -> DataFrame:
+    """(id, uid, c, chunks, ids or what ``form`` has of them): a row for each document of at most ``chunk``
     characters, and one for each chunk of longer ones, in the order of c; uid
     tells rows of the table apart.  Null and empty texts have no ids.
 
@@ -347,8 +360,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for at in range(0, len(b), 512):
                 part = b.iloc[at:at + 512]
-                yield pd.DataFrame({"id": part["id"], "uid": part["uid"], "c": 0, "chunks": 1,
-                                    "ids": [np.frombuffer(m.closed(m.prepare(t)), "<i4") for t in part["text"]]})
+                ids = [m.closed(m.prepare(t)) for t in part["text"]]
+                yield pd.DataFrame({"id": part["id"], "uid": part["uid"], "c": 0, "chunks": 1, **_told(m, ids, [True] * len(ids), form)})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = piece_model(model)
@@ -363,14 +376,14 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                                          "text": text[c * size:end + m.longest - 1]}])
 
     known = rows.withColumn("uid", F.monotonically_increasing_id())
-    schema = f"id {id_type}, uid long, c int, chunks int, ids array<int>"
+    schema = f"id {id_type}, uid long, c int, chunks int, {form}"
     simple = known.where(F.length("text") <= chunk).mapInPandas(short, schema)
     long_ = scratch.write(known.where(F.length("text") > chunk).mapInPandas(
         cut, f"id {id_type}, uid long, c int, g int, chunks int, stop int, text string").repartition("uid", "c"), "chunks")
     if long_.isEmpty():
         return simple
-    ids = scratch.write(_giant(long_.select("uid", "c", "g", "stop", "text"), model, scratch), "giant-ids")
-    return simple.unionByName(long_.select("id", "uid", "c", "chunks").join(ids, ["uid", "c"]).select("id", "uid", "c", "chunks", "ids"))
+    ids = scratch.write(_giant(long_.select("uid", "c", "g", "stop", "text"), model, scratch, form), "giant-ids")
+    return simple.unionByName(long_.select("id", "uid", "c", "chunks").join(ids, ["uid", "c"]).select(simple.columns))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -411,20 +424,8 @@ def crc_join(a: int, b: int, length: int) -> int:
 def digest(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """Per row: id, n_pieces, score (sum of piece scores), ids_crc32 (ids as
     little-endian 32-bit integers) and decoded_crc32 (UTF-8 of the decoded text)."""
-    encoded = encode(docs, model, id_col, text_col, chunk)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = piece_model(model)
-        for b in batches:
-            ids = [np.asarray(i, "<u4") for i in b["ids"]]
-            texts = [m.decode(i.tolist(), first=c == 0) for i, c in zip(ids, b["c"])]
-            yield pd.DataFrame({
-                "id": b["id"], "uid": b["uid"], "c": b["c"], "chunks": b["chunks"], "n": [i.size for i in ids],
-                "score": [float(m.score_of[i].sum()) for i in ids],
-                "ids_crc32": [zlib.crc32(i.tobytes()) for i in ids], "size": [len(t) for t in texts], "text_crc32": [zlib.crc32(t) for t in texts]})
-
-    id_type = encoded.schema["id"].dataType.simpleString()
-    parts = encoded.mapInPandas(run, f"id {id_type}, uid long, c int, chunks int, n long, score double, ids_crc32 long, size long, text_crc32 long")
+    parts = encode(docs, model, id_col, text_col, chunk, AS_DIGEST)
+    id_type = parts.schema["id"].dataType.simpleString()
     parts = Scratch(docs.sparkSession, "pieces-digest").write(parts, "parts")
     out = f"id {id_type}, n_pieces long, score double, ids_crc32 long, decoded_crc32 long"
 
