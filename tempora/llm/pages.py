@@ -4,9 +4,9 @@ A page is read as a sequence of text blocks, each with its root-to-leaf path
 of block tags.  Per path the text length and the punctuation are summed and
 divided by the number of blocks; the two ratios are fused (length times one
 plus punctuation), smoothed over neighbouring blocks and held against the
-page's threshold.  The smallest element that holds nearly all of the weight
-of the blocks above it is the article; its blocks, in page order, are the
-text.  Elements that say themselves that they are menus, notices, forms and
+page's threshold.  The smallest element that holds all blocks above it is the
+article, or all article or main elements with such blocks where there are any;
+their blocks, in page order, and a headline before them are the text.  Elements that say themselves that they are menus, notices, forms and
 the like never count.
 
 A page is one row, so no shuffle is needed: pages are dealt as the scan deals
@@ -162,20 +162,38 @@ def _chain(node: Node) -> Iterator[Node]:
         node = node.parent
 
 
-def content(found: list[tuple[Node, str]]) -> list[str]:
-    """Texts of the blocks of the article."""
-    if len(found) < 2:
-        return [t for _, t in found]
+def _fused(found: list[tuple[Node, str]]) -> np.ndarray:
+    """Per block the fused ratios of its path."""
     paths: dict[str, list[float]] = {}
     for node, text in found:
         p = paths.setdefault(node.path, [0, 0, 0])
         p[0] += len(text)
         p[1] += len(PUNCTUATION.findall(text))
         p[2] += 1
-    fused = np.array([paths[n.path][0] / paths[n.path][2] * (1 + paths[n.path][1] / paths[n.path][2]) for n, _ in found])
+    return np.array([paths[n.path][0] / paths[n.path][2] * (1 + paths[n.path][1] / paths[n.path][2]) for n, _ in found])
+
+
+def _common(nodes: list[Node]) -> Node:
+    """Smallest element that holds all of the given ones."""
+    top = nodes[0]
+    for node in nodes[1:]:
+        while top is not node:
+            if top.depth >= node.depth:
+                top = top.parent
+            else:
+                node = node.parent
+    return top
+
+
+def content(found: list[tuple[Node, str]]) -> list[str]:
+    """Texts of the blocks of the article."""
+    if len(found) < 2:
+        return [t for _, t in found]
+    fused = _fused(found)
     padded = np.pad(fused, 1, mode="edge")
     smooth = 0.25 * padded[:-2] + 0.5 * padded[1:-1] + 0.25 * padded[2:]
-    chosen = smooth >= min(smooth.std(), smooth.max())
+    least = min(smooth.std(), smooth.max())
+    chosen = smooth >= least
     weight = np.where(chosen, fused, 0.0)
     sums: dict[int, float] = {}
     nodes: dict[int, Node] = {}
@@ -183,13 +201,27 @@ def content(found: list[tuple[Node, str]]) -> list[str]:
         for up in _chain(node):
             sums[up.number] = sums.get(up.number, 0.0) + w
             nodes[up.number] = up
-    named = [n for n in nodes.values() if n.tag in ("article", "main") and sums[n.number] > 0]
-    pool = [max(named, key=lambda n: (sums[n.number], n.depth))] if named else list(nodes.values())
-    total = max(sums[n.number] for n in pool)
-    article = max((n for n in pool if sums[n.number] >= 0.9 * total), key=lambda n: n.depth)
-    while article.parent is not None and article.tag not in SCOPES:
-        article = article.parent  # a lone paragraph: its section
-    return [t for n, t in found if any(up is article for up in _chain(n))]
+    named = sorted((n for n in nodes.values() if n.tag in ("article", "main") and sums[n.number] > 0), key=lambda n: (-sums[n.number], -n.depth))
+    kept: dict[int, Node] = {}
+    above: set[int] = set()
+    for n in named:  # the heaviest, and those beside it
+        ups = [up.number for up in _chain(n)]
+        if n.number not in above and not kept.keys() & set(ups):
+            kept[n.number] = n
+            above.update(ups)
+    if not kept:
+        # blocks that are chosen for their neighbours alone don't widen the article
+        article = _common([n for (n, _), c in zip(found, chosen & (fused >= least)) if c] or [n for (n, _), c in zip(found, chosen) if c])
+        while article.parent is not None and article.tag not in SCOPES:
+            article = article.parent  # a lone paragraph: its section
+        kept[article.number] = article
+    inside = [any(up.number in kept for up in _chain(n)) for n, _ in found]
+    first = inside.index(True)
+    if not any(n.tag == "h1" for (n, _), x in zip(found, inside) if x):
+        heads = [i for i in range(first) if found[i][0].tag == "h1"]
+        for i in range(heads[-1] if heads else first, first):  # a headline beside the article
+            inside[i] = found[i][0].tag in HEADINGS
+    return [t for (_, t), x in zip(found, inside) if x]
 
 
 def main_text(page: str | None) -> str:

@@ -56,3 +56,15 @@ def test_table(spark):
     out = G.extract(df).collect()
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in out) == sorted([("1", TEXT, len(TEXT))] * 2 + [("2", "", 0), ("None", "", 0)])
     assert G.extract(df.limit(0)).count() == 0
+
+
+def test_whole_article():
+    """Small parts of an article stay: a last section, a headline beside it, further article elements."""
+    long = "".join(f"<p>Sentence {i} of a story, fairly long, with commas, to be read.</p>" for i in range(10))
+    last = "<p>The end of this story, fairly long, with commas, to be read.</p>"
+    end = "The end of this story, fairly long, with commas, to be read."
+    want = [f"Sentence {i} of a story, fairly long, with commas, to be read." for i in range(10)] + [end]
+    menu = "<div class=menu><a>One</a> <a>Two</a></div>"
+    assert G.main_text(f"<body>{menu}<div class=post><section>{long}</section><section>{last}</section></div>").split("\n") == want
+    assert G.main_text(f"<body>{menu}<div><h1>Head line</h1><div class=body>{long}{last}</div></div>").split("\n") == ["Head line"] + want
+    assert G.main_text(f"<body>{menu}<article>{long}</article><div>x</div><article>{last}</article>").split("\n") == want
