@@ -36,6 +36,9 @@ MARKS = set("""ad ads advert adverts advertisement advertising sponsor sponsored
 alert popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header
 masthead topbar toolbar comment comments commentlist respond reply replies disqus discussion social share sharing related recommended
 recommendations widget widgets pagination pager search""".split())
+#: Class names that tell what an element has or lacks.
+MODIFIED = re.compile(r"(?:has|have|with|no|without|hide|hides|show|shows)[^a-z0-9]")
+WHOLE, PART = 0.9, 0.5
 ROLES = set("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 #: Paths inside a story, whose own header may hold its heading.
 STORY = re.compile(r"/(?:article|main)\b|\.(?:post|entry|story|article|content)\b")
@@ -47,10 +50,10 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
 class Node:
-    __slots__ = ("parent", "tag", "path", "out", "number", "depth")
+    __slots__ = ("parent", "tag", "path", "out", "mark", "number", "depth")
 
-    def __init__(self, parent: "Node | None", tag: str, name: str, out: bool, number: int):
-        self.parent, self.tag, self.out, self.number = parent, tag, out, number
+    def __init__(self, parent: "Node | None", tag: str, name: str, out: bool, number: int, mark: float = 0.0):
+        self.parent, self.tag, self.out, self.mark, self.number = parent, tag, out, mark, number
         self.path = (parent.path + "/" if parent else "") + name
         self.depth = parent.depth + 1 if parent else 0
 
@@ -64,11 +67,20 @@ def _is_out(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
         return True
-    if attrs.get("role", "").lower() in ROLES:
-        return True
+    return attrs.get("role", "").lower() in ROLES
+
+
+def _mark(tag: str, attrs: dict[str, str]) -> float:
+    """0, or the share of the page's weight above which an element's marks
+    don't count: its class or id is a mark (WHOLE) or has one among others (PART)."""
     if tag in ("html", "body", "main"):
-        return False
-    return bool(MARKS.intersection(re.split(r"[^a-z0-9]+", (attrs.get("class", "") + " " + attrs.get("id", "")).lower())))
+        return 0.0
+    names = [n for n in (attrs.get("class", "") + " " + attrs.get("id", "")).lower().split() if not MODIFIED.match(n)]
+    if tag == "header":  # one inside a story, which keeps its headings
+        return 0.0
+    if MARKS.intersection(names):
+        return WHOLE
+    return PART if any(MARKS.intersection(re.split(r"[^a-z0-9]+", n)) for n in names) else 0.0
 
 
 def blocks(page: str) -> list[tuple[Node, str]]:
@@ -132,9 +144,36 @@ def blocks(page: str) -> list[tuple[Node, str]]:
         number += 1
         name = tag + ("." + attrs["class"].split()[0] if attrs.get("class", "").strip() else "")
         out = node.out or _is_out(tag, attrs, inside)
-        node = Node(node, tag, name, out, number)
+        node = Node(node, tag, name, out, number, _mark(tag, attrs))
     close_block()
-    return [(n, t) for n, t in found if not _in_header(n)]
+    return _unmarked([(n, t) for n, t in found if not _in_header(n)])
+
+
+def _unmarked(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """Blocks outside marked elements.  A mark doesn't count on an element with
+    most of the page's weight, nor around an article or main element that weighs
+    more than all unmarked blocks beside it."""
+    if not any(up.mark for up in {n.number: n for n, _ in found}.values() for up in _chain(up)):
+        return found
+    weight = _fused(found)
+    sums: dict[int, float] = {}
+    stories: dict[int, Node] = {}
+    marked = []
+    for (node, _), w in zip(found, weight):
+        ups = list(_chain(node))
+        marked.append(any(up.mark for up in ups))
+        for up in ups:
+            sums[up.number] = sums.get(up.number, 0.0) + w
+            if up.tag in ("article", "main") and not up.mark:
+                stories[up.number] = up
+    void: set[int] = set()
+    if stories:
+        story = max(stories.values(), key=lambda n: (sums[n.number], -n.depth))
+        beside = sum(w for (n, _), w, m in zip(found, weight, marked) if not m and all(up is not story for up in _chain(n)))
+        if sums[story.number] > beside:
+            void = {up.number for up in _chain(story)}
+    total = sums[0]
+    return [(n, t) for n, t in found if not any(up.mark and up.number not in void and sums[up.number] <= up.mark * total for up in _chain(n))]
 
 
 def _crosses(node: Node, up: Node) -> bool:

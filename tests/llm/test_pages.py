@@ -68,3 +68,16 @@ def test_whole_article():
     assert G.main_text(f"<body>{menu}<div class=post><section>{long}</section><section>{last}</section></div>").split("\n") == want
     assert G.main_text(f"<body>{menu}<div><h1>Head line</h1><div class=body>{long}{last}</div></div>").split("\n") == ["Head line"] + want
     assert G.main_text(f"<body>{menu}<article>{long}</article><div>x</div><article>{last}</article>").split("\n") == want
+
+
+def test_marks_around_the_article():
+    """Words like sidebar on a wrapper or on the article's header leave the article as it is."""
+    menu, note = "<div class=menu><a>One</a> <a>Two</a></div>", "<div class='cookie-notice'>We use cookies, you agree.</div>"
+    for name in ("content has-sidebar", "post with-comments", "no-sidebar", "page_sidebar_left", "sidebar"):
+        assert G.main_text(f'<body>{menu}<div class="{name}">{STORY}{note}</div>') == TEXT, name
+        assert G.main_text(f'<body>{menu}<div class="{name}"><article>{STORY}{note}</article></div>{note}') == TEXT, name
+    assert G.main_text(f'<article class="post has-sidebar">{STORY}</article>') == TEXT
+    assert G.main_text(f'<article><header class="entry-header"><h1>Head line</h1><p>By me</p></header>{STORY}</article>') == "Head line\n" + TEXT
+    comment = "<article class=comment><p>Nice story, I liked it, very much, thanks, all of you!</p></article>"
+    assert G.main_text(f"<body><article>{STORY}</article><section id=comments>{comment * 3}</section>") == TEXT
+    assert G.main_text(f"<body><div class=x>{STORY}</div><section class=comments>{comment * 5}</section>") == TEXT
