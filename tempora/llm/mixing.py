@@ -10,14 +10,17 @@ paths on aggregates (rows: patterns, not documents).
 
 The flow of a pattern is then taken from its documents: all of them as many
 full times as fit, and the rest from documents in the order of a seeded hash.
-Hash buckets are summed first, so that only the one bucket per pattern in
+Hash buckets are summed first, so that only the bucket per pattern in
 which the quota ends is gone through document by document: there, documents that
-still fit are taken.  Reruns give the same result."""
+still fit are taken.  What then is left of the quota goes on to the buckets after
+it in further rounds, until no later document is small enough.  Reruns give the
+same result."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -203,24 +206,37 @@ def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id",
     todo = F.broadcast(spark.createDataFrame(plan, "pid long, times int, rest long, buckets long"))  # MAX_PATTERNS rows at most
     h = F.xxhash64(F.lit(seed), F.col("id"), F.col("tie"), F.col("size"))
     dealt = rows.join(todo, "pid").withColumn("h", h).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 20), F.col("buckets")))
-    sums = dealt.groupBy("pid", "rest", "bucket").agg(F.sum("size").alias("n"))
+    sums = scratch.write(dealt.where("size > 0").groupBy("pid", "bucket").agg(F.sum("size").alias("n"), F.min("size").alias("least")), "sums")
+    rooms = todo.select("pid", F.lit(-1).cast("long").alias("after"), F.col("rest").alias("room"))
     before = Window.partitionBy("pid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-            .where("before < rest and before + n > rest")
-            .select("pid", F.col("bucket").alias("end"), (F.col("rest") - F.col("before")).alias("room")))
-    whole_ = sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where("before + n <= rest") \
-        .groupBy("pid").agg(F.max("bucket").alias("done"))
-    cuts = scratch.write(todo.join(ends, "pid", "left").join(whole_, "pid", "left"), "cuts")
-    near = dealt.select("id", "tie", "sources", "size", "pid", "h", "bucket").join(F.broadcast(cuts), "pid")
-    full = F.when(F.col("size") > 0, F.col("times") + F.coalesce(F.col("bucket") <= F.col("done"), F.lit(False)).cast("int")).otherwise(0)
-    at_end = F.coalesce(F.col("bucket") == F.col("end"), F.lit(False))
-    simple = near.where(~at_end).select("id", "tie", "sources", "size", full.alias("copies"))
-    fine = (near.where(at_end).select("pid", "h", "id", "tie", "size", "room").repartition("pid").sortWithinPartitions("pid", "h", "id", "tie", "size")
-            .mapInPandas(_last_bucket, f"pid long, h long, id {rows.schema['id'].dataType.simpleString()}, tie long, size long, extra int"))
-    last = fine.join(F.broadcast(cuts.select("pid", "times")), "pid").join(
-        F.broadcast(spark.createDataFrame([(r["pid"], r["sources"]) for r in totals], "pid long, sources array<string>")), "pid") \
-        .select("id", "tie", "sources", "size", F.when(F.col("size") > 0, F.col("times") + F.col("extra")).otherwise(0).alias("copies"))
-    out = scratch.write(simple.unionByName(last), "mixed")
+    whole_, fine = [], []
+    while True:  # a round takes whole buckets up to the first that doesn't fit, and goes through that one
+        open_ = sums.join(F.broadcast(rooms), "pid").where("bucket > after and least <= room") \
+            .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        step = scratch.write(open_.where("before <= room").select("pid", "bucket", (F.col("room") - F.col("before")).alias("room"), (F.col("before") + F.col("n") <= F.col("room")).alias("fits"))
+                             .where("fits or room > 0"), "step")
+        if step.isEmpty():
+            break
+        whole_.append(step.where("fits").select("pid", "bucket"))
+        ends = step.where("not fits").select("pid", "bucket", "room")
+        taken = (dealt.select("pid", "h", "id", "tie", "size", "bucket").join(F.broadcast(ends), ["pid", "bucket"])
+                 .repartition("pid").sortWithinPartitions("pid", "h", "id", "tie", "size")
+                 .mapInPandas(_last_bucket, f"pid long, h long, id {rows.schema['id'].dataType.simpleString()}, tie long, size long, extra int"))
+        taken = scratch.write(taken.join(F.broadcast(ends), "pid"), "taken")
+        fine.append(taken)
+        rooms = scratch.write(taken.groupBy("pid", "bucket", "room").agg(F.sum(F.col("size") * F.col("extra")).alias("used"))
+                              .select("pid", F.col("bucket").alias("after"), (F.col("room") - F.col("used")).alias("room")).where("room > 0"), "rooms")
+    done = reduce(DataFrame.unionByName, [w.withColumn("full", F.lit(1)) for w in whole_] + [f.select("pid", "bucket").distinct().withColumn("full", F.lit(-1)) for f in fine],
+                  spark.createDataFrame([], "pid long, bucket long, full int"))
+    done = scratch.write(done, "done")
+    near = dealt.select("id", "tie", "sources", "size", "pid", "bucket", "times").join(F.broadcast(done), ["pid", "bucket"], "left")
+    full = F.when(F.col("size") > 0, F.col("times") + F.coalesce(F.col("full"), F.lit(0))).otherwise(0).cast("int")
+    out = near.where("full is null or full = 1").select("id", "tie", "sources", "size", full.alias("copies"))
+    of_pattern = F.broadcast(todo.join(spark.createDataFrame([(r["pid"], r["sources"]) for r in totals], "pid long, sources array<string>"), "pid").select("pid", "times", "sources"))
+    for taken in fine:
+        out = out.unionByName(taken.join(of_pattern, "pid").select(
+            "id", "tie", "sources", "size", F.when(F.col("size") > 0, F.col("times") + F.col("extra")).otherwise(0).cast("int").alias("copies")))
+    out = scratch.write(out, "mixed")
     listed = spark.createDataFrame([(s, n, g) for s, (n, g) in by_source.items()], "source string, source_size long, target double")
     return out, listed
 

@@ -105,3 +105,16 @@ def test_take(spark):
         want[r["id"]] = want.get(r["id"], 0) + r["copies"]
     assert counts == {k: v for k, v in want.items() if v}
     assert M.take(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_long_document_in_the_last_bucket(spark, seed):
+    """What a very long document leaves open is made up from later buckets."""
+    rows = [(i, "a", 200) for i in range(5000)] + [(5000, "a", 500_000), (5001, "b", 1_500_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n long")
+    for share in (0.15, 0.5, 0.6):  # short documents alone can fill these
+        out, listed = M.mix(docs, F.array("source"), F.col("n"), weigh=lambda names: [share, 2 - share], seed=seed)
+        want = {r["source"]: r["target"] for r in listed.collect()}
+        got = out.collect()
+        assert len(got) == len(rows)
+        assert want["a"] - 200 < sum(r["size"] * r["copies"] for r in got if r["sources"][0] == "a") <= want["a"] + 1
