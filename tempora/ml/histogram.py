@@ -20,9 +20,11 @@ every FOLD_TREES trees of a model: a lost executor costs one pass."""
 from __future__ import annotations
 
 import heapq
+import pickle
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -90,9 +92,11 @@ class Tree:
     right: np.ndarray
     value: np.ndarray  # nodes x targets
 
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of each column of ``bins`` (features x rows)."""
-        node, rows = np.zeros(bins.shape[1], np.int32), np.arange(bins.shape[1])
+    def leaves(self, bins: np.ndarray, root: np.ndarray | int = 0) -> np.ndarray:
+        """The leaf of each column of ``bins`` (features x rows), from ``root``
+        (a column of roots: a row for each)."""
+        rows = np.arange(bins.shape[1])
+        node = np.zeros(bins.shape[1], np.int32) + np.asarray(root, np.int32)
         while True:
             inner = self.left[node] >= 0
             if not inner.any():
@@ -102,10 +106,22 @@ class Tree:
             node = np.where(inner, to, node)
 
 
-def _added(trees: list[Tree], bins: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """``raw`` (targets x rows) and what the trees add."""
-    for t in trees:
-        raw = raw + t.value[t.leaves(bins)].T
+def _side_by_side(trees: list[Tree]) -> tuple[Tree, np.ndarray]:
+    """All nodes in one set of arrays, and where each tree's root is."""
+    root = np.cumsum([0] + [t.left.size for t in trees[:-1]]).astype(np.int32)
+    both = [np.concatenate([np.where(x >= 0, x + r, -1) for x, r in zip(side, root)]) for side in ([t.left for t in trees], [t.right for t in trees])]
+    return Tree(*[np.concatenate(x) for x in zip(*[(t.feature, t.cut, t.missing_left) for t in trees])], *both, np.concatenate([t.value for t in trees])), root
+
+
+def _added(trees: tuple[Tree, np.ndarray] | None, bins: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """``raw`` (targets x rows) and what the trees (side by side) add, in their order."""
+    if trees is None or not bins.shape[1]:
+        return raw
+    all_, root = trees
+    wide = max(1, (1 << 20) // bins.shape[1])  # so many trees go through together
+    for at in range(0, root.size, wide):
+        for node in all_.leaves(bins, root[at:at + wide, None]):
+            raw = raw + all_.value[node].T
     return raw
 
 
@@ -172,7 +188,7 @@ class _Ask:
     model: int
     kind: str
     spec: Spec
-    pending: list[Tree]
+    pending: tuple[Tree, np.ndarray] | None
     tree: Tree | None
     nodes: list[int] = field(default_factory=list)
     ranges: dict = field(default_factory=dict)
@@ -354,6 +370,10 @@ def _emit(ddl: str, rows: Sequence[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], _fields(ddl))
 
 
+def _by_model(asks: dict[int, list[_Ask]]) -> dict[int, _Ask]:
+    return {a.model: a for own in asks.values() for a in own}
+
+
 class Packed:
     """Binned rows in chunks.  ``members``: a bit mask of the training sets of each
     row (63 sets at most).  With fewer chunks than task slots each chunk is stored once for
@@ -495,7 +515,7 @@ class Booster:
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
         """targets x rows."""
-        raw = _added(self.trees, bins, np.repeat(self.base[:, None], bins.shape[1], axis=1))
+        raw = _added(_side_by_side(self.trees), bins, np.repeat(self.base[:, None], bins.shape[1], axis=1))
         return np.exp(raw) if self.spec.loss in LOG_LINK else raw
 
 
@@ -511,22 +531,28 @@ class _Model:
         self.ranks: dict[int, dict] = {}
         self.tree: Tree | None = None
         self.stage = "init"
+        self._pending: tuple = (None, None)
 
     @property
     def boosting(self) -> bool:
         """In a round, with its base known, and with predictions to keep."""
         return self.spec.kept > 0 and (self.stage == "split" or (self.stage == "rank" and self.tree is not None))
 
-    def pending(self) -> list[Tree]:
-        base = Tree(*[np.zeros(1, np.int32)] * 2, np.zeros(1, bool), *[np.full(1, -1, np.int32)] * 2, self.out.base[None])
-        return ([base] if self.folded < 0 else []) + self.out.trees[max(0, self.folded):]
+    def pending(self) -> tuple[Tree, np.ndarray] | None:
+        """What the chunks' predictions lack: trees, and at first the base as a leaf."""
+        state = (self.folded, len(self.out.trees))
+        if state != self._pending[0]:
+            base = Tree(*[np.zeros(1, np.int32)] * 2, np.zeros(1, bool), *[np.full(1, -1, np.int32)] * 2, self.out.base[None])
+            trees = ([base] if self.folded < 0 else []) + self.out.trees[max(0, self.folded):]
+            self._pending = state, _side_by_side(trees) if trees else None
+        return self._pending[1]
 
     def ask(self, room: int) -> _Ask | None:
         if self.stage == "init":
-            return _Ask(self.index, "init", self.spec, [], None)
+            return _Ask(self.index, "init", self.spec, None, None)
         if self.stage == "rank":
             base = self.tree is None
-            return _Ask(self.index, "rank", self.spec, [] if base else self.pending(), self.tree,
+            return _Ask(self.index, "rank", self.spec, None if base else self.pending(), self.tree,
                         ranges={n: (r["low"], r["high"], EQUAL if r["low"] == r["high"] else NARROW if r["count"] > NARROW_TO else VALUES)
                                 for n, r in self.ranks.items() if "value" not in r})
         if self.stage == "split" and room > 0:
@@ -640,10 +666,10 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
     blocks = layout.blocks()
 
     def answers(asks: dict[int, list[_Ask]]) -> DataFrame:
-        by_model = {a.model: a for own in asks.values() for a in own}
+        plan = pickle.dumps(asks, pickle.HIGHEST_PROTOCOL)
 
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-            sums: dict[tuple, np.ndarray] = {}
+        def add(batches: Iterator[pa.RecordBatch], asks: dict[int, list[_Ask]]) -> Iterator[tuple]:
+            by_model, sums = _by_model(asks), {}
             for r, bins, y, member, seed, raw in _open(batches, nf, nt):
                 own = asks.get(r["mg"], [])
                 flat = layout.flat(bins) if any(a.kind == "split" for a in own) else bins
@@ -658,33 +684,41 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
                     for k, (first, last) in enumerate(blocks):
                         yield m, node, k, payload[:, layout.part(first, last)]
 
-        def best(m: int, node: int, block: int, payload: np.ndarray) -> tuple:
+        def best(by_model: dict[int, _Ask], m: int, node: int, block: int, payload: np.ndarray) -> tuple:
             a = by_model[m]
             if a.kind == "split":
                 payload = _answer(a, layout, *blocks[block], payload.reshape(len(a.spec.targets) + 2, -1))
             return m, node, block, payload.tobytes()
 
+        def together(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+            while held := list(islice(rows, 1000)):
+                yield _emit(PARTS, held)
+
         def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for x in add(batches):
-                yield _emit(PARTS, [best(*x)])
+            asks = pickle.loads(plan)
+            by_model = _by_model(asks)
+            yield from together(best(by_model, *x) for x in add(batches, asks))
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for m, node, block, payload in add(batches):
+            for m, node, block, payload in add(batches, pickle.loads(plan)):
                 yield _emit(PARTS, [(m, node, block, np.ascontiguousarray(payload).tobytes())])
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, total = None, None
-            for b in batches:
-                for r in b.to_pylist():
-                    at, payload = (r["model"], r["node"], r["block"]), np.frombuffer(r["payload"])
-                    if at == last:
-                        total = _combined(by_model[at[0]].kind, at[2], total, payload)
-                    else:
-                        if last is not None:
-                            yield _emit(PARTS, [best(*last, total)])
-                        last, total = at, payload
-            if last is not None:
-                yield _emit(PARTS, [best(*last, total)])
+            def rows() -> Iterator[tuple]:
+                by_model, last, total = _by_model(pickle.loads(plan)), None, None
+                for b in batches:
+                    for r in b.to_pylist():
+                        at, payload = (r["model"], r["node"], r["block"]), np.frombuffer(r["payload"])
+                        if at == last:
+                            total = _combined(by_model[at[0]].kind, at[2], total, payload)
+                        else:
+                            if last is not None:
+                                yield best(by_model, *last, total)
+                            last, total = at, payload
+                if last is not None:
+                    yield best(by_model, *last, total)
+
+            yield from together(rows())
 
         if packed.whole:  # one chunk has all rows: its sums are whole
             return state.mapInArrow(alone, PARTS)
