@@ -771,22 +771,24 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
     return [m.out for m in models]
 
 
-def predict(df: DataFrame, binning: Binning, boosters: Sequence[Booster], keep: Sequence[str], out: str = "predictions") -> DataFrame:
-    """``keep`` columns and an array of all models' predictions, in the order
-    of the models (of each one's targets, where it has several)."""
+def predict(df: DataFrame, binning: Binning, ensembles: Sequence[Booster | Sequence[Booster]], keep: Sequence[str], out: str = "predictions") -> DataFrame:
+    """``keep`` columns and an array of predictions in the order of the
+    ensembles (of each one's targets, where it has several).  An ensemble is a model,
+    or several whose mean is its prediction."""
     if out in keep:
         raise ValueError(f"{out} is the name of the result")
     n = len(binning.columns)
+    groups = [[e] if isinstance(e, Booster) else list(e) for e in ensembles]
     read = df.select(*[_number(c).alias(f"__f{i}") for i, c in enumerate(binning.columns)], *[F.col(f"`{c}`") for c in keep])
     schema = df.select(*[F.col(f"`{c}`") for c in keep], F.array().cast("array<double>").alias(out)).schema
-    width = sum(len(b.spec.targets) for b in boosters)
+    width = sum(len(g[0].spec.targets) for g in groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
                 bins = binning.apply(_matrix(part, 0, n))
-                got = np.concatenate([x.predict(bins) for x in boosters]) if boosters else np.zeros((0, part.num_rows))
+                got = np.concatenate([sum(x.predict(bins) for x in g) / len(g) for g in groups])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * width, pa.int32()), pa.array(got.T.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns[n:], lists], [*part.schema.names[n:], out])
 
