@@ -140,8 +140,8 @@ def q_naive_predictions(spark, sf_dir):
                        "predicted_load_mw", "lower", "upper"))
 
 
-def q_score_point(spark, sf_dir):
-    return N(EV.point_scores(_cv24(spark, sf_dir), ["model", "fold_idx"]))
+def q_score_point(spark, sf_dir, predictions=_cv24):
+    return N(EV.point_scores(predictions(spark, sf_dir), ["model", "fold_idx"]))
 
 
 def q_scores_by_horizon(spark, sf_dir):
@@ -149,26 +149,26 @@ def q_scores_by_horizon(spark, sf_dir):
     return N(EV.point_scores(cv, ["fold_idx", "horizon"], prefix="test_"))
 
 
-def q_score_deviance(spark, sf_dir):
-    return N(EV.deviance_scores(_cv24(spark, sf_dir), ["fold_idx"]))
+def q_score_deviance(spark, sf_dir, predictions=_cv24):
+    return N(EV.deviance_scores(predictions(spark, sf_dir), ["fold_idx"]))
 
 
-def q_score_pinball(spark, sf_dir):
-    cv = _cv24(spark, sf_dir)
+def q_score_pinball(spark, sf_dir, predictions=_cv24):
+    cv = predictions(spark, sf_dir)
     return N(EV.pinball_scores(cv, ["fold_idx"], preds={0.05: "lower", 0.5: "predicted_load_mw",
                                                        0.95: "upper"}))
 
 
-def q_coverage_width(spark, sf_dir):
-    return N(EV.coverage_width(_cv24(spark, sf_dir), ["fold_idx"]))
+def q_coverage_width(spark, sf_dir, predictions=_cv24):
+    return N(EV.coverage_width(predictions(spark, sf_dir), ["fold_idx"]))
 
 
-def q_binned_coverage(spark, sf_dir):
-    return N(EV.binned_coverage(_cv24(spark, sf_dir)))
+def q_binned_coverage(spark, sf_dir, predictions=_cv24):
+    return N(EV.binned_coverage(predictions(spark, sf_dir)))
 
 
-def _lorenz_inputs(spark, sf_dir):
-    cv = _cv24(spark, sf_dir)
+def _lorenz_inputs(spark, sf_dir, predictions):
+    cv = predictions(spark, sf_dir)
     model = cv.select(F.lit("Model").alias("model"), "fold_idx", "prediction_time", "load_mw",
                       F.col("predicted_load_mw").alias("_ord"))
     oracle = cv.select(F.lit("Oracle").alias("model"), "fold_idx", "prediction_time", "load_mw",
@@ -176,16 +176,16 @@ def _lorenz_inputs(spark, sf_dir):
     return EV.lorenz(model.unionByName(oracle), ["model", "fold_idx"], order="_ord")
 
 
-def q_lorenz_curve(spark, sf_dir):
-    return N(EV.lorenz_grid(_lorenz_inputs(spark, sf_dir), ["model", "fold_idx"], 500))
+def q_lorenz_curve(spark, sf_dir, predictions=_cv24):
+    return N(EV.lorenz_grid(_lorenz_inputs(spark, sf_dir, predictions), ["model", "fold_idx"], 500))
 
 
-def q_gini(spark, sf_dir):
-    return N(EV.gini(_lorenz_inputs(spark, sf_dir), ["model", "fold_idx"]))
+def q_gini(spark, sf_dir, predictions=_cv24):
+    return N(EV.gini(_lorenz_inputs(spark, sf_dir, predictions), ["model", "fold_idx"]))
 
 
-def q_lorenz_summary(spark, sf_dir, n_samples: int = 500):
-    g = EV.gini(_lorenz_inputs(spark, sf_dir), ["model", "fold_idx"])
+def q_lorenz_summary(spark, sf_dir, n_samples: int = 500, predictions=_cv24):
+    g = EV.gini(_lorenz_inputs(spark, sf_dir, predictions), ["model", "fold_idx"])
     s = g.groupBy("model").agg(F.avg("gini_index").alias("gini_mean"),
                                F.stddev_samp("gini_index").alias("gini_std"),
                                F.var_pop("gini_index").alias("_vp"), F.count("*").alias("_nf"))
@@ -196,31 +196,31 @@ def q_lorenz_summary(spark, sf_dir, n_samples: int = 500):
     return N(s.select("model", "gini_mean", "gini_std", "gini_std_rows", label.alias("model_label")))
 
 
-def q_reliability_mean(spark, sf_dir):
-    cv = _cv24(spark, sf_dir)
+def q_reliability_mean(spark, sf_dir, predictions=_cv24):
+    cv = predictions(spark, sf_dir)
     r = EV.reliability(cv, 10, "mean")
     return N(r.join(EV.fold_labels(cv), "fold_idx"))
 
 
-def q_reliability_quantile(spark, sf_dir):
-    cv = _cv24(spark, sf_dir)
+def q_reliability_quantile(spark, sf_dir, predictions=_cv24):
+    cv = predictions(spark, sf_dir)
     r = EV.reliability(cv, 10, "quantile", 0.5)
     return N(r.join(EV.fold_labels(cv), "fold_idx"))
 
 
-def q_residuals(spark, sf_dir):
-    cv = _cv24(spark, sf_dir)
+def q_residuals(spark, sf_dir, predictions=_cv24):
+    cv = predictions(spark, sf_dir)
     r = cv.select("fold_idx", "prediction_time", "load_mw", "predicted_load_mw",
                   (F.col("predicted_load_mw") - F.col("load_mw")).alias("residual"))
     return N(r.join(F.broadcast(EV.fold_labels(cv, base=1)), "fold_idx"))
 
 
-def q_residuals_by_hour(spark, sf_dir):
-    return N(EV.residuals_binned(_cv24(spark, sf_dir), "hour"))
+def q_residuals_by_hour(spark, sf_dir, predictions=_cv24):
+    return N(EV.residuals_binned(predictions(spark, sf_dir), "hour"))
 
 
-def q_residuals_by_month(spark, sf_dir):
-    return N(EV.residuals_binned(_cv24(spark, sf_dir), "month"))
+def q_residuals_by_month(spark, sf_dir, predictions=_cv24):
+    return N(EV.residuals_binned(predictions(spark, sf_dir), "month"))
 
 
 def q_interval_table(spark, sf_dir):
