@@ -7,7 +7,6 @@ from __future__ import annotations
 import fnmatch
 from typing import Iterable, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,10 +103,6 @@ def prepare(train: DataFrame, test: DataFrame | None, cols: Sequence[str]):
     return tr, te, fcols
 
 
-def pipeline(stages) -> Pipeline:
-    return Pipeline(stages=list(stages))
-
-
 def pairwise_interactions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``PolynomialFeatures(degree=2, interaction_only=True)`` (#93) as plain
     Catalyst products ``{a}_x_{b}`` for every pair a < b."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tempora.ml import assemble as A
 from tempora.ml import histogram as H
+from tempora.ml import ridge as RG
 from tempora.ml.folds import fit_folds
 from tempora.plans import evaluate as EV
 from tempora.plans.split import TimeSplit, assign_folds
@@ -181,6 +182,59 @@ def search_trees(df: DataFrame, split: TimeSplit, columns: Sequence[str], label:
     return TreeSearch(table.withMetadata("score", {"label": label}), best, params[best], models.binning, refit)
 
 
+def _ridge_trials(grams: RG.FoldGrams, columns: Sequence[str], params: Sequence[dict]) -> dict[tuple[int, int], tuple[RG.Line, float]]:
+    """(trial, fold) → line and seconds; penalties of one fold and column set share a decomposition."""
+    groups: dict[tuple[str, ...], list[int]] = {}
+    for t, p in enumerate(params):
+        gone = set(A.resolve(columns, A.DROP_GROUPS[p.get("dropped_cols", "none")]))
+        groups.setdefault(tuple(c for c in columns if c not in gone), []).append(t)
+    out = {}
+    for kept, trials in groups.items():
+        for k in range(grams.split.k):
+            t0 = time.perf_counter()
+            lines = grams.fit(k, [params[t]["alpha"] for t in trials], columns=kept, scaled=True)
+            for t, line in zip(trials, lines):
+                out[t, k] = line, (time.perf_counter() - t0) / len(trials)
+    return out
+
+
+def _mean_r2(lines: dict, trial: int, k: int) -> float:
+    """Mean test R² over folds; a fold without one counts as the worst."""
+    got = [lines[trial, i][0].r2["test"] for i in range(k)]
+    return sum(got) / k if None not in got else float("-inf")
+
+
+def search_ridge(spark: SparkSession, grams: RG.FoldGrams, columns: Sequence[str], space: SearchSpace, n_iter: int = 100, seed: int = 0,
+                 model_name: str = "ridge") -> DataFrame:
+    """Randomised search over ``alpha`` and ``dropped_cols`` (#112): one row a
+    trial and fold; nothing is scanned again.  ``score`` is the test R²."""
+    params = space.trials(n_iter, seed)
+    lines = _ridge_trials(grams, columns, params)
+    return spark.createDataFrame([
+        {"model": model_name, "trial": t, "fold_idx": k, **{n: str(v) for n, v in params[t].items()}, "fit_time": seconds,
+         "train_score": line.r2["train"], "score": line.r2["test"]} for (t, k), (line, seconds) in sorted(lines.items(), key=lambda x: x[0])],
+        "model string, trial long, fold_idx long, " + ", ".join(f"{n} string" for n in space.params) + ", fit_time double, train_score double, score double")
+
+
+def nested_ridge(spark: SparkSession, df: DataFrame, outer: TimeSplit, inner_k: int, columns: Sequence[str], label: str, space: SearchSpace,
+                 n_iter: int = 100, seed: int = 0, pos_col: str = "split_pos") -> DataFrame:
+    """Nested search (#113): inside each outer fold's training part a forward
+    split of ``inner_k`` folds ranks the trials by mean inner R² (ties: the first); the best one
+    is fitted on the outer training part and scored on its test part.  One scan for the outer folds and one for each inner split."""
+    params = space.trials(n_iter, seed)
+    whole = RG.fold_grams(df, outer, columns, [label], pos_col)
+    rows = []
+    for i in range(outer.k):
+        low, high = outer.bounds(i)[:2]
+        inner = TimeSplit(high - low, inner_k, max(1, (high - low) // (inner_k + 1)), outer.gap, None)
+        own = df.where((F.col(pos_col) >= low) & (F.col(pos_col) < high)).withColumn(pos_col, F.col(pos_col) - low)
+        lines = _ridge_trials(RG.fold_grams(own, inner, columns, [label], pos_col), columns, params)
+        best = max(range(n_iter), key=lambda t: (_mean_r2(lines, t, inner_k), -t))
+        line = _ridge_trials(whole, columns, [params[best]])[0, i][0]
+        rows.append((i, best, _mean_r2(lines, best, inner_k), *[str(v) for v in params[best].values()], line.r2["train"], line.r2["test"]))
+    return spark.createDataFrame(rows, "fold_idx long, best_trial long, inner_r2 double, " + ", ".join(f"{n} string" for n in space.params) + ", train_r2 double, test_r2 double")
+
+
 def nested_search(spark: SparkSession, df: DataFrame, outer: TimeSplit, inner_k: int, space: SearchSpace,
                   make_fit: Callable[[dict], Fitter], label: str, n_iter: int = 2, seed: int = 0,
                   pos_col: str = "split_pos") -> DataFrame:

@@ -24,6 +24,7 @@ import pickle
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -42,6 +43,8 @@ HISTOGRAM_BYTES = 256 << 20
 BLOCK_FEATURES = 32
 #: Trees of a model that passes go through again before they are folded into the chunks' predictions.
 FOLD_TREES = 10
+#: Levels of a tree that one pass goes down where no exchange lies between them.
+LEVELS = 3
 #: Values of an exact quantile that may be looked at together; a larger set is narrowed first.
 NARROW_TO, NARROW_WAYS = 2048, 1024
 NARROW, VALUES, EQUAL = range(3)
@@ -253,6 +256,18 @@ class _Layout:
         return slice(int(self.start[first]), int(self.start[last - 1] + self.sizes[last - 1]))
 
 
+@lru_cache(maxsize=64)
+def _places(sizes: tuple[int, ...]) -> tuple[np.ndarray, ...]:
+    """Of features side by side: the bins that aren't missing, their features
+    and numbers, where each feature begins among them, and the missing bins."""
+    size = np.array(sizes)
+    end = np.cumsum(size)
+    feature = np.repeat(np.arange(size.size), size - 1)
+    start = np.concatenate([[0], np.cumsum(size - 1)])[:-1]
+    real = np.setdiff1d(np.arange(end[-1]), end - 1)
+    return real, feature, np.arange(real.size) - start[feature], start, end - 1
+
+
 def best_split(hist: np.ndarray, sizes: np.ndarray, spec: Spec, allowed: np.ndarray) -> np.ndarray:
     """The best split of a node from its histogram (targets + 2 rows; features
     side by side, the missing bin last in each).
@@ -261,37 +276,39 @@ def best_split(hist: np.ndarray, sizes: np.ndarray, spec: Spec, allowed: np.ndar
     derivatives, rows) of the whole node and of the left side.  Ties go to
     the first feature, then the lowest cut, then missing right.  The gain is 0 where no split is allowed."""
     k = hist.shape[0] - 2
-    start = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    real, feature, place, start, last = _places(tuple(sizes.tolist()))
     total = hist[:, :sizes[0]].sum(axis=1)
-    feature = np.repeat(np.arange(sizes.size), sizes)
-    place = np.arange(hist.shape[1]) - start[feature]
-    is_missing = place == sizes[feature] - 1
-    c = np.cumsum(np.where(is_missing, 0.0, hist), axis=1)
+    c = np.cumsum(hist[:, real], axis=1)
     before = np.concatenate([np.zeros((k + 2, 1)), c], axis=1)[:, start]
     left = c - before[:, feature]
-    lost = hist[:, start + sizes - 1]
-    lost_at = lost[:, feature]
+    lost = hist[:, last]
 
     def gain(side: np.ndarray) -> np.ndarray:
         other = total[:, None] - side
         fits = (side[-1] >= spec.min_samples_leaf) & (other[-1] >= spec.min_samples_leaf) & (side[-2] >= 1e-3) & (other[-2] >= 1e-3)
         with np.errstate(divide="ignore", invalid="ignore"):
             g = (side[:k] ** 2).sum(axis=0) / (side[-2] + spec.l2) + (other[:k] ** 2).sum(axis=0) / (other[-2] + spec.l2)
-        g = g - (total[:k] ** 2).sum() / (total[-2] + spec.l2)
-        return np.where(fits & allowed[feature] & ~is_missing, g, 0.0)
+        g -= (total[:k] ** 2).sum() / (total[-2] + spec.l2)
+        return np.where(fits if allowed.all() else fits & allowed[feature], g, 0.0)
 
-    right_way, left_way = gain(left), np.where(lost_at[-1] > 0, gain(left + lost_at), 0.0)
-    both = np.maximum(right_way, left_way)
+    both, missing_left = gain(left), False
     at = int(both.argmax())
-    missing_left = bool(left_way[at] > right_way[at])
-    side = left[:, at] + (lost_at[:, at] if missing_left else 0.0)
+    if lost[-1].any():
+        right_way, left_way = both, np.where(lost[-1][feature] > 0, gain(left + lost[:, feature]), 0.0)
+        both = np.maximum(right_way, left_way)
+        at = int(both.argmax())
+        missing_left = bool(left_way[at] > right_way[at])
+    lost_at = lost[:, feature[at]]
+    side = left[:, at] + (lost_at if missing_left else 0.0)
     # rounding of the sums alone is no gain
-    found = both[at] if both[at] > 1e-12 * abs((total[:k] ** 2).sum() / max(total[-2] + spec.l2, 1e-300)) else 0.0
-    return np.concatenate([[found, feature[at], place[at], float(missing_left), lost_at[-1, at]], total, side])
+    found = both[at] if both[at] > 1e-10 * abs((total[:k] ** 2).sum() / max(total[-2] + spec.l2, 1e-300)) else 0.0
+    return np.concatenate([[found, feature[at], place[at], float(missing_left), lost_at[-1]], total, side])
 
 
-def _chunk_answers(ask: _Ask, layout: _Layout, bins: np.ndarray, flat: np.ndarray, y: np.ndarray, member: np.ndarray, seed: np.ndarray, raw: np.ndarray) -> Iterator[tuple]:
-    """(node, block, payload) of one chunk: histograms, sums or ranks."""
+def _chunk_answers(ask: _Ask, layout: _Layout, bins: np.ndarray, flat: np.ndarray, y: np.ndarray, member: np.ndarray, seed: np.ndarray, raw: np.ndarray,
+                   whole: bool = False) -> Iterator[tuple]:
+    """(node, block, payload) of one chunk: histograms, sums or ranks; of a
+    ``whole`` one splits in place of histograms."""
     spec = ask.spec
     y = y[list(spec.targets)]
     rows = ((member >> np.int64(spec.train_set)) & 1).astype(bool) & ~np.isnan(y).any(axis=0)
@@ -327,10 +344,53 @@ def _chunk_answers(ask: _Ask, layout: _Layout, bins: np.ndarray, flat: np.ndarra
                 yield n, mode, np.concatenate([[nxt], np.sort(x[inside])])
         return
     g, h = _gradients(spec, raw, y)
-    stats = np.concatenate([g * weight, (h * weight)[None], np.ones((1, pick.size))])
+    if spec.bootstrap is None and spec.loss in ("squared", "quantile"):
+        stats = np.concatenate([g, np.ones((1, pick.size))])
+    else:
+        stats = np.concatenate([g * weight, (h * weight)[None], np.ones((1, pick.size))])
+    if whole:
+        yield from _levels(ask, layout, bins, flat, stats, pick, node)
+        return
+    for n in ask.nodes:
+        own = np.flatnonzero(node == n)
+        hist = layout.histogram(flat[:, pick[own]], stats[:, own])
+        yield n, 0, hist[_counted(spec, len(hist))]
+
+
+def _levels(ask: _Ask, layout: _Layout, bins: np.ndarray, flat: np.ndarray, stats: np.ndarray, pick: np.ndarray, node: np.ndarray) -> Iterator[tuple]:
+    """Where a chunk has all rows, the splits of the nodes asked for and of
+    their descendants, LEVELS levels in one pass: (node, path, best split), path being 1 for the
+    node itself, 2p and 2p + 1 for the children of p.  The larger child's histogram is the
+    parent's without its sibling's."""
+    allowed = _allowed(ask.spec, 0, len(layout.sizes))
     for n in ask.nodes:
         own = np.flatnonzero(node == n)
-        yield n, 0, layout.histogram(flat[:, pick[own]], stats[:, own])
+        todo = [(1, own, layout.histogram(flat[:, pick[own]], stats[:, own]))]
+        while todo:
+            path, own, hist = todo.pop()
+            full = hist[_counted(ask.spec, len(hist))]
+            got = best_split(full, layout.sizes, ask.spec, allowed)
+            yield n, path, got
+            if got[0] <= 0 or path >= 1 << (LEVELS - 1):
+                continue
+            b = bins[int(got[1]), own]
+            left = np.where(b == MISSING, bool(got[3]) if got[4] > 0 else False, b <= got[2])
+            small, other = (own[left], own[~left]) if 2 * left.sum() <= own.size else (own[~left], own[left])
+            first = layout.histogram(flat[:, pick[small]], stats[:, small])
+            at = 2 * path + (0 if 2 * left.sum() <= own.size else 1)
+            for p, rows, h in ((at, small, first), (at ^ 1, other, hist - first)):
+                if rows.size >= 2 * ask.spec.min_samples_leaf:
+                    todo.append((p, rows, h))
+
+
+def _counted(spec: Spec, rows: int) -> slice | list[int]:
+    """Histogram rows with counts once more where they are the second derivatives."""
+    k = len(spec.targets)
+    return [*range(k), k, k] if rows == k + 1 else slice(None)
+
+
+def _allowed(spec: Spec, first: int, last: int) -> np.ndarray:
+    return np.ones(last - first, bool) if spec.features is None else np.isin(np.arange(first, last), spec.features)
 
 
 def _combined(kind: str, block: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -347,10 +407,7 @@ def _answer(ask: _Ask, layout: _Layout, first: int, last: int, payload: np.ndarr
     payloads as they are."""
     if ask.kind != "split":
         return payload
-    allowed = np.ones(last - first, bool)
-    if ask.spec.features is not None:
-        allowed = np.isin(np.arange(first, last), ask.spec.features)
-    out = best_split(payload, layout.sizes[first:last], ask.spec, allowed)
+    out = best_split(payload, layout.sizes[first:last], ask.spec, _allowed(ask.spec, first, last))
     out[1] += first
     return out
 
@@ -484,25 +541,28 @@ class _Growing:
                 offer(c)
         return taken, open_ if room else []
 
-    def tree(self, taken: list[int]) -> tuple[Tree, list[int]]:
-        """Arrays of the tree in which ``taken`` are split, and its nodes."""
-        order = [0]
-        inner = set(taken)
+    def tree(self, taken: list[int]) -> Tree:
+        """Arrays by node number in which ``taken`` are split (nodes that no
+        row reaches may be among them)."""
+        size, k = len(self.depth), len(self.spec.targets)
+        feature, cut, missing, left, right = [0] * size, [0] * size, [False] * size, [-1] * size, [-1] * size
+        for n in taken:
+            s = self.split[n]
+            feature[n], cut[n] = int(s[1]), int(s[2])
+            # without missing rows in training they go with the larger side
+            missing[n] = bool(s[3]) if s[4] > 0 else bool(2 * s[-1] >= s[5 + k + 1])
+            left[n], right[n] = self.children[n]
+        return Tree(np.array(feature, np.int32), np.array(cut, np.int32), np.array(missing), np.array(left, np.int32), np.array(right, np.int32), np.zeros((size, k)))
+
+    def final(self, taken: list[int]) -> tuple[Tree, list[int]]:
+        """The tree with the nodes that rows reach only, and their numbers here."""
+        order, inner = [0], set(taken)
         for n in order:
             if n in inner:
                 order.extend(self.children[n])
-        at = {n: i for i, n in enumerate(order)}
-        size, k = len(order), len(self.spec.targets)
-        t = Tree(np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(size, bool), np.full(size, -1, np.int32), np.full(size, -1, np.int32), np.zeros((size, k)))
-        for i, n in enumerate(order):
-            if n in inner:
-                s = self.split[n]
-                left, whole = s[-1], s[5 + k + 1]
-                t.feature[i], t.cut[i] = int(s[1]), int(s[2])
-                # without missing rows in training they go with the larger side
-                t.missing_left[i] = bool(s[3]) if s[4] > 0 else left >= whole - left
-                t.left[i], t.right[i] = (at[c] for c in self.children[n])
-        return t, order
+        at, t = {n: i for i, n in enumerate(order)}, self.tree(taken)
+        link = lambda x: np.array([at[int(v)] if v >= 0 else -1 for v in x[order]], np.int32)
+        return Tree(t.feature[order], t.cut[order], t.missing_left[order], link(t.left), link(t.right), t.value[order]), order
 
 
 @dataclass
@@ -522,8 +582,8 @@ class Booster:
 class _Model:
     """Where one model stands: baseline, split search, leaf ranks, done."""
 
-    def __init__(self, index: int, spec: Spec):
-        self.index, self.spec = index, spec
+    def __init__(self, index: int, spec: Spec, whole: bool):
+        self.index, self.spec, self.whole = index, spec, whole
         self.k = len(spec.targets)
         self.out = Booster(spec, np.zeros(self.k))
         self.folded = -1  # trees (and the base) already in the chunks
@@ -532,6 +592,7 @@ class _Model:
         self.tree: Tree | None = None
         self.stage = "init"
         self._pending: tuple = (None, None)
+        self._planned: tuple | None = None
 
     @property
     def boosting(self) -> bool:
@@ -556,10 +617,8 @@ class _Model:
                         ranges={n: (r["low"], r["high"], EQUAL if r["low"] == r["high"] else NARROW if r["count"] > NARROW_TO else VALUES)
                                 for n, r in self.ranks.items() if "value" not in r})
         if self.stage == "split" and room > 0:
-            taken, open_ = self.grow.plan()
-            tree, order = self.grow.tree(taken)
-            self.asked = {order.index(n): n for n in open_[:room]}
-            return _Ask(self.index, "split", self.spec, self.pending(), tree, list(self.asked))
+            taken, open_ = self._planned or self.grow.plan()
+            return _Ask(self.index, "split", self.spec, self.pending(), self.grow.tree(taken), open_[:room])
         return None
 
     def hear(self, node: int, block: int, payload: np.ndarray) -> None:
@@ -593,10 +652,14 @@ class _Model:
             upper = payload[0] if i + 1 >= n else low if block == EQUAL else payload[2 + i]
             r["value"] = float(low + (r["part"] * (upper - low) if r["part"] else 0.0))
         else:
-            got = self.asked[node]
-            have = self.grow.split.get(got)
+            if self.whole:  # block is the path from the node
+                for side in bin(block)[3:]:
+                    node = self.grow._children(node)[int(side)]
+                self.grow.split.setdefault(node, payload)
+                return
+            have = self.grow.split.get(node)
             if have is None or payload[0] > have[0] or (payload[0] == have[0] and payload[1] < have[1]):
-                self.grow.split[got] = payload
+                self.grow.split[node] = payload
 
     def step(self) -> None:
         """After all answers of a pass."""
@@ -611,10 +674,11 @@ class _Model:
             k = self.k
             if 0 in self.grow.split and 0 not in self.grow.stats:
                 self.grow.stats[0] = self.grow.split[0][5:5 + k + 2]
-            taken, open_ = self.grow.plan()
+            taken, open_ = self._planned = self.grow.plan()
             if open_:
                 return
-            self.tree, order = self.grow.tree(taken)
+            self._planned = None
+            self.tree, order = self.grow.final(taken)
             leaves = {i: n for i, n in enumerate(order) if self.tree.left[i] < 0}
             if self.spec.loss == "quantile":
                 self._rank({i: int(self.grow.stats[n][-1]) for i, n in leaves.items()})
@@ -652,7 +716,7 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
     packed = Packed(df, binning, targets, F.coalesce(members, F.lit(0)), len(specs), widths, chunk_rows, key)
     if not packed.table.limit(1).collect():
         raise ValueError("no rows to fit")
-    models = [_Model(m, s) for m, s in enumerate(specs)]
+    models = [_Model(m, s, packed.whole) for m, s in enumerate(specs)]
     began = time.perf_counter()
     # rows of a chunk's predictions where each model's begin
     rows_of = {}
@@ -696,8 +760,16 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
 
         def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asks = pickle.loads(plan)
-            by_model = _by_model(asks)
-            yield from together(best(by_model, *x) for x in add(batches, asks))
+
+            def rows() -> Iterator[tuple]:
+                for r, bins, y, member, seed, raw in _open(batches, nf, nt):
+                    own = asks.get(r["mg"], [])
+                    flat = layout.flat(bins) if any(a.kind == "split" for a in own) else bins
+                    for a in own:
+                        for node, block, payload in _chunk_answers(a, layout, bins, flat, y, member, seed, raw[rows_of[a.model]], True):
+                            yield a.model, node, block, payload.tobytes()
+
+            yield from together(rows())
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for m, node, block, payload in add(batches, pickle.loads(plan)):
@@ -756,8 +828,9 @@ def fit(df: DataFrame, binning: Binning, targets: Sequence[str], members: Column
                     if a:
                         asks.setdefault(g, []).append(a)
                         room -= bytes_ * len(a.nodes)
-            for r in answers(asks).collect():
-                models[r["model"]].hear(r["node"], r["block"], np.frombuffer(r["payload"]).copy())
+            # a path comes after those that lead to it
+            for m, node, block, payload in sorted(map(tuple, answers(asks).collect()), key=lambda r: r[:3]):
+                models[m].hear(node, block, np.frombuffer(payload))
             for a in (a for own in asks.values() for a in own):
                 m = models[a.model]
                 m.step()

@@ -1,5 +1,4 @@
-"""Quantile regression as classification (#133, C8) and a joint
-multi-output forest (#130).
+"""Quantile regression as classification (#133, C8).
 
 Binned quantile regressor: the target is cut at averaged-inverted-CDF edges
 (exact ranks by bucketed rank selection), a ``RandomForestClassifier``
@@ -15,7 +14,6 @@ from typing import Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,44 +68,12 @@ class BinnedQuantileModel:
 
 def fit_binned_quantile(df: DataFrame, label: str, n_bins: int = 30, num_trees: int = 30,
                         min_instances: int = 5, subset: str = "0.2", seed: int = 0,
-                        featuresCol: str = "features") -> BinnedQuantileModel:
+                        featuresCol: str = "features", max_depth: int = 30) -> BinnedQuantileModel:
+    """Trees grow until a leaf would get fewer than ``min_instances`` rows, or
+    to ``max_depth`` (the forest classifier allows 30 at most)."""
     edges = quantile_edges(df, label, n_bins)
     train = df.withColumn("_bin", bin_index(F.col(label), edges))
     clf = RandomForestClassifier(featuresCol=featuresCol, labelCol="_bin", numTrees=num_trees,
-                                 minInstancesPerNode=min_instances, featureSubsetStrategy=subset,
+                                 minInstancesPerNode=min_instances, featureSubsetStrategy=subset, maxDepth=max_depth,
                                  seed=seed).fit(train)
     return BinnedQuantileModel(clf, edges, featuresCol)
-
-
-# --------------------------------------------------------------- multi-output
-
-@dataclass
-class MultiOutputForestModel:
-    forest: object
-    leaf_means: DataFrame        # (tree, leaf, target means…) — ≤ trees × leaves rows
-    targets: list
-
-    def transform(self, df: DataFrame, key: str) -> DataFrame:
-        """Average over trees of the per-leaf target means (one join on
-        (tree, leaf), then an aggregate back to the row key)."""
-        lv = self.forest.setLeafCol("_leaves").setPredictionCol("_pp").transform(df)
-        ex = lv.select(key, F.posexplode(vector_to_array("_leaves")).alias("tree", "leaf"))
-        j = ex.join(F.broadcast(self.leaf_means), ["tree", "leaf"])
-        pred = j.groupBy(key).agg(*[F.avg(f"m_{t}").alias(f"predicted_{t}") for t in self.targets])
-        return df.join(pred, key)
-
-
-def fit_multi_output_forest(df: DataFrame, targets: Sequence[str], num_trees: int = 10,
-                            min_instances: int = 30, max_depth: int = 6, seed: int = 0,
-                            featuresCol: str = "features") -> MultiOutputForestModel:
-    """Forest grown on the mean of all targets (proxy — documented
-    approximation), then every leaf stores the mean of *each* target."""
-    proxy = sum(F.col(t) for t in targets) / len(targets)
-    train = df.withColumn("_proxy", proxy)
-    rf = RandomForestRegressor(featuresCol=featuresCol, labelCol="_proxy", numTrees=num_trees,
-                               minInstancesPerNode=min_instances, maxDepth=max_depth, seed=seed,
-                               leafCol="_leaves").fit(train)
-    lv = rf.transform(train)
-    ex = lv.select(*targets, F.posexplode(vector_to_array("_leaves")).alias("tree", "leaf"))
-    means = ex.groupBy("tree", "leaf").agg(*[F.avg(t).alias(f"m_{t}") for t in targets])
-    return MultiOutputForestModel(rf, means, list(targets))

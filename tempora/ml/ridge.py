@@ -11,7 +11,7 @@ What is collected is (segments) x (columns)²: at most SIDE columns, checked."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -38,10 +38,13 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def gram(df: DataFrame, features: Sequence[str], targets: Sequence[str], segment: Column) -> dict[int, np.ndarray]:
+def gram(df: DataFrame, features: Sequence[str], targets: Sequence[str], segment: Column,
+         expand: Callable[[np.ndarray], np.ndarray] | None = None, n_expanded: int = 0) -> dict[int, np.ndarray]:
     """Z'Z by segment, Z = (1, features, indicators, targets).  Rows with a
-    null target or segment don't count."""
-    p, t = len(features), len(targets)
+    null target or segment don't count.  ``expand`` makes ``n_expanded`` features of
+    a batch's matrix (rows x features) in the tasks."""
+    q, t = len(features), len(targets)
+    p = n_expanded if expand else q
     side = 1 + 2 * p + t
     if side > SIDE:
         raise ValueError(f"{side} columns; {SIDE} at most")
@@ -61,13 +64,14 @@ def gram(df: DataFrame, features: Sequence[str], targets: Sequence[str], segment
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
                 own = part.column(0).to_numpy(zero_copy_only=False)
-                v = [part.column(1 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(p + t)]
+                v = [part.column(1 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(q + t)]
+                x = np.stack(v[:q], axis=1) if q else np.zeros((part.num_rows, 0))
+                x = expand(x) if expand else x
+                gone = np.isnan(x)
                 z = np.ones((part.num_rows, side))
-                for k in range(p):
-                    gone = np.isnan(v[k])
-                    z[:, 1 + k], z[:, 1 + p + k] = np.where(gone, 0.0, v[k]), gone
+                z[:, 1:1 + p], z[:, 1 + p:1 + 2 * p] = np.where(gone, 0.0, x), gone
                 for k in range(t):
-                    z[:, 1 + 2 * p + k] = v[p + k]
+                    z[:, 1 + 2 * p + k] = v[q + k]
                 for s in np.unique(own):
                     m = z[own == s]
                     sums[int(s)] = sums.get(int(s), 0.0) + m.T @ m
@@ -174,11 +178,14 @@ class FoldGrams:
         return df.select(*keep, fold.alias("fold_idx"), F.get(choice, fold.cast("int")).alias("prediction")).where("fold_idx is not null")
 
 
-def fold_grams(df: DataFrame, split: TimeSplit, features: Sequence[str], targets: Sequence[str], pos_col: str = "split_pos") -> FoldGrams:
-    """One scan for all folds."""
+def fold_grams(df: DataFrame, split: TimeSplit, features: Sequence[str], targets: Sequence[str], pos_col: str = "split_pos",
+               expand: Callable[[np.ndarray], np.ndarray] | None = None, expanded: Sequence[str] = ()) -> FoldGrams:
+    """One scan for all folds.  ``expand`` makes the features named in
+    ``expanded`` of those read."""
     bounds = [split.bounds(i) for i in range(split.k)]
     cuts = sorted({x for b in bounds for x in b})
-    parts = gram(df, features, targets, _segment(F.col(f"`{pos_col}`"), cuts))
+    parts = gram(df, features, targets, _segment(F.col(f"`{pos_col}`"), cuts), expand, len(expanded))
+    features = list(expanded) if expand else features
     side = 1 + 2 * len(features) + len(targets)
 
     def between(low: int, high: int) -> np.ndarray:

@@ -284,11 +284,3 @@ def interpolate_linear(df: DataFrame, keys, pos_col: str, value_col: str,
         p.isNotNull() & n.isNotNull(),
         p["v"] + (n["v"] - p["v"]) * (F.col(pos_col) - p["pos"]) / (n["pos"] - p["pos"]))
     return d.withColumn(out_col, interp).drop("_prev", "_next")
-
-
-def forward_fill(df: DataFrame, keys, pos_col: str, value_col: str,
-                 out_col: str | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Last observation carried forward (used by the as-of join)."""
-    out_col = out_col or value_col
-    d = carry_known(df, keys, pos_col, value_col, block_size)
-    return d.withColumn(out_col, F.col("_prev")["v"]).drop("_prev", "_next")

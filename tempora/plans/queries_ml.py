@@ -12,13 +12,13 @@ from tempora.ml import assemble as A
 from tempora.ml import crossval as CV
 from tempora.ml import forecast as FC
 from tempora.ml.folds import fit_folds
+from tempora.ml import ridge as RG
 from tempora.ml.quantile import fit_binned_quantile
 from tempora.ml.splines import fit_nystroem, fit_splines
 from tempora.plans import common as C
 from tempora.plans import evaluate as EV
 from tempora.plans import features as FT
 from tempora.plans import predictors as PR
-from tempora.plans.split import assign_folds
 from tempora.session import materialize
 
 LABEL = "load_mw_horizon_24h"
@@ -144,57 +144,60 @@ def q_horizon_feature_model(spark, sf_dir, rounds: int = 100):
     return p.groupBy("horizon", "fold_idx").agg(F.avg(F.abs(F.col("y") - F.col("prediction"))).alias("mae"))
 
 
+class _SplineRidge:
+    """Impute → splines → variance filter → top-k → Nyström → ridge, fitted on train."""
+
+    def __init__(self, train, cols, n_components, k_best, alpha):
+        self.prep = A.impute_with_indicator(train, cols)
+        tr, fcols = self.prep(train)
+        self.splines = fit_splines(tr, fcols)
+        trs = self._splined(train)
+        self.var = A.variance_filter(1e-6, "spl", "spl_var").fit(trs)
+        self.best = A.select_k_best(min(k_best, len(self.var.selectedFeatures)), LABEL, "spl_var", "spl_k").fit(self.var.transform(trs))
+        trk = materialize(self.best.transform(self.var.transform(trs)).select("split_pos", LABEL, "spl_k"), "spl-k")
+        n = trk.count()
+        self.map = fit_nystroem(trk, "spl_k", n_components=min(n_components, n), key="split_pos")
+        self.map.outputCol = "features"
+        self.line = LinearRegression(labelCol=LABEL, regParam=alpha / max(n, 1), elasticNetParam=0.0,
+                                     standardization=False).fit(self.map.transform(trk))
+
+    def _splined(self, df):
+        # the spline expansion is computed once and written as one vector column
+        return materialize(self.splines.vector(self.prep(df)[0], "spl").select("split_pos", LABEL, "spl"), "spl")
+
+    def transform(self, df):
+        return self.line.transform(self.map.transform(self.best.transform(self.var.transform(self._splined(df)))))
+
+
 def q_ridge_spline_model(spark, sf_dir, n_components: int = 150, k_best: int = 100, alpha: float = 1e-2):
-    """The reference's ridge chain (#132) on the last fold: impute with
+    """The reference's ridge chain (#132) on all folds: impute with
     indicators → cubic splines of every feature (Catalyst expressions) →
     variance filter (1e-6) → top-k univariate selection → RBF Nyström →
-    ridge.  Nyström landmarks are capped by the train size."""
+    ridge.  Scores by fold and role.  Nyström landmarks: at most as many as train rows."""
     ft, cols, split = _design(spark, sf_dir)
-    assigned = assign_folds(ft, split)
-    i = split.k - 1
-    train = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "train"))
-    test = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "test"))
-    prep = A.impute_with_indicator(train, cols)
-    tr, fcols = prep(train)
-    sp = fit_splines(tr, fcols)
-    def splined(df, name):
-        # the spline expansion is computed once and written as one vector column
-        return materialize(sp.vector(prep(df)[0], "spl").select("split_pos", LABEL, "spl"), name)
-    trs = splined(train, "spl-train")
-    var = A.variance_filter(1e-6, "spl", "spl_var").fit(trs)
-    kb = A.select_k_best(min(k_best, len(var.selectedFeatures)), LABEL, "spl_var", "spl_k").fit(var.transform(trs))
-
-    def chain(df, name):
-        return materialize(kb.transform(var.transform(splined(df, name))).select("split_pos", LABEL, "spl_k"),
-                           name + "-k")
-    trk = chain(train, "spl-train")
-    n_train = trk.count()
-    ny = fit_nystroem(trk, "spl_k", n_components=min(n_components, n_train), key="split_pos")
-    ny.outputCol = "features"
-    lr = LinearRegression(labelCol=LABEL, regParam=alpha / max(n_train, 1), elasticNetParam=0.0,
-                          standardization=False).fit(ny.transform(trk))
-    pred = lr.transform(ny.transform(chain(test, "spl-test")))
-    return EV.point_scores(pred, [], y=LABEL, p="prediction")
+    return CV.cross_validate(ft, split, lambda train: _SplineRidge(train, cols, n_components, k_best, alpha), LABEL, return_predictions=False)[0]
+
+
+class _BinnedQuantile:
+    def __init__(self, train, cols, **settings):
+        self.prep = A.impute_with_indicator(train, cols)
+        tr, fcols = self.prep(train)
+        self.va = A.assembler(fcols)
+        self.model = fit_binned_quantile(self.va.transform(tr), LABEL, **settings)
+
+    def transform(self, df):
+        return self.model.predict_quantiles(self.va.transform(self.prep(df)[0]), list(QUANTILES)).withColumn("prediction", F.col("q_50"))
 
 
 def q_binned_quantile(spark, sf_dir):
-    """Quantile regression as classification (#133) on the last fold:
-    coverage / width of the 5–95 % interval and D² pinball per quantile."""
+    """Quantile regression as classification (#133) on all folds: coverage and
+    width of the 5-95 % interval and D² pinball per quantile and fold.  The reference's
+    settings: 30 bins, 300 trees grown to 5 rows a leaf, 20 % of features per split."""
     ft, cols, split = _design(spark, sf_dir)
-    assigned = assign_folds(ft, split)
-    i = split.k - 1
-    train = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "train"))
-    test = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "test"))
-    prep = A.impute_with_indicator(train, cols)
-    tr, fcols = prep(train)
-    va = A.assembler(fcols)
-    # the reference's settings: 30 bins, 300 trees, 5 rows per leaf, 20 % of features per split
-    m = fit_binned_quantile(va.transform(tr), LABEL, n_bins=30, num_trees=300, min_instances=5, subset="0.2")
-    p = m.predict_quantiles(va.transform(prep(test)[0]), [0.05, 0.5, 0.95])
-    p = p.withColumn("fold_idx", F.lit(i))
+    _, preds, _ = CV.cross_validate(ft, split, lambda train: _BinnedQuantile(train, cols, n_bins=30, num_trees=300, min_instances=5, subset="0.2"), LABEL)
+    p = materialize(preds.select("fold_idx", "split_pos", LABEL, "q_05", "q_50", "q_95"), "binned-quantile")
     cov = EV.coverage_width(p, ["fold_idx"], y=LABEL, lo="q_05", hi="q_95")
-    pin = EV.pinball_scores(p, ["fold_idx"], y=LABEL, preds={0.05: "q_05", 0.5: "q_50", 0.95: "q_95"})
-    return cov.join(pin, "fold_idx")
+    return cov.join(EV.pinball_scores(p, ["fold_idx"], y=LABEL, preds={0.05: "q_05", 0.5: "q_50", 0.95: "q_95"}), "fold_idx")
 
 
 def q_impute_indicator(spark, sf_dir):
@@ -224,24 +227,37 @@ def q_select_k_best(spark, sf_dir, k: int = 10):
     return spark.createDataFrame([(fcols[i],) for i in m.selectedFeatures], "feature string")
 
 
-def q_drop_cols_choice(spark, sf_dir):
-    """Each named column group dropped in turn (#86): test R² of a ridge fit
-    on the last fold."""
+def _ridge_grams(spark, sf_dir):
     ft, cols, split = _design(spark, sf_dir)
-    assigned = assign_folds(ft, split)
-    i = split.k - 1
-    train = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "train"))
-    test = assigned.where((F.col("fold_idx") == i) & (F.col("role") == "test"))
+    return RG.fold_grams(ft, split, cols, [LABEL]), cols, split
+
+
+def _kept(cols, group):
+    gone = set(A.resolve(cols, A.DROP_GROUPS[group]))
+    return [c for c in cols if c not in gone]
+
+
+def q_drop_cols_choice(spark, sf_dir, alpha: float = 1.0):
+    """Each named column group dropped in turn (#86): R² of a closed-form ridge on
+    every fold; one scan for all groups and folds."""
+    grams, cols, split = _ridge_grams(spark, sf_dir)
     rows = []
     for g in A.DROP_GROUPS:
-        kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[g]))]
-        if not kept:
-            rows.append((g, 0, None))
-            continue
-        m = _fitter(lambda: LinearRegression(labelCol=LABEL, regParam=1e-3), kept)(train)
-        r2 = EV.point_scores(m.transform(test), [], y=LABEL, p="prediction").first()["r2"]
-        rows.append((g, len(kept), float(r2) if r2 is not None else None))
-    return spark.createDataFrame(rows, "dropped string, n_features long, test_r2 double")
+        kept = _kept(cols, g)
+        for k in range(split.k):
+            line = grams.fit(k, [alpha], columns=kept, scaled=True)[0]
+            rows.append((g, k, len(kept), line.r2["train"], line.r2["test"]))
+    return spark.createDataFrame(rows, "dropped string, fold_idx long, n_features long, train_r2 double, test_r2 double")
+
+
+RIDGE_SPACE = {"alpha": CV.LogFloat(1e-6, 1e3, 1e-2), "dropped_cols": CV.Choice(list(A.DROP_GROUPS), "none")}
+
+
+def q_ridge_search(spark, sf_dir, n_iter: int = 100):
+    """100 trials of penalty and dropped columns on all folds (#112, #132), from
+    one scan's Gram matrices: R² by trial and fold, fit_time of the small solve."""
+    grams, cols, split = _ridge_grams(spark, sf_dir)
+    return CV.search_ridge(spark, grams, cols, CV.SearchSpace(RIDGE_SPACE), n_iter)
 
 
 def q_spline_basis(spark, sf_dir):
@@ -279,24 +295,16 @@ def q_randomized_search(spark, sf_dir, n_iter: int = 100, rounds: int = 100):
 
 
 def q_trial_table(spark, sf_dir):
-    """Trial table persisted as Parquet and read back (#11)."""
-    t = q_randomized_search(spark, sf_dir, n_iter=12, rounds=20)
-    return materialize(t, "trials").groupBy("trial").agg(F.avg("score").alias("mean_score"),
-                                                          F.avg("fit_time").alias("mean_fit_time"))
+    """Trial table of 100 ridge trials persisted as Parquet and read back (#11)."""
+    t = materialize(q_ridge_search(spark, sf_dir), "trials")
+    return t.groupBy("trial").agg(F.avg("score").alias("mean_score"), F.avg("fit_time").alias("mean_fit_time"))
 
 
-def q_nested_search(spark, sf_dir, n_iter: int = 2):
-    """Nested randomised search (#113): 2 outer folds × 2 inner folds."""
+def q_nested_search(spark, sf_dir, n_iter: int = 100):
+    """Nested randomised search (#113): 2 outer folds × 2 inner folds × 100 ridge trials."""
     ft, cols, split = _design(spark, sf_dir)
     from tempora.plans.split import TimeSplit
-    outer = TimeSplit(split.n, 2, split.t, split.gap, split.max_train)
-    space = CV.SearchSpace({"regParam": CV.LogFloat(1e-4, 10.0),
-                            "dropped": CV.Choice(["none", "rolling_load", "calendar", "future_24h"])})
-
-    def make_fit(p):
-        kept = [c for c in cols if c not in set(A.resolve(cols, A.DROP_GROUPS[p["dropped"]]))] or cols
-        return _fitter(lambda: LinearRegression(labelCol=LABEL, regParam=p["regParam"]), kept)
-    return CV.nested_search(spark, ft, outer, 2, space, make_fit, LABEL, n_iter=n_iter)
+    return CV.nested_ridge(spark, ft, TimeSplit(split.n, 2, split.t, split.gap, split.max_train), 2, cols, LABEL, CV.SearchSpace(RIDGE_SPACE), n_iter)
 
 
 # ------------------------------------------------------- recursive / direct
@@ -307,33 +315,42 @@ def _panel_y(spark, sf_dir):
     return s, p.grid.n
 
 
-def q_recursive_forecast(spark, sf_dir, horizon: int = 60):
+def _recursive(spark, sf_dir, horizon, kind, **settings):
     s, n = _panel_y(spark, sf_dir)
-    train = FC.lag_matrix(s).where(F.col("pos") < n - 300)
-    va, m = FC.fit_gbt(train, "y", max_iter=10)
-    o = FC.origins_table(s, n)
-    rec = FC.recursive_forecast(o, va, m, horizon)
-    act = s.select("series_id", "pos", "y")
-    return rec.join(act, ["series_id", "pos"], "left")
+    train = materialize(FC.lag_matrix(s).where(F.col("pos") < n - 300), "lag-train")
+    rec = FC.recursive_forecast(FC.origins_table(s, n), FC.fit_lag_model(train, kind=kind, **settings), horizon)
+    return rec.join(s.select("series_id", "pos", "y"), ["series_id", "pos"], "left")
+
+
+def _mae_by_horizon(df):
+    return df.dropna(subset=["y", "y_hat"]).groupBy("horizon").agg(F.avg(F.abs(F.col("y") - F.col("y_hat"))).alias("mae"))
+
+
+def q_recursive_forecast(spark, sf_dir, horizon: int = 60):
+    """Recursive boosted trees (#134) with the library defaults: 100 rounds, 31 leaves."""
+    return _recursive(spark, sf_dir, horizon, "boosted")
 
 
 def q_recursive_forecast_forest(spark, sf_dir, horizon: int = 60):
     """The recursive back-test with a random forest as the one-step model (#138)."""
-    s, n = _panel_y(spark, sf_dir)
-    train = FC.lag_matrix(s).where(F.col("pos") < n - 300)
-    va, m = FC.fit_gbt(train, "y", max_iter=20, kind="forest")
-    o = FC.origins_table(s, n)
-    rec = FC.recursive_forecast(o, va, m, horizon)
-    return rec.join(s.select("series_id", "pos", "y"), ["series_id", "pos"], "left") \
-              .dropna(subset=["y"]).groupBy("horizon").agg(F.avg(F.abs(F.col("y") - F.col("y_hat"))).alias("mae"))
+    return _mae_by_horizon(_recursive(spark, sf_dir, horizon, "forest"))
+
+
+def q_recursive_forecast_tree(spark, sf_dir, horizon: int = 60):
+    """The same with one decision tree (#138)."""
+    return _mae_by_horizon(_recursive(spark, sf_dir, horizon, "tree"))
+
+
+def q_recursive_forecast_ridge(spark, sf_dir, horizon: int = 60):
+    """The same with a ridge on splines (#138)."""
+    return _mae_by_horizon(_recursive(spark, sf_dir, horizon, "ridge"))
 
 
 def q_direct_forecast(spark, sf_dir, horizons=tuple(range(1, 61))):
+    """60 direct models (#135) of 100 rounds, fitted in one run."""
     s, n = _panel_y(spark, sf_dir)
-    o = FC.origins_table(s, n)
-    d = FC.direct_forecast(s, o, n, horizons, max_iter=10)
-    act = s.select("series_id", "pos", "y")
-    return d.join(act, ["series_id", "pos"], "left")
+    d = FC.direct_forecast(s, FC.origins_table(s, n), n, horizons)
+    return d.join(s.select("series_id", "pos", "y"), ["series_id", "pos"], "left")
 
 
 QUERIES_ML = {
@@ -348,4 +365,6 @@ QUERIES_ML = {
     "randomized_search": q_randomized_search, "trial_table": q_trial_table,
     "recursive_forecast": q_recursive_forecast, "direct_forecast": q_direct_forecast,
     "nested_search": q_nested_search, "recursive_forecast_forest": q_recursive_forecast_forest,
+    "recursive_forecast_tree": q_recursive_forecast_tree, "recursive_forecast_ridge": q_recursive_forecast_ridge,
+    "ridge_search": q_ridge_search,
 }

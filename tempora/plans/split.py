@@ -71,12 +71,6 @@ def assign_folds(df: DataFrame, split: TimeSplit, pos_col: str = "split_pos") ->
     return df.select("*", F.inline(both))
 
 
-def test_rows(df: DataFrame, split: TimeSplit, pos_col: str = "split_pos") -> DataFrame:
-    """Only test memberships: each row in at most one fold, no duplication."""
-    return (df.withColumn("fold_idx", split.test_fold(F.col(pos_col)))
-              .where(F.col("fold_idx").isNotNull()))
-
-
 def fold_report(assigned: DataFrame, time_col: str = "prediction_time") -> DataFrame:
     """Fold sizes and time ranges (#107)."""
     return (assigned.groupBy("fold_idx", "role")

@@ -4,12 +4,10 @@ null and zero truths, gaps in a history, batch sizes, restarts, storage."""
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tempora.ml import crossval as CV
 from tempora.ml import forecast as FC
-from tempora.ml.boosting import LossBoostedRegressor
 from tempora.operators import ranks as R
 from tempora.plans import evaluate as EV
 from tempora.streaming import stream as ST
@@ -35,10 +33,10 @@ def test_zero_truth(spark):
 
 @pytest.mark.parametrize("loss, bad", [("poisson", -1.0), ("gamma", 0.0)])
 def test_invalid_labels_raise(spark, loss, bad):
+    from tempora.ml import histogram as H
     df = spark.createDataFrame([(float(i), bad if i == 3 else 2.0) for i in range(30)], "x double, label double")
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
-    with pytest.raises(ValueError, match="1 labels"):
-        LossBoostedRegressor(loss=loss, n_rounds=1).fit(df)
+    with pytest.raises(ValueError, match="outside the domain"):
+        H.fit(df, H.fit_bins(df, ["x"]), ["label"], F.lit(1), [H.Spec(loss=loss, rounds=1)])
 
 
 def test_null_truth_in_bins(spark):
@@ -55,8 +53,8 @@ def test_gap_keeps_the_origin(spark):
     s = spark.createDataFrame([("a", i, v) for i, v in enumerate(y)], "series_id string, pos long, y double")
     o = FC.origins_table(s, 400, test_len=300)
     assert o.count() == 60 and o.where("not _ok").count() == 6
-    va, m = FC.fit_gbt(FC.lag_matrix(s).where("pos < 100"), "y", max_iter=2)
-    rec = FC.recursive_forecast(o, va, m, horizon=2)
+    m = FC.fit_lag_model(FC.lag_matrix(s).where("pos < 100"), rounds=2)
+    rec = FC.recursive_forecast(o, m, horizon=2)
     assert rec.count() == 120 and rec.where("y_hat is null").count() == 12
 
 
@@ -123,15 +121,16 @@ def test_no_shared_folder_is_an_error(monkeypatch):
         session.checkpoint_dir(Session())
 
 
-def test_boosting_leaves_no_tables(spark):
+def test_boosting_leaves_no_tables(spark, monkeypatch):
+    from tempora.ml import histogram as H
     import os
     from tempora.session import checkpoint_dir
     base = checkpoint_dir(spark).removeprefix("file:") + "/tables"
     df = spark.createDataFrame([(float(i), 1.0 + i % 5) for i in range(60)], "x double, label double")
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
-    count = lambda: len([d for d in os.listdir(base) if d.startswith("boost")]) if os.path.isdir(base) else 0
+    count = lambda: len([d for d in os.listdir(base) if d.startswith("packed")]) if os.path.isdir(base) else 0
     before = count()
-    LossBoostedRegressor(loss="poisson", n_rounds=5, checkpoint_every=2).fit(df)
+    monkeypatch.setattr(H, "FOLD_TREES", 2)
+    H.fit(df, H.fit_bins(df, ["x"]), ["label"], F.lit(1), [H.Spec(loss="poisson", rounds=5)])
     assert count() == before
 
 
