@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tempora.llm.common import col, table
 
@@ -38,7 +39,11 @@ masthead topbar toolbar comment comments commentlist respond reply replies disqu
 recommendations widget widgets pagination pager search""".split())
 #: Class names that tell what an element has or lacks.
 MODIFIED = re.compile(r"(?:has|have|with|no|without|hide|hides|show|shows)[^a-z0-9]")
-WHOLE, PART = 0.9, 0.5
+#: Readers' words, which are never the article.
+READERS = set("comment comments commentlist respond reply replies disqus discussion".split())
+NEVER, WHOLE, PART = 2.0, 0.9, 0.5
+#: Elements of running text: a mark that is a part of their name (related-work) says nothing.
+TEXTUAL = HEADINGS | set("p li dt dd blockquote pre td th tr figcaption".split())
 ROLES = set("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 #: Paths inside a story, whose own header may hold its heading.
 STORY = re.compile(r"/(?:article|main)\b|\.(?:post|entry|story|article|content)\b")
@@ -72,15 +77,16 @@ def _is_out(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
 
 def _mark(tag: str, attrs: dict[str, str]) -> float:
     """0, or the share of the page's weight above which an element's marks
-    don't count: its class or id is a mark (WHOLE) or has one among others (PART)."""
-    if tag in ("html", "body", "main"):
+    don't count: NEVER of a readers' mark; WHOLE where a class or id has nothing but marks, PART where it has one
+    among other words."""
+    if tag in ("html", "body", "main", "header"):  # a header inside a story keeps its headings
         return 0.0
     names = [n for n in (attrs.get("class", "") + " " + attrs.get("id", "")).lower().split() if not MODIFIED.match(n)]
-    if tag == "header":  # one inside a story, which keeps its headings
-        return 0.0
-    if MARKS.intersection(names):
-        return WHOLE
-    return PART if any(MARKS.intersection(re.split(r"[^a-z0-9]+", n)) for n in names) else 0.0
+    parts = [[x for x in re.split(r"[^a-z0-9]+", n) if x] for n in names]
+    whole = [x for n in parts if n and MARKS.issuperset(n) for x in n]
+    if whole:
+        return NEVER if READERS.intersection(whole) else WHOLE
+    return PART if tag not in TEXTUAL and any(MARKS.intersection(n) for n in parts) else 0.0
 
 
 def blocks(page: str) -> list[tuple[Node, str]]:
@@ -151,12 +157,14 @@ def blocks(page: str) -> list[tuple[Node, str]]:
 
 def _unmarked(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
     """Blocks outside marked elements.  A mark doesn't count on an element with
-    most of the page's weight, nor around an article or main element that weighs
-    more than all unmarked blocks beside it."""
+    most of the page's weight (but for readers' marks), nor around an article or main element that weighs
+    more than all unmarked blocks beside it; nor does a name that is a mark in part, inside an article,
+    on text with the ratios of the unmarked blocks."""
     if not any(up.mark for up in {n.number: n for n, _ in found}.values() for up in _chain(up)):
         return found
     weight = _fused(found)
     sums: dict[int, float] = {}
+    counts: dict[int, int] = {}
     stories: dict[int, Node] = {}
     marked = []
     for (node, _), w in zip(found, weight):
@@ -164,6 +172,7 @@ def _unmarked(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
         marked.append(any(up.mark for up in ups))
         for up in ups:
             sums[up.number] = sums.get(up.number, 0.0) + w
+            counts[up.number] = counts.get(up.number, 0) + 1
             if up.tag in ("article", "main") and not up.mark:
                 stories[up.number] = up
     void: set[int] = set()
@@ -173,7 +182,15 @@ def _unmarked(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
         if sums[story.number] > beside:
             void = {up.number for up in _chain(story)}
     total = sums[0]
-    return [(n, t) for n, t in found if not any(up.mark and up.number not in void and sums[up.number] <= up.mark * total for up in _chain(n))]
+    plain = [w for w, m in zip(weight, marked) if not m]
+    usual = 0.5 * sum(plain) / len(plain) if plain else 0.0
+
+    def gone(up: Node) -> bool:
+        if not up.mark or up.number in void or sums[up.number] > up.mark * total:
+            return False
+        return up.mark != PART or "/article" not in up.path or not plain or sums[up.number] / counts[up.number] < usual
+
+    return [(n, t) for n, t in found if not any(gone(up) for up in _chain(n))]
 
 
 def _crosses(node: Node, up: Node) -> bool:
@@ -256,7 +273,8 @@ def content(found: list[tuple[Node, str]]) -> list[str]:
         kept[article.number] = article
     inside = [any(up.number in kept for up in _chain(n)) for n, _ in found]
     first = inside.index(True)
-    if not any(n.tag == "h1" for (n, _), x in zip(found, inside) if x):
+    # the article may lack a headline of its own
+    if found[first][0].tag not in HEADINGS and not any(n.tag == "h1" for (n, _), x in zip(found, inside) if x):
         heads = [i for i in range(first) if found[i][0].tag == "h1"]
         for i in range(heads[-1] if heads else first, first):  # a headline beside the article
             inside[i] = found[i][0].tag in HEADINGS
@@ -270,17 +288,23 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` columns, text and n_chars (code points) of each row.  Null and
-    empty pages give empty text; repeated rows come back as often as given."""
+    empty pages give empty text; repeated rows come back as often as given; a page is
+    read whole, however long.  A kept column named like a result is an error."""
+    taken = {c.lower() for c in keep} & {"text", "n_chars"}
+    if taken:
+        raise ValueError(f"rename {sorted(taken)} first")
+    held = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["text"] = [main_text(h) for h in b.pop("__html")]
+            b["text"] = [main_text(h) for h in b.pop("html")]
             b["n_chars"] = [len(t) for t in b["text"]]
             yield b
 
-    picked = pages.select(*[col(c) for c in keep], col(html_col).cast("string").alias("__html"))
-    kinds = ", ".join(f"`{c}` {t}" for c, t in picked.drop("__html").dtypes)
-    return picked.mapInPandas(run, f"{kinds}, text string, n_chars long")
+    picked = pages.select(*[col(c).alias(h) for c, h in zip(keep, held)], col(html_col).cast("string").alias("html"))
+    kinds = ", ".join(f"{c} {t}" for c, t in picked.drop("html").dtypes)
+    return picked.mapInPandas(run, f"{kinds}, text string, n_chars long") \
+        .select(*[F.col(h).alias(c) for c, h in zip(keep, held)], "text", "n_chars")
 
 
 def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

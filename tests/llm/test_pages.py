@@ -5,6 +5,8 @@ import re
 
 import pyarrow.parquet as pq
 
+import pytest
+
 from tempora.llm import pages as G
 from tests_data import SF01
 
@@ -56,6 +58,9 @@ def test_table(spark):
     out = G.extract(df).collect()
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in out) == sorted([("1", TEXT, len(TEXT))] * 2 + [("2", "", 0), ("None", "", 0)])
     assert G.extract(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        G.extract(df, keep=("page_id", "text"))
+    assert {r["url"] for r in G.extract(df.selectExpr("page_id as `html 2`", "url as html", "html as url"), "url", ("html 2", "html")).selectExpr("html as url").collect()} == {"u", "v", None}
 
 
 def test_whole_article():
@@ -81,3 +86,33 @@ def test_marks_around_the_article():
     comment = "<article class=comment><p>Nice story, I liked it, very much, thanks, all of you!</p></article>"
     assert G.main_text(f"<body><article>{STORY}</article><section id=comments>{comment * 3}</section>") == TEXT
     assert G.main_text(f"<body><div class=x>{STORY}</div><section class=comments>{comment * 5}</section>") == TEXT
+
+
+def test_readers_are_never_the_article():
+    comment = "<p>Nice story, I liked it, very much, thanks, all of you!</p>"
+    assert G.main_text(f"<body><div class=x><p>One story, in one sentence.</p></div><div id=comments>{comment * 12}</div>") == "One story, in one sentence."
+    assert G.main_text(f"<body><article>{STORY}<section class='comment-list'>{comment * 2}</section><ol class=commentlist>{comment * 9}</ol></article>").startswith(TEXT)
+    assert G.main_text(f"<body><article>{STORY}</article><div class='discussion'>{comment * 20}</div>") == TEXT
+
+
+def test_words_of_names_inside_the_story():
+    """A name that holds a mark among other words doesn't remove running text of an article."""
+    parts = ['<p class="related-work">Related work, as others have done it, is long.</p>', '<div class="share-price">The share price rose, then fell, and rose.</div>',
+             '<h2 id="social-history">Social history</h2>']
+    page = f"<body><article><p>A first sentence, of some length, to begin.</p>{''.join(parts)}<p>A last sentence, of some length, to end.</p></article>"
+    assert G.main_text(page).split("\n") == ["A first sentence, of some length, to begin.", "Related work, as others have done it, is long.",
+                                             "The share price rose, then fell, and rose.", "Social history", "A last sentence, of some length, to end."]
+    assert G.main_text(f'<article>{STORY}<div class="related-posts"><ul><li>One</li><li>Two</li></ul></div><div class="share-buttons">Tweet</div></article>') == TEXT
+
+
+def test_site_headline():
+    assert G.main_text(f"<body><div><h1>Site of sites</h1></div><article><h2>Head line</h2>{STORY}</article>") == "Head line\n" + TEXT
+
+
+def test_ratios_decide(monkeypatch):
+    """Without an article element the paths' ratios choose: constant ones give another text."""
+    page = f"<body><div class=x><div>One</div><div>Two</div><div>Three</div></div><div class=y>{STORY * 3}</div><div class=z><span>Four</span></div>"
+    right = G.main_text(page)
+    assert right == "\n".join([TEXT] * 3)
+    monkeypatch.setattr(G, "_fused", lambda found: __import__("numpy").ones(len(found)))
+    assert G.main_text(page) != right
