@@ -41,27 +41,39 @@ def _letters(points: np.ndarray) -> np.ndarray:
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
-    """Counts per bucket (float32) over the whole text; null or no letter: None."""
+    """Counts per bucket (float32) over the whole text; null or no letter: None.
+    A text goes through in pieces, whose last characters are carried on, so that its counts don't depend on them."""
     if text is None:
         return None
-    total = None
-    for at in range(0, len(text), PIECE):  # bounded arrays; n-grams over a seam start anew
-        points = np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        letter = _letters(points)
-        if not letter.any():
-            continue
-        points = np.where(letter, points, 32).astype(np.uint64)
-        points = points[letter | np.concatenate([[True], letter[:-1]])]  # one boundary for a run of others
-        points = np.concatenate([[32], points, [32]]).astype(np.uint64)
-        h = points * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(BUCKETS, np.int64)
+    before = np.array([32], np.uint64)
+    words = False
+
+    def add(points: np.ndarray) -> np.ndarray:
+        """n-grams that end in ``points``; the last characters go on."""
+        whole = np.concatenate([before, points])
+        h = whole * np.uint64(0x9E3779B97F4A7C15)
         for n in range(2, max(SIZES) + 1):
-            h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + points[n - 1:]
-            if n in SIZES:
-                got = np.bincount(((h * np.uint64(0x94D049BB133111EB)) >> np.uint64(50)).astype(np.int64), minlength=BUCKETS)
-                total = got if total is None else total + got
             if h.size < 2:
                 break
-    return None if total is None else total.astype(np.float32)
+            h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + whole[n - 1:]
+            if n in SIZES:
+                new = h[max(0, before.size - n + 1):]
+                total[:] += np.bincount(((new * np.uint64(0x94D049BB133111EB)) >> np.uint64(50)).astype(np.int64), minlength=BUCKETS)
+        return whole[1 - max(SIZES):]
+
+    for at in range(0, len(text), PIECE):
+        points = np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = _letters(points)
+        words = words or bool(letter.any())
+        points = np.where(letter, points, 32).astype(np.uint64)
+        # one boundary for a run of others
+        before = add(points[letter | np.concatenate([[before[-1] != 32], letter[:-1]])])
+    if not words:
+        return None
+    if before[-1] != 32:
+        add(np.array([32], np.uint64))
+    return total.astype(np.float32)
 
 
 @dataclass
@@ -84,7 +96,9 @@ class Model:
 
 
 def train(x: list[np.ndarray], y: list[str], keep: list[bool], epochs: int = 12, rate: float = 8.0, batch: int = 32, seed: int = 5) -> Model:
-    """``x``: counts; ``y``: labels; ``keep``: rows for calibration only."""
+    """``x``: counts, or (buckets, their counts); ``y``: labels; ``keep``: rows
+    for calibration only.  Rows are held by the buckets they have."""
+    x = [v if isinstance(v, tuple) else (np.flatnonzero(v), v[np.flatnonzero(v)]) for v in x]
     languages = sorted(set(y))
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
@@ -101,9 +115,10 @@ def train(x: list[np.ndarray], y: list[str], keep: list[bool], epochs: int = 12,
         order = rng.permutation(fit)
         for at in range(0, order.size, batch):
             pick = order[at:at + batch]
-            f = np.stack([x[i] / x[i].sum() for i in pick])
-            used = np.flatnonzero(f.any(axis=0))
-            f = f[:, used]
+            used = np.unique(np.concatenate([x[i][0] for i in pick]))
+            f = np.zeros((pick.size, used.size), np.float32)
+            for row, i in enumerate(pick):
+                f[row, np.searchsorted(used, x[i][0])] = x[i][1] / x[i][1].sum()
             hidden = f @ emb[used]
             z = hidden @ layer + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -116,14 +131,19 @@ def train(x: list[np.ndarray], y: list[str], keep: list[bool], epochs: int = 12,
             emb[used] -= step * np.minimum(BUCKETS, 50) * back
     model = Model(languages, emb @ layer, bias)
     check = np.flatnonzero(hold) if hold.any() else fit
-    z = np.stack([x[i] @ model.scores / x[i].sum() + bias for i in check])
+    z = np.stack([x[i][1] @ model.scores[x[i][0]] / x[i][1].sum() + bias for i in check])
     best = (np.inf, 1.0)
     for t in np.geomspace(0.05, 20, 49):
         p = z / t - (z / t).max(axis=1, keepdims=True)
         loss = float(np.mean(np.log(np.exp(p).sum(axis=1)) - p[np.arange(check.size), target[check]]))
         best = min(best, (loss, float(t)))
     model.temperature = best[1]
-    told = sorted((model.predict(x[i])[::-1] + (y[i],) for i in check), reverse=True)
+    def guess(at: np.ndarray, n: np.ndarray) -> tuple[str, float]:
+        counts = np.zeros(BUCKETS, np.float32)
+        counts[at] = n
+        return model.predict(counts)
+
+    told = sorted((guess(*x[i])[::-1] + (y[i],) for i in check), reverse=True)
     right, least = 0, 1.0
     for n, (score, lang, truth) in enumerate(told, 1):
         right += lang == truth
@@ -156,28 +176,31 @@ def fit(rows: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Colum
                     yield pd.DataFrame([{"id": name, "lang": lang, "at": at.astype("<u2").tobytes(), "n": c[at].astype("<f4").tobytes()}])
 
     got = sorted(sample.mapInPandas(features, "id string, lang string, at binary, n binary").collect(), key=lambda r: (r["id"] or "", r["lang"], bytes(r["at"])))
-    x = []
-    for r in got:
-        c = np.zeros(BUCKETS, np.float32)
-        c[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
-        x.append(c)
+    x = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["n"], "<f4")) for r in got]
     return train(x, [r["lang"] for r in got], [i % 5 == 0 for i in range(len(got))])
 
 
 def predict(rows: DataFrame, text_col: str, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns and lang_pred, score, rejected.  Null text or no
-    letter: ``und`` with score 0, rejected; so is everything if nothing could be learned."""
+    letter: ``und`` with score 0, rejected; so is everything if nothing could be learned.  Very long
+    texts count whole; repeated rows get the same; an empty table gives an empty one.  A kept column named
+    like a result is an error."""
+    taken = {c.lower() for c in keep} & {"lang_pred", "score", "rejected"}
+    if taken:
+        raise ValueError(f"rename {sorted(taken)} first")
+    held = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            told = [model.predict(ngram_counts(t)) for t in b.pop("__text")]
+            told = [model.predict(ngram_counts(t)) for t in b.pop("t")]
             b["lang_pred"], b["score"] = [t[0] for t in told], [t[1] for t in told]
             b["rejected"] = (b["lang_pred"] == "und") | (b["score"] < model.threshold)
             yield b
 
-    picked = rows.select(*[col(c) for c in keep], col(text_col).cast("string").alias("__text"))
-    kinds = ", ".join(f"`{c}` {t}" for c, t in picked.drop("__text").dtypes)
-    return picked.mapInPandas(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    picked = rows.select(*[col(c).alias(h) for c, h in zip(keep, held)], col(text_col).cast("string").alias("t"))
+    kinds = ", ".join(f"{c} {t}" for c, t in picked.drop("t").dtypes)
+    return picked.mapInPandas(run, f"{kinds}, lang_pred string, score double, rejected boolean") \
+        .select(*[F.col(h).alias(c) for c, h in zip(keep, held)], "lang_pred", "score", "rejected")
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

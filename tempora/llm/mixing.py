@@ -229,7 +229,7 @@ def mix(docs: DataFrame, members: Column, size: Column, id_col: str = "doc_id",
     done = reduce(DataFrame.unionByName, [w.withColumn("full", F.lit(1)) for w in whole_] + [f.select("pid", "bucket").distinct().withColumn("full", F.lit(-1)) for f in fine],
                   spark.createDataFrame([], "pid long, bucket long, full int"))
     done = scratch.write(done, "done")
-    near = dealt.select("id", "tie", "sources", "size", "pid", "bucket", "times").join(F.broadcast(done), ["pid", "bucket"], "left")
+    near = dealt.select("id", "tie", "sources", "size", "pid", "bucket", "times").join(done, ["pid", "bucket"], "left")  # grows with the rows: no hint
     full = F.when(F.col("size") > 0, F.col("times") + F.coalesce(F.col("full"), F.lit(0))).otherwise(0).cast("int")
     out = near.where("full is null or full = 1").select("id", "tie", "sources", "size", full.alias("copies"))
     of_pattern = F.broadcast(todo.join(spark.createDataFrame([(r["pid"], r["sources"]) for r in totals], "pid long, sources array<string>"), "pid").select("pid", "times", "sources"))

@@ -1,5 +1,7 @@
 """Language ID: held-out accuracy and edge cases."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tempora.llm import langid as L
@@ -34,8 +36,26 @@ def test_edges(spark):
 
 
 def test_counts_of_pieces(monkeypatch):
-    text = "ab cd " * 500
+    text = "ab, cd  ef\n" * 500 + "É x"
     whole = L.ngram_counts(text)
-    monkeypatch.setattr(L, "PIECE", 600)
-    parts = L.ngram_counts(text)
-    assert abs(parts - whole).sum() <= 5 * 12  # only n-grams over the seams differ
+    for piece in (1, 2, 3, 7, 600):
+        monkeypatch.setattr(L, "PIECE", piece)
+        assert (L.ngram_counts(text) == whole).all()
+
+
+def test_many_languages_are_held_sparsely():
+    """200 languages with 60 rows each: dense rows would take 786 MB."""
+    import tracemalloc
+    x = [(np.array([5 * k, 5 * k + 1, 9000 + i], np.int64), np.array([2, 1, 1], np.float32)) for k in range(200) for i in range(60)]
+    tracemalloc.start()
+    model = L.train(x, [f"l{k:03}" for k in range(200) for _ in range(60)], [i % 5 == 0 for i in range(12_000)], epochs=2)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20 and len(model.languages) == 200
+    tracemalloc.stop()
+
+
+def test_clashing_names(spark):
+    model = L.train([L.ngram_counts("the of")] * 4, ["en"] * 4, [False] * 4)
+    docs = spark.createDataFrame([(1, "the", "x")], "doc_id long, text string, `t` string")
+    assert L.predict(docs, "text", model, ["t", "doc_id"]).columns == ["t", "doc_id", "lang_pred", "score", "rejected"]
+    with pytest.raises(ValueError):
+        L.predict(docs.withColumnRenamed("t", "score"), "text", model, ["score"])
