@@ -1,5 +1,5 @@
-"""Registered model queries (not SQL-expressible: rows-only checks plus
-property tests).  All fit on the hourly feature table with the forward
+"""Registered model queries (fits can't be said in SQL: rows-only checks plus
+property tests; transformers have SQL twins at the end).  All fit on the hourly feature table with the forward
 split; the recursive / direct back-tests run on the hourly panel."""
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from tempora.ml.splines import fit_nystroem, fit_splines
 from tempora.plans import common as C
 from tempora.plans import evaluate as EV
 from tempora.plans import features as FT
+from tempora.plans import oracle as O
+from tempora.plans import oracle_ops as OO
 from tempora.plans import predictors as PR
 from tempora.session import materialize
 
@@ -209,7 +211,7 @@ def q_impute_indicator(spark, sf_dir):
     cols = [s.name for s in FT.lagged_block_specs()]
     prep = A.impute_with_indicator(lb.where(F.col("pos") < 400), cols)
     out, fcols = prep(lb)
-    return out.select("series_id", "time", *fcols)
+    return C.normalize(out.select("series_id", "time", *fcols))
 
 
 def q_variance_filter(spark, sf_dir):
@@ -263,7 +265,7 @@ def q_ridge_search(spark, sf_dir, n_iter: int = 100):
 def q_spline_basis(spark, sf_dir):
     h = C.hourly(spark, sf_dir)
     sp = fit_splines(h.series, ["load_mw"])
-    return sp.transform(h.series.select("time", "load_mw"))
+    return C.normalize(sp.transform(h.series.select("time", "load_mw")))
 
 
 def q_nystroem_map(spark, sf_dir):
@@ -368,3 +370,52 @@ QUERIES_ML = {
     "recursive_forecast_tree": q_recursive_forecast_tree, "recursive_forecast_ridge": q_recursive_forecast_ridge,
     "ridge_search": q_ridge_search,
 }
+
+
+# ---------------------------------------------------------------- SQL twins
+
+def _spline_sql() -> str:
+    values = []
+    for j in range(7):
+        u = f"((load_mw - lo) / ((hi - lo) / 4) + {3 - j})"
+        values.append(O._r(f"CASE WHEN {u} >= 0 AND {u} < 1 THEN {u} * {u} * {u} / 6 WHEN {u} >= 1 AND {u} < 2 THEN (-3 * {u} * {u} * {u} + 12 * {u} * {u} - 12 * {u} + 4) / 6 "
+                           f"WHEN {u} >= 2 AND {u} < 3 THEN (3 * {u} * {u} * {u} - 24 * {u} * {u} + 60 * {u} - 44) / 6 WHEN {u} >= 3 AND {u} < 4 THEN (4 - {u}) * (4 - {u}) * (4 - {u}) / 6 ELSE 0 END",
+                           f"load_mw_sp_{j}"))
+    return f"WITH {O.hourly_ctes()}, mm AS (SELECT min(load_mw) AS lo, max(load_mw) AS hi FROM series)\nSELECT time, {O._r('load_mw')}, {', '.join(values)} FROM series, mm"
+
+
+def _impute_sql() -> str:
+    lags = O.lag_block_sql(part="PARTITION BY series_id ")
+    names = [n for n, _ in lags]
+    return f"""WITH {OO.panel_ctes()},
+h AS (SELECT *, CAST('0x' || substr(md5(series_id || '|' || (pos // 24) || '|7'), 1, 8) AS BIGINT) % 1000 AS hv FROM series),
+inj AS (SELECT series_id, time, pos, CASE WHEN hv < 100 THEN NULL ELSE load_mw END AS load_mw FROM h),
+lb AS (SELECT series_id, time, pos, {', '.join(f'{e} AS {n}' for n, e in lags)} FROM inj),
+m AS (SELECT {', '.join(f'avg({n}) AS m_{n}' for n in names)} FROM lb WHERE pos < 400)
+SELECT series_id, time, {', '.join(O._r(f'coalesce({n}, m_{n})', f'{n}_imputed') for n in names)},
+  {', '.join(f'CAST(CASE WHEN {n} IS NULL THEN 1 ELSE 0 END AS DOUBLE) AS {n}_missing' for n in names)} FROM lb, m"""
+
+
+def _features() -> list[str]:
+    leads = [f"weather_n_events_{e}_future_{h}h" for e in C.EVENT_TYPES for h in (1, 24)]
+    calendar = [f"cal_{n}_future_{h}h" for n in ("hour_of_day", "day_of_week", "day_of_year", "year", "is_holiday") for h in (1, 24)]
+    return ["load_mw", *[n for n, _ in O.lag_block_sql()], *leads, *calendar]
+
+
+def _variance_sql() -> str:
+    one = [f"SELECT '{c}_imputed' AS feature FROM ft HAVING var_pop(CAST({c} AS DOUBLE)) * count({c}) / (count(*) - 1) > 1e-6 "
+           f"UNION ALL SELECT '{c}_missing' FROM ft HAVING count({c}) < count(*) AND 1.0 * count({c}) * (count(*) - count({c})) / count(*) / (count(*) - 1) > 1e-6" for c in _features()]
+    return f"WITH ft AS MATERIALIZED ({O.sql_feature_table()})\n" + "\nUNION ALL ".join(one)
+
+
+def _best_sql(k: int = 10) -> str:
+    """The order of the F statistic is that of the squared correlation."""
+    one = [f"SELECT '{c}_imputed' AS feature, corr(CAST({c} AS DOUBLE), y) AS r FROM j" for c in _features()]
+    return f"""WITH ft AS MATERIALIZED ({O.sql_feature_table()}), hs AS MATERIALIZED (WITH {O.hourly_ctes()} SELECT time, lead(load_mw, 24) OVER (ORDER BY pos) AS y FROM series),
+j AS MATERIALIZED (SELECT ft.*, hs.y FROM ft JOIN hs ON hs.time = ft.prediction_time WHERE hs.y IS NOT NULL),
+r AS ({' UNION ALL '.join(one)})
+SELECT feature FROM r WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY r * r DESC LIMIT {k}"""
+
+
+SQL_ML = {k: O._snap_round_even(v) for k, v in {"spline_basis": _spline_sql(), "impute_indicator": _impute_sql(), "variance_filter": _variance_sql(),
+                                                "select_k_best": _best_sql()}.items()}
