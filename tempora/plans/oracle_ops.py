@@ -329,6 +329,11 @@ SELECT ws AS window_start, ws + INTERVAL 168 HOUR AS window_end, CAST(count(*) A
   {_r('avg(value)', 'mean_value')}, {_r('max(value)', 'max_value')}
 FROM e GROUP BY ws HAVING ws + INTERVAL 168 HOUR <= {_WM}"""
 
+for _name, _hours in (("24h", 24), ("7d", 168)):
+    SQL[f"stream_quantiles_{_name}"] = f"""WITH e AS (SELECT value, date_trunc('hour', ts) - k * INTERVAL 1 HOUR AS we FROM events, range(-{_hours}, 0) r(k) WHERE value IS NOT NULL),
+q AS (SELECT we, count(*) AS n, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50, quantile_cont(value, 0.75) AS q75 FROM e GROUP BY we HAVING we <= {_WM})
+SELECT we - INTERVAL {_hours} HOUR AS window_start, we AS window_end, CAST(n AS BIGINT) AS n_events, {_r('q25')}, {_r('q50', 'median_value')}, {_r('q75')}, {_r('q75 - q25', 'iqr')} FROM q"""
+
 # every 7th event arrives a day late; a day's file is held against the days before it
 SQL["stream_late_audit"] = """WITH e AS (SELECT ts, CAST(ts AS DATE) + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS arrival FROM events),
 d AS (SELECT arrival, max(ts) AS m FROM e GROUP BY 1),

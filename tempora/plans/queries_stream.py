@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tempora.plans import common as C
 from tempora.session import scratch_path
 from tempora.sources import tables as S
+from tempora.streaming import panes as PN
 from tempora.streaming import stream as ST
 
 LAG = "3 hours"
@@ -46,6 +47,29 @@ def q_stream_sliding_7d(spark, sf_dir):
     return C.normalize(spark.read.parquet(out))
 
 
+def _sliding_quantiles(spark, sf_dir, hours):
+    """Quartiles of windows put together from hourly panes (#95); the second
+    stateful operator needs the RocksDB state store."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, PN.ROCKSDB)
+    try:
+        out = ST._run(PN.sliding_quantiles(_events_stream(spark, sf_dir), hours, lag=LAG), f"panes-{hours}")
+    finally:
+        spark.conf.set(name, before)
+    got = spark.read.parquet(out)
+    return C.normalize(got.select("window_start", "window_end", "n_events", F.col("q0").alias("q25"), F.col("q1").alias("median_value"),
+                                  F.col("q2").alias("q75"), (F.col("q2") - F.col("q0")).alias("iqr")))
+
+
+def q_stream_quantiles_24h(spark, sf_dir):
+    return _sliding_quantiles(spark, sf_dir, 24)
+
+
+def q_stream_quantiles_7d(spark, sf_dir):
+    return _sliding_quantiles(spark, sf_dir, 168)
+
+
 def _hourly_panel_stream(spark, sf_dir, swap_adjacent: bool = False):
     obs = S.hourly_events(spark, sf_dir, by="event_type")
     path = ST.land_daily_files(obs, _path(spark, "panel-landed"), "time", swap_adjacent=swap_adjacent)
@@ -108,6 +132,8 @@ QUERIES_STREAM = {
     "stream_hourly_watermark": q_stream_hourly_watermark,
     "stream_sliding_24h": q_stream_sliding_24h,
     "stream_sliding_7d": q_stream_sliding_7d,
+    "stream_quantiles_24h": q_stream_quantiles_24h,
+    "stream_quantiles_7d": q_stream_quantiles_7d,
     "stream_lag_state": q_stream_lag_state,
     "stream_lag_state_ordered": q_stream_lag_state_ordered,
     "stream_late_audit": q_stream_late_audit,
