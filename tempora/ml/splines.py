@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Landmarks that may be brought to the driver.
+MAX_LANDMARKS = 200
+
+
 def cardinal_cubic(u: Column) -> Column:
     """Cardinal cubic B-spline on [0, 4]."""
     return (F.when((u >= 0) & (u < 1), u * u * u / 6)
@@ -106,6 +110,8 @@ def fit_nystroem(df: DataFrame, inputCol: str = "features", n_components: int =
     """Landmarks: the ``n_components`` rows with the smallest seeded hash of
     ``key`` (or of the features) — deterministic, independent of
     partitioning; kernel K_mm decomposed on the driver."""
+    if not 1 <= n_components <= MAX_LANDMARKS:
+        raise ValueError(f"1 to {MAX_LANDMARKS} landmarks")
     h = F.xxhash64(F.col(key) if key else F.to_json(F.struct(vector_to_array(F.col(inputCol)))), F.lit(seed))
     rows = df.select(vector_to_array(F.col(inputCol)).alias("x"), h.alias("_h")) \
              .orderBy("_h").limit(n_components).collect()

@@ -232,7 +232,7 @@ def reliability(df: DataFrame, n_bins: int = 10, kind: str = "mean", quantile_le
     the prediction at ``linspace(0, 1, n_bins)``, right-closed; per bin the
     mean (or nearest-rank quantile) of the truth and the mean prediction."""
     if kind not in ("mean", "quantile"):
-        raise ValueError(f"Unknown kind: {kind}. Use 'mean' or 'quantile'.")
+        raise ValueError(f"a reliability table shows the mean or a quantile of the truth, not {kind!r}")
     probs = [i / (n_bins - 1) for i in range(n_bins)]
     edges = linear_edges(df, [fold], p, probs)
     b = df.join(F.broadcast(edges), fold).withColumn(
@@ -263,12 +263,10 @@ def residuals_binned(df: DataFrame, by: str = "hour", fold: str = "fold_idx",
     elif by == "month":
         name, ext = "month_of_year", F.month(time_col)
     else:
-        raise ValueError(f"Unsupported binning method: {by}. Use 'hour' or 'month'.")
+        raise ValueError(f"residuals are grouped by hour or month, not by {by!r}")
     r = df.withColumn("residual", F.col("predicted_load_mw") - F.col("load_mw")).withColumn(name, ext)
     m = r.groupBy(fold, name).agg(bround(F.avg("residual"), 1).alias("mean_residual"))
-    q25 = group_quantile_nearest(r, [fold, name], "residual", 0.25, "q25_residual")
-    q75 = group_quantile_nearest(r, [fold, name], "residual", 0.75, "q75_residual")
-    out = m.join(q25, [fold, name]).join(q75, [fold, name])
+    out = m.join(R.nearest_quantiles(r, [fold, name], "residual", {"q25_residual": 0.25, "q75_residual": 0.75}), [fold, name])
     return out.select(fold, name, "mean_residual", bround("q25_residual", 1).alias("q25_residual"),
                       bround("q75_residual", 1).alias("q75_residual"))
 

@@ -162,11 +162,11 @@ def q_filter_closed_right(spark, sf_dir):
 
 
 def q_high_iqr_dates(spark, sf_dir):
-    """Dates whose 7-day rolling IQR exceeds the 90th percentile of that IQR (#28)."""
+    """Dates whose 7-day rolling IQR exceeds the 90th percentile of that IQR (#28), in order."""
     h = C.hourly(spark, sf_dir)
     lb = FT.lagged_block(h.series).select("time", "load_mw_iqr_7d")
     thr = R.linear_quantiles(lb, [], "load_mw_iqr_7d", {"thr": 0.9}).first()["thr"]  # one scalar
-    return N(lb.where(F.col("load_mw_iqr_7d") > F.lit(thr)).select(F.to_date("time").alias("date")).distinct())
+    return N(lb.where(F.col("load_mw_iqr_7d") > F.lit(thr)).select(F.to_date("time").alias("date")).distinct().orderBy("date"))
 
 
 def q_holiday_flag(spark, sf_dir):
