@@ -363,3 +363,10 @@ SQL["pairwise_interactions"] = (f"WITH {O.hourly_ctes()}, l AS (SELECT time, "
 # held until the final watermark (max time − 2 days) passes the row
 SQL["stream_lag_state_ordered"] = SQL["stream_lag_state"] + (
     "\nWHERE o.time <= (SELECT max(time) FROM obs) - INTERVAL 2 DAY")
+
+_TYPES = ["click", "error", "purchase", "signup", "view"]
+SQL["explode_payload_arrays"] = f"""WITH h AS (SELECT date_trunc('hour', ts) AS time, round(sum(value), 6) AS load_mw,
+  {', '.join(f"count(*) FILTER (WHERE event_type = '{e}') AS weather_n_events_{e}" for e in _TYPES)} FROM events GROUP BY 1),
+g AS (SELECT DISTINCT date_trunc('day', time) AS day FROM h),
+t AS (SELECT CAST(day AS TIMESTAMP) + k * INTERVAL 1 HOUR AS time FROM g, range(24) r(k))
+SELECT t.time, {_r('load_mw')}, {', '.join(_r(f'weather_n_events_{e}') for e in _TYPES)} FROM t LEFT JOIN h USING (time)"""

@@ -59,6 +59,13 @@ def q_explode_payload(spark, sf_dir):
     return N(FS.explode_payload(FS.payload_table(obs)))
 
 
+def q_explode_payload_arrays(spark, sf_dir):
+    """Six parallel arrays a day (hourly sum and counts by event type) → rows."""
+    hourly = S.hourly_events(spark, sf_dir).join(C.events_covariates(spark, sf_dir, None), "time")
+    cols = ["load_mw", *[f"weather_n_events_{e}" for e in C.EVENT_TYPES]]
+    return N(FS.explode_arrays(FS.payload_arrays(hourly, cols), cols))
+
+
 def q_scan_load_csv(spark, sf_dir):
     h = C.hourly(spark, sf_dir, interpolate=False)
     path = _scratch(spark, "load-csv")
@@ -644,7 +651,7 @@ def q_pairwise_interactions(spark, sf_dir):
 
 
 QUERIES_OPS = {
-    "scan_parquet": q_scan_parquet, "literal_table": q_literal_table, "explode_payload": q_explode_payload,
+    "scan_parquet": q_scan_parquet, "literal_table": q_literal_table, "explode_payload": q_explode_payload, "explode_payload_arrays": q_explode_payload_arrays,
     "scan_load_csv": q_scan_load_csv, "sink_idempotent": q_sink_idempotent,
     "save_load_features": q_save_load_features, "list_inputs": q_list_inputs,
     "prediction_grid": q_prediction_grid, "preview_head": q_preview_head,

@@ -77,13 +77,37 @@ def payload_table(hourly: DataFrame, time_col: str = "time", value_col: str = "l
                     F.transform(F.sequence(F.lit(0), F.lit(23)), lambda i: F.col("_m")[i]).alias("values"))
 
 
+def _hours(name: str):
+    return F.transform(F.sequence(F.lit(0), F.lit(23)), lambda i: F.col("_m")[i].getField(name))
+
+
+def payload_arrays(hourly: DataFrame, value_cols: list[str], time_col: str = "time") -> DataFrame:
+    """The same with one array for each of several value columns."""
+    day = F.date_trunc("day", F.col(time_col).cast("timestamp")).cast("timestamp_ntz")
+    g = hourly.groupBy(day.alias("start")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.hour(time_col), F.struct(*value_cols)))).alias("_m"))
+    return g.select("start", (F.col("start") + F.expr("INTERVAL 1 DAY")).alias("end"), F.lit(3600).alias("interval_s"),
+                    *[_hours(c).alias(c) for c in value_cols])
+
+
+def explode_arrays(payload: DataFrame, value_cols: list[str]) -> DataFrame:
+    """Payload with parallel arrays → rows (#9, #13) with a column for each;
+    a shorter array gives nulls, a null or empty one only nulls."""
+    arrays = [F.coalesce(F.col(c), F.array().cast(payload.schema[c].dataType)).alias(c) for c in value_cols]
+    rows = payload.select("start", "end", "interval_s", F.posexplode(F.arrays_zip(*arrays)).alias("_k", "_v"))
+    return _on_time(rows.select("start", "end", "interval_s", "_k", *[F.col("_v")[c].alias(c) for c in value_cols]), value_cols)
+
+
 def explode_payload(payload: DataFrame, value_col: str = "load_mw") -> DataFrame:
     """Array payload → rows (#9, #13): times ``start + k·interval`` on the
     half-open range ``[start, end)``."""
-    rows = payload.select("start", "end", "interval_s", F.posexplode("values").alias("_k", value_col))
+    return _on_time(payload.select("start", "end", "interval_s", F.posexplode("values").alias("_k", value_col)), [value_col])
+
+
+def _on_time(rows: DataFrame, value_cols: list[str]) -> DataFrame:
     t = F.timestamp_micros(F.unix_micros(F.col("start").cast("timestamp"))
                            + F.col("_k").cast("long") * F.col("interval_s").cast("long") * F.lit(1_000_000)).cast("timestamp_ntz")
-    return rows.select(t.alias("time"), value_col, "end").where(F.col("time") < F.col("end")).drop("end")
+    return rows.select(t.alias("time"), *value_cols, "end").where(F.col("time") < F.col("end")).drop("end")
 
 
 def save_feature_state(df: DataFrame, path: str, params: dict) -> None:

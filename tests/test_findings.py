@@ -146,3 +146,14 @@ def test_missing_blocks_differ_by_series(spark):
     s = spark.range(2400).selectExpr("id as pos", "1.0D as load_mw").crossJoin(spark.sql("select explode(array('sensor_000', 'sensor_001', 'sensor_002')) series_id"))
     out = FT.inject_missing_blocks(s, "series_id").where("injected").groupBy("series_id").agg(F.sort_array(F.collect_set("pos")).alias("p")).collect()
     assert len({tuple(r["p"]) for r in out}) == 3
+
+
+def test_parallel_arrays(spark):
+    """Six arrays of unequal length, null and empty ones, and one step past the end."""
+    from tempora.sources import files as FS
+    names = ["a", "b", "c", "d", "e", "f"]
+    rows = [("2024-01-01 00:00:00", "2024-01-01 03:00:00", 3600, [1.0, 2.0, 3.0, 4.0], [1.0], None, [], [None, 5.0], [7.0, 8.0, 9.0])]
+    df = spark.createDataFrame(rows, "s string, e2 string, interval_s int, " + ", ".join(f"{n} array<double>" for n in names))
+    df = df.selectExpr("cast(s as timestamp_ntz) start", "cast(e2 as timestamp_ntz) end", "interval_s", *names)
+    got = sorted(map(tuple, FS.explode_arrays(df, names).selectExpr("hour(time) h", *names).collect()))
+    assert got == [(0, 1.0, 1.0, None, None, None, 7.0), (1, 2.0, None, None, None, 5.0, 8.0), (2, 3.0, None, None, None, None, 9.0)]
