@@ -44,11 +44,23 @@ class Recent(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
+        self.take({key: value})
+        return value
+
+    def take(self, values: dict) -> None:
+        """Values made elsewhere."""
+        if len(self) + len(values) > self.limit:
             self.old = dict(self)
             self.clear()
-        self[key] = value
-        return value
+        self.update(values)
+
+    def lacking(self, keys: set) -> set:
+        """The keys without a value; what the older half has of the others stays."""
+        keys = keys.difference(self)
+        again = keys.intersection(self.old)
+        if again:
+            self.take({key: self.old[key] for key in again})
+        return keys - again
 
 
 class Scratch:

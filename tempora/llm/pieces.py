@@ -7,7 +7,8 @@ outside the table become byte pieces.  (The file's own library merges pairs
 instead, so ids can differ from it; both decode to the same text.)
 
 Where no piece of the table has the space mark after another character, each word
-is segmented by itself and words seen before come from a bounded table.
+is segmented by itself.  Words seen before come from a bounded table; the others of
+a batch are taken together, all of one length in one lattice of numpy arrays.
 
 Giant documents are cut in chunks at fixed places, and each chunk is worked on
 by itself, wherever it lies:
@@ -44,6 +45,48 @@ GROUP = 256
 CACHE_WORDS = 240_000
 NONE = float("-inf")
 FRAGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Places of one lattice of numpy arrays, and the fewest words that pay for one.
+PLACES, TOGETHER = 1 << 14, 8
+
+
+class Trie:
+    """The table's pieces as a trie whose steps are looked up in numpy: a step's key is
+    its node and character, so that equal keys are equal steps.  Node 0 is the root."""
+
+    def __init__(self, pieces: dict[str, tuple[float, int] | None]):
+        number = {"": 0}
+        for p in sorted(pieces):
+            number[p] = len(number)
+        self.score = np.full(len(number), NONE)
+        self.id = np.full(len(number), -1, np.int32)
+        keys = np.empty(len(pieces), np.uint64)
+        for i, (p, hit) in enumerate(pieces.items()):
+            keys[i] = number[p[:-1]] << 21 | ord(p[-1])
+            if hit:
+                self.score[number[p]], self.id[number[p]] = hit
+        slots = self._slot(keys)
+        order = np.argsort(slots, kind="stable")
+        self.keys = np.append(keys[order], np.full(1, 2**64 - 1, np.uint64))
+        self.nodes = np.append(np.array([number[p] for p in pieces], np.int32)[order], np.int32(-1))
+        counts = np.bincount(slots, minlength=1 << 18)
+        self.first = (np.cumsum(counts) - counts).astype(np.int32)
+        self.tries = int(counts.max(initial=0))
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """The node that each character leads to (-1: none)."""
+        keys = nodes.astype(np.uint64) << np.uint64(21) | points
+        at = self.first[self._slot(keys)]
+        out = np.full(keys.size, -1, np.int32)
+        last = self.keys.size - 1
+        for i in range(self.tries):
+            place = np.minimum(at + i, last)
+            hit = self.keys[place] == keys
+            out[hit] = self.nodes[place[hit]]
+        return out
 
 
 class PieceModel:
@@ -61,6 +104,8 @@ class PieceModel:
         bytes_ = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
         self.bytes = [bytes_[f"<0x{b:02X}>"] for b in range(256)] if bytes_ else None
         self.unk = sp.unk_id()
+        #: Ids of ASCII characters as bytes; -1: of any other.
+        self.ascii = np.array([*(self.bytes[:128] if self.bytes else [self.unk] * 128), -1], np.int32)
         self.cuts = not any(MARK in p.lstrip(MARK) for p in self.table)
         size = sp.get_piece_size()
         self.raw = [b""] * size  # what a piece stands for
@@ -73,6 +118,7 @@ class PieceModel:
         #: Score and id of pieces, and None for what only begins one.
         self.pieces: dict[str, tuple[float, int] | None] = {p[:i]: None for p in self.table for i in range(1, len(p))}
         self.pieces.update(self.table)
+        self.trie = Trie(self.pieces)
         #: Per word (what follows a mark up to the next): its ids as little-endian 32-bit integers.
         self.words = Recent(lambda w: self.fragment(MARK + w), CACHE_WORDS)
         self.points = Recent(lambda w: self.lattice(MARK + w, len(w) + 1, [0.0])[0][-1], CACHE_WORDS // 4)
@@ -155,6 +201,75 @@ class PieceModel:
         out.reverse()
         return array("i", out).tobytes()
 
+    def fragments(self, texts: list[str]) -> tuple[list[bytes], list[float]]:
+        """Ids and best score of texts of one length that are lattices by
+        themselves, as ``fragment`` and ``lattice`` find them."""
+        m, n = len(texts), len(texts[0])
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        width = min(n, self.longest)
+        gain = np.full((width, m * n), NONE)  # by length less 1 and place: a piece's score
+        piece = np.full((width, m * n), -1, np.int32)
+        at, nodes = np.arange(m * n), np.zeros(m * n, np.int32)
+        for length in range(width):
+            if length:
+                inside = at % n + length < n
+                at, nodes = at[inside], nodes[inside]
+            nodes = self.trie.step(nodes, points[at + length])
+            known = nodes >= 0
+            at, nodes = at[known], nodes[known]
+            gain[length, at], piece[length, at] = self.trie.score[nodes], self.trie.id[nodes]
+        gain[0, piece[0] < 0] = self.unknown  # no piece of one character
+        gain, piece = gain.reshape(width, m, n), piece.reshape(width, m, n)
+        best = np.full((n + 1, m), NONE)
+        back, ids = np.zeros((n + 1, m), np.int64), np.full((n + 1, m), -1, np.int32)
+        best[0] = 0.0
+        for i in range(n):  # the first start wins a tie: the longest last piece
+            reach = min(width, n - i)
+            total = best[i] + gain[:reach, :, i]
+            better = total > best[i + 1:i + 1 + reach]
+            np.copyto(best[i + 1:i + 1 + reach], total, where=better)
+            np.copyto(back[i + 1:i + 1 + reach], i, where=better)
+            np.copyto(ids[i + 1:i + 1 + reach], piece[:reach, :, i], where=better)
+        rows, ends = np.arange(m), np.full(m, n)
+        path, count, other = np.zeros((m, n), "<i4"), np.zeros(m, np.int64), np.zeros(m, bool)
+        while rows.size:  # backwards from the end, ids from the right
+            count[rows] += 1
+            found, starts = ids[ends, rows], back[ends, rows]
+            lone = np.flatnonzero(found < 0)  # a character outside the table
+            if lone.size:
+                point = points[rows[lone] * n + starts[lone]].astype(np.int64)
+                found[lone] = self.ascii[np.minimum(point, 128)]
+                other[rows[lone[found[lone] < 0]]] = True
+            path[rows, n - count[rows]] = found
+            ends = starts
+            rows, ends = rows[ends > 0], ends[ends > 0]
+        raw, size = path.tobytes(), 4 * n
+        out = [raw[(i + 1) * size - 4 * c:(i + 1) * size] for i, c in enumerate(count.tolist())]
+        for i in np.flatnonzero(other).tolist():  # characters of several byte pieces
+            out[i] = self.fragment(texts[i])
+        return out, best[n].tolist()
+
+    def learn(self, texts: list[str], points: bool = False) -> None:
+        """Take the words of prepared texts that the table of words lacks into it, together."""
+        if not self.cuts:
+            return
+        into = self.points if points else self.words
+        words: set[str] = set()
+        for t in texts:
+            if t.startswith(MARK) and MARK + MARK not in t:
+                words.update(t[1:].split(MARK))
+        by_length: dict[int, list[str]] = {}
+        for w in into.lacking(words):
+            by_length.setdefault(len(w) + 1, []).append(MARK + w)
+        for n, alike in by_length.items():
+            if len(alike) < TOGETHER:
+                continue  # one by one when asked for
+            step = max(1, PLACES // n)
+            for i in range(0, len(alike), step):
+                part = alike[i:i + step]
+                ids, scores = self.fragments(part)
+                into.take({w[1:]: x for w, x in zip(part, scores if points else ids)})
+
     def closed(self, text: str) -> bytes:
         """Ids of text that starts and ends between words."""
         if not self.cuts:
@@ -193,6 +308,7 @@ class PieceModel:
         if cut is not None:
             first, last = cut
             heads = np.array([self.lattice(text[:first], first, [NONE] * i + [0.0])[0][first] for i in range(n)])
+            self.learn([text[first:last]], points=True)
             middle = self.score(text[first:last])
             tail = self.lattice(text[last:], stop - last, [0.0])[0][stop - last:][:n]
             out[:, :len(tail)] = heads[:, None] + middle + np.array(tail)[None, :]
@@ -228,6 +344,7 @@ class PieceModel:
         if cut is None:
             return ids(text, stop, stop + j, entries)
         first, last = cut
+        self.learn([text[first:last]])
         return ids(text[:first], first, first, entries) + self.closed(text[first:last]) + ids(text[last:], stop - last, stop - last + j, [0.0])
 
     def decode(self, ids, first: bool = True) -> bytes:
@@ -360,7 +477,9 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for at in range(0, len(b), 512):
                 part = b.iloc[at:at + 512]
-                ids = [m.closed(m.prepare(t)) for t in part["text"]]
+                texts = [m.prepare(t) for t in part["text"]]
+                m.learn(texts)
+                ids = [m.closed(t) for t in texts]
                 yield pd.DataFrame({"id": part["id"], "uid": part["uid"], "c": 0, "chunks": 1, **_told(m, ids, [True] * len(ids), form)})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

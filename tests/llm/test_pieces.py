@@ -54,6 +54,30 @@ def test_words_against_force(model):
         assert model.decode(ids).decode() == t
 
 
+def test_words_together(model):
+    """Words of one length in one lattice: ids and scores as one by one."""
+    rng = random.Random(13)
+    letters = ["a", "e", "t", "h", "i", "n", "g", "o", "s", "é", "ß", "\n", "\x00", "7", "中", "\U0001f600", "\ud800", "."]
+    for n in (1, 2, 3, 7, 16, 17, 40):
+        words = [pieces.MARK + "".join(rng.choice(letters) for _ in range(n - 1)) for _ in range(30)]
+        ids, scores = model.fragments(words)
+        assert ids == [model.fragment(w) for w in words]
+        assert scores == [model.lattice(w, n, [0.0])[0][-1] for w in words]
+
+
+def test_learned_words_in_a_small_table(model):
+    texts = random_texts(40, 8) + ["one two three " * 5]
+    want = [model.closed(model.prepare(t)) for t in texts]
+    was, model.words = model.words, pieces.Recent(lambda w: model.fragment(pieces.MARK + w), 20)
+    try:
+        for i in range(0, len(texts), 9):
+            part = [model.prepare(t) for t in texts[i:i + 9]]
+            model.learn(part)
+            assert [model.closed(t) for t in part] == want[i:i + 9]
+    finally:
+        model.words = was
+
+
 @pytest.mark.parametrize("cuts", [True, False])
 def test_matrices_against_force(model, cuts):
     """Matrix scan and traces of chunks, with and without word borders."""
