@@ -44,7 +44,10 @@ class Recent(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
-        self.take({key: value})
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
     def take(self, values: dict) -> None:

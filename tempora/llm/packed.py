@@ -46,6 +46,8 @@ def width_of(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     n = -(-ids.size // 64)
+    if width in (8, 16, 32):
+        return ids.astype(f"<u{width // 8}").tobytes().ljust(8 * width * n, b"\0")
     rows = np.zeros((n, 64), np.uint64)
     rows.reshape(-1)[:ids.size] = ids
     words = np.zeros((n, width), "<u8")
@@ -58,6 +60,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 
 def unpack(payload: bytes, width: int, n_ids: int) -> np.ndarray:
+    if width in (8, 16, 32):  # whole bytes: the groups' words are the ids themselves
+        return np.frombuffer(payload, f"<u{width // 8}", n_ids).astype("<u4")
     words = np.frombuffer(payload, "<u8").reshape(-1, width)
     rows = np.empty((words.shape[0], 64), np.uint64)
     for i in range(64):
@@ -100,6 +104,9 @@ class Encoder:
         self.later = Recent(lambda w: self._word(w, " "), CACHE_WORDS)
         self.marks = Recent(lambda w: array("I", [t.id for t in self.tokenizer.model.tokenize(w)]).tobytes(), 10_000)
         self.letters = [self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(b))[0][0] for b in range(128)] if self.by_word else []
+        #: Whether ASCII letters stand for themselves.
+        self.plain = self.letters[65:91] + self.letters[97:123] == [*map(chr, range(65, 91)), *map(chr, range(97, 123))]
+        self.tokenize = self.tokenizer.model.tokenize
         if self.by_word:  # bytes beyond ASCII are the rest of the alphabet, in order
             from tokenizers.pre_tokenizers import ByteLevel
             used = set(self.letters)
@@ -120,11 +127,13 @@ class Encoder:
         """Ids of a word, with a space before it if ``lead`` has one.  Letters, and
         letters before punctuation, are one and two pre-tokens, which go to the
         model at once; a single line end between words is one by itself."""
-        core = word.rstrip(".,;:!?")
+        core = word if word.isalpha() else word.rstrip(".,;:!?")
         if core.isalpha():
-            letters = lead + core
-            shown = "".join(map(self.letters.__getitem__, letters.encode()))
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            if self.plain and core.isascii():
+                shown = self.letters[32] + core if lead else core
+            else:
+                shown = "".join(map(self.letters.__getitem__, (lead + core).encode()))
+            ids = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
             return ids + self.marks[word[len(core):]] if len(core) < len(word) else ids
         if "\n" in word:
             lines = word.split("\n")
@@ -236,7 +245,7 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
                 starts = np.concatenate([[0], ends[:-1]])
                 yield pd.DataFrame({
                     "doc_id": pd.array(r.doc_ids, "Int64"), "start": r.start + starts, "n_tokens": ends - starts,
-                    "ids_crc32": [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], "shard": r.shard, "block": r.block})
+                    "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)], "shard": r.shard, "block": r.block})
 
     return read_blocks(spark, path).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, block int")
 
