@@ -41,8 +41,7 @@ def q_stream_sliding_24h(spark, sf_dir):
 
 
 def q_stream_sliding_7d(spark, sf_dir):
-    """As above over 7 days; a window for each hour and 168 windows an event, of
-    which the map side keeps one partial row per window."""
+    """As above over 7 days; 168 windows for each hour's pane."""
     out = ST._run(ST.sliding(_events_stream(spark, sf_dir), "168 hours", LAG), "sliding-7d")
     return C.normalize(spark.read.parquet(out))
 

@@ -2,8 +2,9 @@
 
 The reference has no streaming runtime; its "system lag" (values arrive
 hours late) maps to an event-time watermark.  Sources are file streams
-landed from the given tables (a folder per day, ``maxFilesPerTrigger`` →
-one micro-batch per day file); sinks write to the shared checkpoint folder, and
+landed from the given tables (a folder per day).  Event streams take as many day
+files a micro-batch as fit :data:`BATCH_BYTES`, so that batches grow with the input's
+bytes and not with its days; the others take one file a batch.  Sinks write to the shared checkpoint folder, and
 every query has its own checkpoint location, so a restarted driver resumes
 where it stopped.
 """
@@ -22,6 +23,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tempora.functions import calendar as cal
 from tempora.session import scratch_path
 
+#: Bytes of landed files that a micro-batch of an event stream takes (one file at least).
+BATCH_BYTES = 64 << 20
+
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double, day date"
 
 
@@ -52,20 +56,29 @@ def land_daily_files(df: DataFrame, path: str, time_col: str = "ts", arrival_col
     return path
 
 
-def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+def event_stream(spark: SparkSession, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Landed events in the order of their files.  Days come in order, so where
+    the batches are cut makes no event late."""
+    return (spark.readStream.schema(EVENTS_SCHEMA).option("maxBytesPerTrigger", batch_bytes)
             .parquet(path))
 
 
 def _run(query_df: DataFrame, name: str, mode: str = "append", partition_by=None) -> str:
     """Run a streaming query to completion (availableNow) into Parquet under
-    the checkpoint folder; returns the output path."""
+    the checkpoint folder; returns the output path.  Every state partition is
+    opened and committed in each batch, also when empty, and nothing merges them: there
+    are no more of them than cores."""
     spark = query_df.sparkSession
     out = scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
     w = (query_df.writeStream.format("parquet").outputMode(mode)
          .option("checkpointLocation", out + "/_checkpoint").option("path", out + "/data")
          .trigger(availableNow=True))
-    q = w.start()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(before), max(spark.sparkContext.defaultParallelism, 1)))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     return out + "/data"
 
@@ -81,14 +94,19 @@ def hourly_watermarked(stream: DataFrame, lag: str = "3 hours") -> DataFrame:
 
 def sliding(stream: DataFrame, width: str = "24 hours", lag: str = "3 hours") -> DataFrame:
     """#95: windows of ``width`` sliding by 1 h (streaming form of the rolling
-    block; exact percentiles stay batch-only)."""
-    return (stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lag)
-            .groupBy(F.window("ts", width, "1 hour").alias("w"))
-            .agg(F.count("*").alias("n_events"), F.avg("value").alias("mean_value"),
-                 F.max("value").alias("max_value"))
+    block; exact percentiles: :mod:`tempora.streaming.panes`).  An hour's events
+    become one pane first, and only panes are copied into the windows that they lie in."""
+    panes = (stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lag)
+             .groupBy(F.window("ts", "1 hour").alias("pane"))
+             .agg(F.count("*").alias("n"), F.count("value").alias("n_values"), F.sum("value").alias("total"),
+                  F.max("value").alias("top"))
+             .select(F.window_time("pane").alias("at"), "n", "n_values", "total", "top"))
+    return (panes.groupBy(F.window("at", width, "1 hour").alias("w"))
+            .agg(F.sum("n").alias("n_events"), F.sum("total").alias("total"), F.sum("n_values").alias("n_values"),
+                 F.max("top").alias("max_value"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                    "n_events", "mean_value", "max_value"))
+                    "n_events", F.when(F.col("n_values") > 0, F.col("total") / F.col("n_values")).alias("mean_value"), "max_value"))
 
 
 LAG_OUT_SCHEMA = "series_id string, time timestamp_ntz, load_mw double, lag_1h double, lag_24h double"
