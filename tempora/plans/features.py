@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.functions import calendar as cal
@@ -55,6 +55,32 @@ def target_series(obs: DataFrame, grid: GridSpec, keys=None, value: str = "load_
     return aligned
 
 
+def panel_series(obs: DataFrame, grid: GridSpec, keys, value: str = "load_mw",
+                 block_size: int = W.DEFAULT_BLOCK) -> DataFrame:
+    """:func:`target_series` of a panel, interpolated, for ``obs`` with one row a
+    (keys, time), without a join to the grid: only observations are shuffled.  Each row
+    finds the next known one of its series by a two-level block scan and generates the grid
+    rows up to it; a row at position -1 of each series generates those before its first.
+    A null key has no observations, as in the join."""
+    ks = _keys(keys)
+    pos, v = F.col("pos"), F.col("_v")
+    known = (obs.withColumn("pos", grid.pos("time")).where(F.col(value).isNotNull() & F.col("pos").between(0, grid.n - 1))
+             .dropna(subset=ks).select(*ks, "pos", F.col(value).alias("_v")))
+    start = obs.select(*ks).distinct().select(*ks, F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("double").alias("_v"))
+    w = Window.partitionBy(*ks, "_blk").orderBy("pos")
+    here = F.struct(pos.alias("pos"), v.alias("v"))
+    d = (known.unionByName(start).withColumn("_blk", F.floor(pos / F.lit(int(block_size))))
+         .select("*", F.lead(here).over(w).alias("_next_in"), F.row_number().over(w).alias("_rn")))
+    carry = d.where("_rn = 1").select(*ks, "_blk", F.lead(here).over(Window.partitionBy(*ks).orderBy("_blk")).alias("_carry"))
+    d = d.drop("_rn").join(carry, on=ks + ["_blk"], how="left")
+    nxt = F.coalesce("_next_in", "_carry")
+    d = d.select(*ks, pos.alias("_at"), "_v", nxt.alias("_next"),
+                 F.explode(F.sequence(pos, F.greatest(pos, F.coalesce(nxt["pos"], F.lit(grid.n)) - 1))).alias("pos")).where("pos >= 0")
+    at, n = F.col("_at"), F.col("_next")
+    filled = F.when(pos == at, v).when(v.isNotNull() & n.isNotNull(), v + (n["v"] - v) * (pos - at) / (n["pos"] - at))
+    return d.select(*ks, grid.time(pos).alias("time"), filled.alias(value), "pos", (pos != at).alias("was_null"))
+
+
 def lagged_block_specs(value: str = "load_mw", lags: Mapping[str, int] = HOURLY_LAGS,
                        medians: Mapping[str, int] = HOURLY_MEDIANS,
                        iqrs: Mapping[str, int] = HOURLY_IQRS, iqr_method: str = "nearest",

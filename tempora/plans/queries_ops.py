@@ -424,10 +424,10 @@ def q_panel_lagged_block(spark, sf_dir):
     obs = materialize(S.supplier_daily_panel(spark, sf_dir), "supplier-obs")
     from tempora.plans.grid_spec import GridSpec
     g = GridSpec.from_data(obs, "time", "1 day")
-    s = FT.target_series(obs, g, "series_id")
+    s = FT.panel_series(obs, g, "series_id").select("series_id", "pos", "load_mw")
     specs = FT.lagged_block_specs("load_mw", DAILY_LAGS, DAILY_MEDIANS, DAILY_IQRS)
     return N(FT.lagged_block(s, "series_id", specs=specs).select(
-        "series_id", "time", "load_mw", *[x.name for x in specs]))
+        "series_id", g.time(F.col("pos")).alias("time"), "load_mw", *[x.name for x in specs]))
 
 
 def q_holdout_split(spark, sf_dir):
